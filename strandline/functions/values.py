@@ -5,13 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted date layouts, first match wins, and the separator each one needs.
-DATE_FORMATS = (
-    ("M/d/yyyy", "/"),
-    ("M-d-yyyy", "-"),
-    ("yyyy-MM-dd", "-"),
-    ("dd/MM/yyyy", "/"),
-)
+# Accepted date layouts. They are tried in the order M/d/yyyy, M-d-yyyy,
+# yyyy-MM-dd, dd/MM/yyyy and the first match wins.
+SLASHED_DATES = ("M/d/yyyy", "dd/MM/yyyy")
+DASHED_DATES = ("M-d-yyyy", "yyyy-MM-dd")
 ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}$"
 UNKNOWN = "Unknown"
 NOT_APPLICABLE = "NA"
@@ -20,17 +17,19 @@ NOT_APPLICABLE = "NA"
 def parse_date(name: str) -> Column:
     """Text to date under the first layout that fits; null when none does.
 
-    A failed attempt costs an exception inside the parser, so layouts that cannot fit are not
-    tried: those whose separator is missing, and month-first for text that has the ISO shape.
+    A failed attempt costs an exception inside the parser, so the separator decides which
+    layouts are tried at all; no text fits both kinds. ISO text needs no layout.
     """
     text = F.col(name)
-    tries = []
-    for layout, separator in DATE_FORMATS:
-        possible = F.contains(text, F.lit(separator))
-        if layout == "M-d-yyyy":
-            possible = possible & ~F.rlike(text, F.lit(ISO_SHAPE))
-        tries.append(F.when(possible, F.try_to_date(text, layout)))
-    return F.coalesce(*tries)
+    slashed, dashed = (
+        F.coalesce(*[F.try_to_date(text, layout) for layout in layouts])
+        for layouts in (SLASHED_DATES, DASHED_DATES)
+    )
+    return (
+        F.when(F.rlike(text, F.lit(ISO_SHAPE)), text.try_cast("date"))
+        .when(F.contains(text, F.lit("/")), slashed)
+        .otherwise(dashed)
+    )
 
 
 def whole(name: str) -> Column:

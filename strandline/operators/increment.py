@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 EPOCH = dt.datetime(1970, 1, 1)
 
@@ -17,5 +18,8 @@ def high_water_mark(df: DataFrame | None, column: str) -> dt.datetime:
 
 
 def newer_than(df: DataFrame, column: str, mark: dt.datetime) -> DataFrame:
-    """Rows strictly above ``mark``; the typed literal reaches the parquet scan."""
-    return df.filter(F.col(column) > F.lit(mark))
+    """Rows strictly above ``mark``; a literal of the column's own type reaches the scan."""
+    literal = F.lit(mark)
+    if isinstance(df.schema[column].dataType, TimestampNTZType):
+        literal = F.lit(mark.isoformat(sep=" ")).cast("timestamp_ntz")
+    return df.filter(F.col(column) > literal)

@@ -191,6 +191,10 @@ COLUMNS = {
     "territories": TERRITORIES,
 }
 
+# Sources that are distinct values of a larger table, and those with text-derived keys.
+SMALL = ("calendar", "product_category", "product_sub_category")
+KEYED_BY_TEXT = ("product_category", "product_sub_category", "products")
+
 # Orders rows of one key that carry the same ingest time.
 TIES = {"sales": ("ProductKey", "tie2"), "returns": ("tie1", "tie2", "tie3")}
 
@@ -208,30 +212,50 @@ def order_lines(tables: Tables) -> DataFrame:
     return lines.join(placed.hint("merge"), lines.l_orderkey == placed.o_orderkey)
 
 
-def raw(tables: Tables, source: str, spoiled: bool = False) -> DataFrame:
-    """Landing rows of ``source``, with ingest time and tie columns where the table has them."""
+def raw(
+    tables: Tables,
+    source: str,
+    spoiled: bool = False,
+    repeated: bool = False,
+    where: str | None = None,
+) -> DataFrame:
+    """Landing rows of ``source``, with ingest time and tie columns where the table has them.
+
+    ``repeated`` leaves the small sources as they fall out of the large tables, one row per
+    order, part or customer, so that each key comes many times. ``where`` picks underlying
+    rows, to split a table into successive drops.
+    """
     columns = COLUMNS[source] | (SPOILED[source] if spoiled else {})
     category, subcategory = F.expr(CATEGORY_KEY), F.expr(SUBCATEGORY_KEY)
     match source:
         case "calendar":
-            base = tables["orders"].select("o_orderdate").distinct()
+            base = tables["orders"].select("o_orderdate")
         case "customers":
             base = tables["customer"]
         case "territories":
             nations, regions = tables["nation"], tables["region"]
             base = nations.join(regions, nations.n_regionkey == regions.r_regionkey, "left")
+            if repeated:
+                customers = tables["customer"].select("c_nationkey")
+                base = customers.join(base, customers.c_nationkey == base.n_nationkey)
         case "sales":
             base = order_lines(tables)
         case "returns":
             base = order_lines(tables).filter("l_returnflag = 'R'")
         case "product_category":
-            base = tables["part"].select("p_type").distinct()
-            base = base.withColumn("category_key", category)
+            base = tables["part"].select("p_type")
         case "product_sub_category":
-            base = tables["part"].select("p_type", "p_brand").distinct()
-            base = base.withColumns({"category_key": category, "subcategory_key": subcategory})
+            base = tables["part"].select("p_type", "p_brand")
         case "products":
-            base = tables["part"].withColumn("subcategory_key", subcategory)
+            base = tables["part"]
+    if source in SMALL and not repeated:
+        base = base.distinct()
+    if source in KEYED_BY_TEXT:
+        base = base.withColumn("category_key", category)
+        if source != "product_category":
+            base = base.withColumn("subcategory_key", subcategory)
+    if where:
+        base = base.filter(where)
     return base.selectExpr(*[f"{expr} AS {name}" for name, expr in columns.items()])
 
 

@@ -26,12 +26,12 @@ def stored_bytes(spark: SparkSession, *paths: str) -> dict[str, int]:
     return dict.fromkeys(paths, 0) | {r.root: r.bytes for r in sizes}
 
 
-def hot_keys(df: DataFrame, key: str, tracked: int = 10_000) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, tracked: int = 1_000) -> DataFrame:
     """Keys holding at least one in ``HOT_KEYS`` of the non-null rows.
 
-    At most ``HOT_KEYS`` keys can do so, which bounds the result whatever the input. The
-    heavy-hitter sketch is merged map-side, so the input is not shuffled. Which keys are
-    found decides only how the work is spread, never which rows come out.
+    At most ``HOT_KEYS`` keys can do so, which bounds the result whatever the input. Each task
+    sends one heavy-hitter sketch of ``tracked`` counters, so the input is not shuffled.
+    Which keys are found decides only how the work is spread, never which rows come out.
     """
     sketch = df.filter(F.col(key).isNotNull()).agg(
         F.expr(f"approx_top_k({key}, {HOT_KEYS}, {tracked})").alias("top"),

@@ -35,7 +35,6 @@ from strandline.session import run_folder
 from strandline.sources.adapters import TIES, Tables, raw
 from strandline.sources.keyed_table import keyed_table
 from strandline.sources.landing import landing_fresh, landing_ready
-from strandline.streaming.silver import silver_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -219,13 +218,17 @@ def _silver_report(spark: SparkSession, folder: str, source: str) -> DataFrame:
 
 def dq_gate(spark: SparkSession, folder: str) -> DataFrame:
     """Which tables the gate stops."""
+    reports = reduce(
+        DataFrame.unionByName, [_silver_report(spark, folder, s) for s in SOURCES]
+    ).persist()
     outcome = []
     for source in SOURCES:
         try:
-            enforce(_silver_report(spark, folder, source))
+            enforce(reports.filter(F.col("table_name") == source))
             outcome.append((source, False))
         except QualityGateError:
             outcome.append((source, True))
+    reports.unpersist()
     return spark.createDataFrame(outcome, "table_name STRING, stopped BOOLEAN")
 
 
@@ -235,7 +238,8 @@ def dq_audit_append(spark: SparkSession, folder: str) -> DataFrame:
     tables = Tables(spark, folder)
     for lines in (FIRST_LINES, LATER_LINES):
         rows = _cleaned(tables, "sales", spoiled=True, where=lines)
-        append_audit(quality_report(rows.withColumn(PROCESSED, F.current_timestamp()), "sales"), path)
+        rows = rows.withColumn(PROCESSED, F.current_timestamp())
+        append_audit(quality_report(rows, "sales"), path)
     return read_audit(spark, path).select("table_name", "rule_name", "status", "failed_rows")
 
 
@@ -292,7 +296,7 @@ def upsert_fact_sales(spark: SparkSession, folder: str) -> DataFrame:
 def upsert_keyed_table(spark: SparkSession, folder: str) -> DataFrame:
     """A stored table after two batches, the second delivered twice."""
     tables = Tables(spark, folder)
-    table = keyed_table(spark, run_folder(spark, "keyed"), SOURCES["sales"].keys, 16)
+    table = keyed_table(spark, run_folder(spark, "keyed"), SOURCES["sales"].keys, 8)
     table.upsert(_sales_drop(tables, FIRST_LINES), "first")
     for _ in range(2):
         table.upsert(_sales_drop(tables, LATER_LINES), "later")
@@ -302,7 +306,7 @@ def upsert_keyed_table(spark: SparkSession, folder: str) -> DataFrame:
 def upsert_bootstrap(spark: SparkSession, folder: str) -> DataFrame:
     """A table created empty and then loaded."""
     rows = silver(Tables(spark, folder), "customers")
-    table = keyed_table(spark, run_folder(spark, "keyed"), SOURCES["customers"].keys, 16)
+    table = keyed_table(spark, run_folder(spark, "keyed"), SOURCES["customers"].keys, 8)
     table.bootstrap(rows)
     table.upsert(rows, "first")
     return table.read()
@@ -344,7 +348,7 @@ def _drop(lake: Lake, tables: Tables, source: str, **options) -> None:
 
 def _lake(spark: SparkSession, label: str) -> Lake:
     # One drop is one micro-batch here, however many files it has.
-    return Lake(spark, run_folder(spark, label), buckets=16, files_per_batch=1_000_000)
+    return Lake(spark, run_folder(spark, label), buckets=4, files_per_batch=1_000_000)
 
 
 def bronze_ingest(spark: SparkSession, folder: str) -> DataFrame:

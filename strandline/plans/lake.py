@@ -173,6 +173,19 @@ def refresh(lake: Lake, halt: bool = True) -> None:
         load_gold(lake, name)
 
 
+def register_views(lake: Lake) -> list[str]:
+    """Make stored tables readable from SQL as ``silver_<source>`` and ``gold_<table>``.
+
+    A view shows the table as it is now; register again after the next run.
+    """
+    tables = {f"silver_{s}": lake.silver(s) for s in SOURCES}
+    tables |= {f"gold_{g}": lake.gold(g) for g in GOLD}
+    found = {name: table for name, table in tables.items() if table.exists()}
+    for name, table in found.items():
+        table.read().createOrReplaceTempView(name)
+    return list(found)
+
+
 class LakeStar(Star):
     """The star schema as last loaded into a lake."""
 

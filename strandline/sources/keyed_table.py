@@ -116,13 +116,16 @@ class KeyedTable:
             heads = self.spark.read.schema(_HEADS).parquet(f"{self.path}/heads")
         except AnalysisException:
             return None
-        newest = heads.agg(F.max("version")).first()[0]
+        newest = (
+            heads.groupBy("version", "buckets", "token")
+            .agg(F.collect_list(F.struct("bucket", "written")).alias("heads"))
+            .orderBy(F.desc("version"))
+            .first()
+        )
         if newest is None:
             return None
-        rows = heads.filter(F.col("version") == newest).collect()
-        return _Heads(
-            newest, rows[0].buckets, rows[0].token, {r.bucket: r.written for r in rows}
-        )
+        versions = {h.bucket: h.written for h in newest.heads}
+        return _Heads(newest.version, newest.buckets, newest.token, versions)
 
 
 @dataclass(frozen=True)

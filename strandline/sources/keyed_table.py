@@ -8,6 +8,7 @@ an upsert, and a job that dies before its list is written leaves the table as it
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from strandline.operators.merge import merge_rows
 
 _BUCKET = "bucket"
-_HEADS = "version LONG, bucket INT, written LONG, buckets INT, token STRING"
+_HEADS = "version LONG, buckets INT, token STRING, written MAP<STRING, LONG>"
 
 
 @dataclass(frozen=True)
@@ -104,27 +105,22 @@ class KeyedTable:
     def _publish(
         self, version: int, versions: dict[int, int], buckets: int, token: str
     ) -> None:
-        heads = [(b, v, buckets, token) for b, v in sorted(versions.items())]
-        schema = "bucket INT, written LONG, buckets INT, token STRING"
-        self.spark.createDataFrame(heads, schema).coalesce(1).write.mode("overwrite").parquet(
-            f"{self.path}/heads/version={version}"
+        written = F.from_json(F.lit(json.dumps(versions)), "MAP<STRING, LONG>")
+        head = self.spark.range(0, 1, numPartitions=1).select(
+            F.lit(buckets).alias("buckets"), F.lit(token).alias("token"), written.alias("written")
         )
+        head.write.mode("overwrite").parquet(f"{self.path}/heads/version={version}")
 
     def _heads(self) -> _Heads | None:
-        """The newest list of heads: one short row per bucket, never more."""
+        """The newest list of heads, one entry per bucket."""
         try:
             heads = self.spark.read.schema(_HEADS).parquet(f"{self.path}/heads")
         except AnalysisException:
             return None
-        newest = (
-            heads.groupBy("version", "buckets", "token")
-            .agg(F.collect_list(F.struct("bucket", "written")).alias("heads"))
-            .orderBy(F.desc("version"))
-            .first()
-        )
+        newest = heads.orderBy(F.desc("version")).first()
         if newest is None:
             return None
-        versions = {h.bucket: h.written for h in newest.heads}
+        versions = {int(b): v for b, v in newest.written.items()}
         return _Heads(newest.version, newest.buckets, newest.token, versions)
 
 

@@ -28,7 +28,7 @@ from strandline.operators.quality import (
     read_audit,
     verdict,
 )
-from strandline.plans.lake import Lake, LakeStar, ingest_source, refine_source, refresh
+from strandline.plans.lake import Lake, LakeStar, ingest_sources, refine_sources, refresh
 from strandline.plans.metrics import MEASURES, Growth, Ratio, implicit, metric_query
 from strandline.plans.star import SourceStar, silver
 from strandline.session import run_folder
@@ -356,8 +356,8 @@ def bronze_ingest(spark: SparkSession, folder: str) -> DataFrame:
     lake, tables = _lake(spark, "bronze"), Tables(spark, folder)
     for lines in (FIRST_LINES, LATER_LINES):
         _drop(lake, tables, "sales", where=lines)
-        ingest_source(lake, "sales")
-    ingest_source(lake, "sales")
+        ingest_sources(lake, "sales")
+    ingest_sources(lake, "sales")
     bronze = spark.read.parquet(lake.bronze("sales"))
     return bronze.select(
         *[f.name for f in SOURCES["sales"].landing_schema],
@@ -370,13 +370,13 @@ def bronze_contract(spark: SparkSession, folder: str) -> DataFrame:
     """Bronze after a good drop and two that break the contract: only the first got in."""
     lake, tables = _lake(spark, "contract"), Tables(spark, folder)
     _drop(lake, tables, "customers")
-    ingest_source(lake, "customers")
+    ingest_sources(lake, "customers")
     columns = [f.name for f in SOURCES["customers"].landing_schema]
     rows = raw(tables, "customers")
     for broken in (rows.withColumn("New", F.lit("x")), rows.select(*reversed(columns))):
         broken.write.mode("append").options(**CSV).csv(lake.landing("customers"))
         try:
-            ingest_source(lake, "customers")
+            ingest_sources(lake, "customers")
         except StreamingQueryException:
             continue
         raise AssertionError("a file that breaks the contract was ingested")
@@ -388,8 +388,8 @@ def silver_stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
     lake, tables = _lake(spark, "silver"), Tables(spark, folder)
     for lines in (FIRST_LINES, LATER_LINES):
         _drop(lake, tables, "sales", where=lines)
-        ingest_source(lake, "sales")
-        refine_source(lake, "sales")
+        ingest_sources(lake, "sales")
+        refine_sources(lake, "sales")
     return lake.silver("sales").read().drop(PROCESSED)
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from strandline.contracts import GOLD_PROCESSED, MARK, PROCESSED, SOURCES
 from strandline.operators import star as gold
@@ -24,8 +25,8 @@ from strandline.operators.quality import (
 from strandline.plans.star import Star
 from strandline.sources.keyed_table import KeyedTable, keyed_table
 from strandline.sources.landing import FILES_PER_BATCH
-from strandline.streaming.bronze import ingest
-from strandline.streaming.silver import upsert_silver
+from strandline.streaming.bronze import start_ingest
+from strandline.streaming.silver import start_refine
 
 
 @dataclass(frozen=True)
@@ -101,24 +102,42 @@ GOLD: dict[str, GoldTable] = {
 }
 
 
-def ingest_source(lake: Lake, source: str) -> None:
-    ingest(
-        lake.spark,
-        source,
-        lake.landing(source),
-        lake.bronze(source),
-        lake.checkpoint("bronze", source),
-        files_per_batch=lake.files_per_batch,
+def _drain(queries: Iterable[StreamingQuery]) -> None:
+    """Wait for streams that run side by side; the first failure is raised after the last end."""
+    failures = []
+    for query in list(queries):
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as failure:
+            failures.append(failure)
+    if failures:
+        raise failures[0]
+
+
+def ingest_sources(lake: Lake, *sources: str) -> None:
+    _drain(
+        start_ingest(
+            lake.spark,
+            source,
+            lake.landing(source),
+            lake.bronze(source),
+            lake.checkpoint("bronze", source),
+            files_per_batch=lake.files_per_batch,
+        )
+        for source in sources
     )
 
 
-def refine_source(lake: Lake, source: str) -> None:
-    upsert_silver(
-        lake.spark,
-        source,
-        lake.bronze(source),
-        lake.silver(source),
-        lake.checkpoint("silver", source),
+def refine_sources(lake: Lake, *sources: str) -> None:
+    _drain(
+        start_refine(
+            lake.spark,
+            source,
+            lake.bronze(source),
+            lake.silver(source),
+            lake.checkpoint("silver", source),
+        )
+        for source in sources
     )
 
 
@@ -163,10 +182,8 @@ def load_gold(lake: Lake, name: str) -> bool:
 
 def refresh(lake: Lake, halt: bool = True) -> None:
     """One run over all sources: Bronze, Silver, rules, Gold."""
-    for source in SOURCES:
-        ingest_source(lake, source)
-    for source in SOURCES:
-        refine_source(lake, source)
+    ingest_sources(lake, *SOURCES)
+    refine_sources(lake, *SOURCES)
     for source in SOURCES:
         validate_source(lake, source, halt)
     for name in GOLD:

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from strandline.sources.landing import FILES_PER_BATCH, read_landing
 
 
-def ingest(
+def start_ingest(
     spark: SparkSession,
     source: str,
     folder: str,
@@ -15,7 +16,7 @@ def ingest(
     checkpoint: str,
     table: str | None = None,
     files_per_batch: int = FILES_PER_BATCH,
-) -> None:
+) -> StreamingQuery:
     """Append every file not seen before to ``path`` (and catalog ``table``), then stop."""
     writer = (
         read_landing(spark, source, folder, files_per_batch)
@@ -25,5 +26,4 @@ def ingest(
         .option("path", path)
         .trigger(availableNow=True)
     )
-    query = writer.toTable(table) if table else writer.start()
-    query.awaitTermination()
+    return writer.toTable(table) if table else writer.start()

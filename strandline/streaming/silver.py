@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from strandline.contracts import PROCESSED, SOURCES
 from strandline.operators.cleaning import clean, gate
@@ -17,9 +18,9 @@ def silver_batch(cleaned: DataFrame, source: str) -> DataFrame:
     return newest.select(*spec.columns, PROCESSED)
 
 
-def upsert_silver(
+def start_refine(
     spark: SparkSession, source: str, bronze: str, table: KeyedTable, checkpoint: str
-) -> None:
+) -> StreamingQuery:
     """Merge Bronze rows not seen before into ``table``, then stop."""
     schema = SOURCES[source].bronze_schema
     table.bootstrap(silver_batch(clean(spark.createDataFrame([], schema), source), source))
@@ -27,11 +28,10 @@ def upsert_silver(
     def merge(batch: DataFrame, batch_id: int) -> None:
         table.upsert(silver_batch(batch, source), token=f"{checkpoint}#{batch_id}")
 
-    query = (
+    return (
         clean(spark.readStream.schema(schema).parquet(bronze), source)
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()

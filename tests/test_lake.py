@@ -14,9 +14,9 @@ from strandline.operators.quality import QualityGateError, read_audit
 from strandline.plans.lake import (
     Lake,
     LakeStar,
-    ingest_source,
+    ingest_sources,
     load_gold,
-    refine_source,
+    refine_sources,
     refresh,
     register_views,
     validate_source,
@@ -26,7 +26,7 @@ from strandline.session import run_folder, shared_folder
 from strandline.sources.keyed_table import keyed_table
 from strandline.sources.landing import landing_fresh, landing_ready
 from strandline.sources.namespaces import create_namespaces
-from strandline.streaming.bronze import ingest
+from strandline.streaming.bronze import start_ingest
 
 def drop(lake: Lake, source: str, name: str, *lines: str, header: str | None = None) -> None:
     folder = Path(lake.landing(source))
@@ -43,9 +43,9 @@ def lake(spark, tmp_path) -> Lake:
 def test_bronze_takes_each_file_once(lake, spark):
     drop(lake, "product_category", "a.csv", "1,Bikes", "2,Caps")
     for _ in range(2):
-        ingest_source(lake, "product_category")
+        ingest_sources(lake, "product_category")
     drop(lake, "product_category", "b.csv", "3,")
-    ingest_source(lake, "product_category")
+    ingest_sources(lake, "product_category")
     rows = spark.read.parquet(lake.bronze("product_category")).collect()
     assert sorted((r.ProductCategoryKey, r.CategoryName) for r in rows) == [
         (1, "Bikes"), (2, "Caps"), (3, None),
@@ -65,7 +65,7 @@ def test_bronze_takes_each_file_once(lake, spark):
 def test_broken_contract_stops_the_stream(lake, spark, header, line):
     drop(lake, "product_category", "bad.csv", line, header=header)
     with pytest.raises(StreamingQueryException):
-        ingest_source(lake, "product_category")
+        ingest_sources(lake, "product_category")
     assert not list(Path(lake.bronze("product_category")).glob("*.parquet"))
 
 
@@ -73,12 +73,20 @@ def test_windows_line_ends(lake, spark):
     folder = Path(lake.landing("calendar"))
     folder.mkdir(parents=True)
     (folder / "c.csv").write_bytes(b"Date\r\n1/1/2015\r\n1/2/2015\r\n")
-    ingest_source(lake, "calendar")
-    refine_source(lake, "calendar")
+    ingest_sources(lake, "calendar")
+    refine_sources(lake, "calendar")
     days = [r.Date for r in lake.silver("calendar").read().collect()]
     assert sorted(days) == [dt.date(2015, 1, 1), dt.date(2015, 1, 2)]
 
 
+def test_one_broken_source_does_not_hold_up_the_others(lake, spark):
+    drop(lake, "product_category", "bad.csv", "1,Bikes,x", header="ProductCategoryKey,CategoryName,New")
+    drop(lake, "calendar", "a.csv", "1/1/2015")
+    with pytest.raises(StreamingQueryException):
+        ingest_sources(lake, "product_category", "calendar")
+    assert spark.read.parquet(lake.bronze("calendar")).count() == 1
+
+
 SALES_ONE = ["1/5/2016,1/1/2016,SO1,1,1,1,1,2", "2016-01-06,1/1/2016, SO2 ,1,2,1,1,-3"]
 SALES_TWO = ["1/5/2016,1/1/2016,SO1,2,1,1,1,9", "junk,1/1/2016,SO9,1,1,1,1,1", "1/7/2016,x,SO3,1,,1,1,1"]
 
@@ -92,19 +100,19 @@ def test_two_drops_equal_one(spark, tmp_path):
     apart, together = (Lake(spark, str(tmp_path / n), buckets=4) for n in ("apart", "together"))
     for name, lines in (("1.csv", SALES_ONE[1:]), ("2.csv", SALES_TWO)):
         drop(apart, "sales", name, *lines)
-        ingest_source(apart, "sales")
-        refine_source(apart, "sales")
+        ingest_sources(apart, "sales")
+        refine_sources(apart, "sales")
     drop(together, "sales", "all.csv", *SALES_ONE[1:], *SALES_TWO)
-    ingest_source(together, "sales")
-    refine_source(together, "sales")
+    ingest_sources(together, "sales")
+    refine_sources(together, "sales")
     assert _silver(apart) == _silver(together) and len(_silver(apart)) == 3
 
 
 def test_late_correction_replaces_the_whole_row(lake):
     for name, lines in (("1.csv", SALES_ONE), ("2.csv", SALES_TWO)):
         drop(lake, "sales", name, *lines)
-        ingest_source(lake, "sales")
-        refine_source(lake, "sales")
+        ingest_sources(lake, "sales")
+        refine_sources(lake, "sales")
     rows = {r.OrderNumber: r for r in lake.silver("sales").read().collect()}
     assert sorted(rows) == ["SO1", "SO2", "SO3"]
     assert (rows["SO1"].ProductKey, rows["SO1"].OrderQuantity) == (2, 9)
@@ -113,10 +121,10 @@ def test_late_correction_replaces_the_whole_row(lake):
 
 def test_nothing_new_changes_nothing(lake):
     drop(lake, "sales", "1.csv", *SALES_ONE)
-    ingest_source(lake, "sales")
-    refine_source(lake, "sales")
+    ingest_sources(lake, "sales")
+    refine_sources(lake, "sales")
     before = lake.silver("sales")._heads()
-    refine_source(lake, "sales")
+    refine_sources(lake, "sales")
     assert lake.silver("sales")._heads() == before
 
 
@@ -206,7 +214,10 @@ def test_whole_run_and_second_run(lake, spark):
     assert not load_gold(lake, "fact_sales") and validate_source(lake, "sales") is None
     # A corrected line reaches the fact, and only its rows carry the new mark.
     drop(lake, "sales", "2.csv", "1/5/2016,1/1/2016,SO1,1,1,1,1,10")
-    refresh(lake)
+    ingest_sources(lake, "sales")
+    refine_sources(lake, "sales")
+    validate_source(lake, "sales")
+    assert load_gold(lake, "fact_sales")
     facts = {r.OrderNumber: r for r in lake.gold("fact_sales").read().collect()}
     assert {k: float(r.Revenue) for k, r in facts.items()} == {"SO1": 40.0, "SO2": 12.0}
     assert facts["SO1"][MARK] > facts["SO2"][MARK]
@@ -216,12 +227,13 @@ def test_whole_run_and_second_run(lake, spark):
     assert read_audit(spark, lake.audit("sales")).count() == 20
 
 
-def test_gate_halts_gold_and_reports_first(lake, spark):
+def test_gate_halts_and_reports_first(lake, spark):
     _fill(lake)
     drop(lake, "sales", "2.csv", "1/7/2016,1/1/2016,SO7,,1,1,1,1")
+    ingest_sources(lake, "sales")
+    refine_sources(lake, "sales")
     with pytest.raises(QualityGateError, match="sales"):
-        refresh(lake)
-    assert not lake.gold("fact_sales").exists()
+        validate_source(lake, "sales")
     log = read_audit(spark, lake.audit("sales"))
     assert log.filter("status = 'FAIL'").first().rule_name == "Required Column: ProductKey"
     with pytest.raises(QualityGateError):  # the slice is looked at again
@@ -235,7 +247,8 @@ def test_namespaces_and_catalog_table(spark, tmp_path):
     assert set(names) <= {r.namespace for r in spark.sql("SHOW DATABASES").collect()}
     drop(lake, "product_category", "a.csv", "1,Bikes")
     args = ("product_category", lake.landing("product_category"), lake.bronze("product_category"))
-    ingest(spark, *args, lake.checkpoint("bronze", "x"), table="t_bronze.product_category")
+    checkpoint, table = lake.checkpoint("bronze", "x"), "t_bronze.product_category"
+    start_ingest(spark, *args, checkpoint, table=table).awaitTermination()
     assert spark.catalog.tableExists("t_bronze.product_category")
     assert spark.table("t_bronze.product_category").count() == 1
     assert spark.readStream.table("t_bronze.product_category").isStreaming

@@ -17,6 +17,11 @@ def high_water_mark(df: DataFrame | None, column: str) -> dt.datetime:
     return newest or EPOCH
 
 
+def from_micros(micros: int) -> dt.datetime:
+    """A mark kept as microseconds since the epoch, whatever zone the driver runs in."""
+    return dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=micros)
+
+
 def newer_than(df: DataFrame, column: str, mark: dt.datetime) -> DataFrame:
     """Rows strictly above ``mark``; a literal of the column's own type reaches the scan."""
     literal = F.lit(mark)

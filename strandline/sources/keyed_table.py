@@ -26,12 +26,14 @@ _HEADS = "version LONG, buckets INT, token STRING, written MAP<STRING, LONG>"
 class KeyedTable:
     """``buckets`` is fixed when the table is created: pick it so that the buckets one batch
     touches are a small part of the table. A bucket is no unit of work; its rows may be
-    written by many tasks."""
+    written by many tasks. Files are sorted by ``cluster``, so that filters on those columns
+    skip row groups."""
 
     spark: SparkSession
     path: str
     keys: tuple[str, ...]
     buckets: int = 64
+    cluster: tuple[str, ...] = ()
 
     def exists(self) -> bool:
         return self._heads() is not None
@@ -42,6 +44,11 @@ class KeyedTable:
             raise FileNotFoundError(f"no table at {self.path}")
         return self._rows(heads.versions).drop(_BUCKET)
 
+    def last_token(self) -> str | None:
+        """The token of the last batch applied."""
+        heads = self._heads()
+        return heads.token if heads and heads.token else None
+
     def bootstrap(self, rows: DataFrame) -> None:
         """Create the table with the columns of ``rows`` and none of its rows."""
         if not self.exists():
@@ -76,9 +83,13 @@ class KeyedTable:
             version = 0 if heads is None else heads.version + 1
             if touched:
                 # Rebalancing splits buckets above the advisory size and joins small ones.
-                merged.hint("rebalance", _BUCKET).write.mode("overwrite").partitionBy(
-                    _BUCKET
-                ).parquet(f"{self.path}/rows/version={version}")
+                (
+                    merged.hint("rebalance", _BUCKET)
+                    .sortWithinPartitions(_BUCKET, *self.cluster)
+                    .write.mode("overwrite")
+                    .partitionBy(_BUCKET)
+                    .parquet(f"{self.path}/rows/version={version}")
+                )
             else:
                 self._write_empty(updates.drop(_BUCKET))
                 touched = [0]
@@ -133,6 +144,10 @@ class _Heads:
 
 
 def keyed_table(
-    spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 64
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str],
+    buckets: int = 64,
+    cluster: Sequence[str] = (),
 ) -> KeyedTable:
-    return KeyedTable(spark, path, tuple(keys), buckets)
+    return KeyedTable(spark, path, tuple(keys), buckets, tuple(cluster))

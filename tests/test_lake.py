@@ -10,6 +10,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 
 from strandline.contracts import MARK, PROCESSED, SOURCES
+from strandline.operators.increment import high_water_mark
 from strandline.operators.quality import QualityGateError, read_audit
 from strandline.plans.lake import (
     Lake,
@@ -221,6 +222,8 @@ def test_whole_run_and_second_run(lake, spark):
     facts = {r.OrderNumber: r for r in lake.gold("fact_sales").read().collect()}
     assert {k: float(r.Revenue) for k, r in facts.items()} == {"SO1": 40.0, "SO2": 12.0}
     assert facts["SO1"][MARK] > facts["SO2"][MARK]
+    gold = lake.gold("fact_sales")
+    assert high_water_mark(gold.read(), MARK).timestamp() == int(gold.last_token()) / 1e6
     names = register_views(lake)
     assert "gold_fact_sales" in names and "silver_sales" in names
     assert spark.sql("SELECT sum(OrderQuantity) FROM gold_fact_sales").first()[0] == 13

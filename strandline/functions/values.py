@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 # yyyy-MM-dd, dd/MM/yyyy and the first match wins.
 SLASHED_DATES = ("M/d/yyyy", "dd/MM/yyyy")
 DASHED_DATES = ("M-d-yyyy", "yyyy-MM-dd")
-ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}$"
+ISO_SHAPE = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 UNKNOWN = "Unknown"
 NOT_APPLICABLE = "NA"
 
@@ -20,29 +20,27 @@ def parse_date(name: str) -> Column:
     A failed attempt costs an exception inside the parser, so the separator decides which
     layouts are tried at all; no text fits both kinds. ISO text needs no layout.
     """
-    text = F.col(name)
     slashed, dashed = (
-        F.coalesce(*[F.try_to_date(text, layout) for layout in layouts])
+        ", ".join(f"try_to_date(`{name}`, '{layout}')" for layout in layouts)
         for layouts in (SLASHED_DATES, DASHED_DATES)
     )
-    return (
-        F.when(F.rlike(text, F.lit(ISO_SHAPE)), text.try_cast("date"))
-        .when(F.contains(text, F.lit("/")), slashed)
-        .otherwise(dashed)
+    return F.expr(
+        f"CASE WHEN `{name}` RLIKE '{ISO_SHAPE}' THEN try_cast(`{name}` AS DATE) "
+        f"WHEN contains(`{name}`, '/') THEN coalesce({slashed}) ELSE coalesce({dashed}) END"
     )
 
 
 def whole(name: str) -> Column:
-    return F.col(name).try_cast("int")
+    return F.expr(f"try_cast(`{name}` AS INT)")
 
 
 def magnitude(name: str) -> Column:
     """Unsigned whole number; widened first so the smallest int cannot overflow."""
-    return F.abs(F.col(name).try_cast("bigint")).try_cast("int")
+    return F.expr(f"try_cast(abs(try_cast(try_cast(`{name}` AS INT) AS BIGINT)) AS INT)")
 
 
 def number(name: str) -> Column:
-    return F.col(name).try_cast("double")
+    return F.expr(f"try_cast(`{name}` AS DOUBLE)")
 
 
 def money(name: str) -> Column:
@@ -51,21 +49,21 @@ def money(name: str) -> Column:
 
 
 def filled(name: str, default: str = UNKNOWN) -> Column:
-    return F.coalesce(F.col(name), F.lit(default))
+    return F.expr(f"coalesce(`{name}`, '{default}')")
 
 
 def tidy(name: str, default: str = UNKNOWN) -> Column:
-    return F.trim(filled(name, default))
+    return F.expr(f"trim(coalesce(`{name}`, '{default}'))")
 
 
 def shout(name: str, default: str = UNKNOWN) -> Column:
     """Upper case, default included: a missing first name reads UNKNOWN."""
-    return F.trim(F.upper(filled(name, default)))
+    return F.expr(f"trim(upper(coalesce(`{name}`, '{default}')))")
 
 
 def titled(name: str, default: str = UNKNOWN) -> Column:
     """Each word capitalised; blank text stays blank so the rules can see it."""
-    return F.trim(F.initcap(filled(name, default)))
+    return F.expr(f"trim(initcap(coalesce(`{name}`, '{default}')))")
 
 
 def surrogate_key(*parts: tuple[str, str]) -> Column:

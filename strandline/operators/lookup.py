@@ -21,7 +21,11 @@ def stored_bytes(spark: SparkSession, *paths: str) -> dict[str, int]:
         .load(list(paths))
         .select("path", "length")
     )
-    under = F.coalesce(*[F.when(F.contains("path", F.lit(p)), F.lit(p)) for p in paths])
+    # Listings spell the scheme their own way (file:/ for file:///), so it is left out.
+    tails = {p: p.split("://", 1)[-1] for p in paths}
+    under = F.coalesce(
+        *[F.when(F.contains("path", F.lit(tail)), F.lit(p)) for p, tail in tails.items()]
+    )
     sizes = files.groupBy(under.alias("root")).agg(F.sum("length").alias("bytes")).collect()
     return dict.fromkeys(paths, 0) | {r.root: r.bytes for r in sizes}
 

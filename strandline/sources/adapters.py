@@ -16,7 +16,7 @@ class Tables:
     """The parquet tables of one folder, each opened on first use."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
-        self.spark, self.folder = spark, folder
+        self.spark, self.folder = spark, folder.rstrip("/")
         self._open: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:

@@ -129,3 +129,5 @@ def test_stored_bytes(spark, tiny):
 
     paths = [f"{tiny}/part.parquet", f"{tiny}/customer.parquet"]
     assert stored_bytes(spark, *paths) == {p: Path(p).stat().st_size for p in paths}
+    (url,) = stored_bytes(spark, f"file://{paths[0]}").values()
+    assert url == Path(paths[0]).stat().st_size

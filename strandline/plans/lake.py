@@ -22,7 +22,7 @@ from strandline.operators.quality import (
     quality_report,
     read_audit,
 )
-from strandline.plans.star import Star
+from strandline.plans.star import BOUNDED, Star
 from strandline.sources.keyed_table import KeyedTable, keyed_table
 from strandline.sources.landing import FILES_PER_BATCH
 from strandline.streaming.bronze import start_ingest
@@ -221,7 +221,7 @@ class LakeStar(Star):
     @cached_property
     def small(self) -> frozenset[str]:
         names = ("products", "customers", "territories")
-        return frozenset(n for n in names if _fits(self.lake.gold(f"dim_{n}")))
+        return BOUNDED | {n for n in names if _fits(self.lake.gold(f"dim_{n}"))}
 
     @cached_property
     def hot_products(self) -> DataFrame | None:

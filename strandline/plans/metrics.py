@@ -231,7 +231,8 @@ class _Query:
             groups = self._columns("date")
             dates = self._dimension("date").select("Date", *groups)
             back = year_before(dates, groups, self.month_ends)
-            rows = rows.join(back.withColumnRenamed("Date", date), date)
+            # A date belongs to one group, so this is no longer than the calendar.
+            rows = rows.join(F.broadcast(back.withColumnRenamed("Date", date)), date)
         sums = {
             n: F.col(t.column) * F.col(t.times) if t.times else F.col(t.column)
             for n, t in totals.items()

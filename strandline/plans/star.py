@@ -16,6 +16,10 @@ from strandline.sources.adapters import SALES, TIES, Tables, dense_calendar, raw
 # Sources whose rows carry an arrival time; the others come with one row per key.
 TIMED = ("sales", "returns")
 
+# One row per date, and there are fewer than 3.7 million dates: the calendar's size is bounded
+# whatever the facts are.
+BOUNDED = frozenset({"date"})
+
 
 class Star:
     """What a measure query needs: two facts, four dimensions and what is known of their size.
@@ -30,7 +34,7 @@ class Star:
     customers: DataFrame
     territories: DataFrame
     date: DataFrame
-    small: frozenset[str] = frozenset()
+    small: frozenset[str] = BOUNDED
     hot_products: DataFrame | None = None
 
 
@@ -40,7 +44,9 @@ def silver(tables: Tables, source: str, spoiled: bool = False) -> DataFrame:
     rows = gate(CLEANERS[source](raw(tables, source, spoiled)), source)
     if source in TIMED:
         rows = keep_latest(rows, spec.keys, ties=TIES[source])
-    return rows.select(*spec.columns)
+    rows = rows.select(*spec.columns)
+    # Every calendar column follows from the date, so equal keys are equal rows.
+    return rows.distinct() if source == "calendar" else rows
 
 
 class SourceStar(Star):
@@ -60,7 +66,7 @@ class SourceStar(Star):
         self.tables = Tables(spark, folder)
         self._dense = dense_dates
         if small is not None:
-            self.small = small
+            self.small = BOUNDED | small
 
     @cached_property
     def small(self) -> frozenset[str]:
@@ -68,7 +74,8 @@ class SourceStar(Star):
         sources = {"products": "part", "customers": "customer", "territories": "nation"}
         paths = {d: self.tables.path(t) for d, t in sources.items()}
         sizes = stored_bytes(self.tables.spark, *paths.values())
-        return frozenset(d for d, p in paths.items() if 0 < sizes[p] <= SMALL_LOOKUP_BYTES)
+        few = {d for d, p in paths.items() if 0 < sizes[p] <= SMALL_LOOKUP_BYTES}
+        return BOUNDED | few
 
     @cached_property
     def hot_products(self) -> DataFrame | None:

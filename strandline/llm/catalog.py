@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import language
+from strandline.llm import decontaminate, language, license, mixing, near
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_license": license.op1_license,
+        "op4_near_duplicates": near.op4_near_duplicates,
+        "op6_mixing": mixing.op6_mixing,
         "op9_language": language.op9_language,
+        "op10_decontaminate": decontaminate.op10_decontaminate,
     }
 
 

@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import decontaminate, language, license, mixing, near
+from strandline.llm import decontaminate, language, license, mixing, near, privacy, tokens
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license": license.op1_license,
+        "op2_privacy": privacy.op2_privacy,
+        "op3_tokens": tokens.op3_tokens,
         "op4_near_duplicates": near.op4_near_duplicates,
         "op6_mixing": mixing.op6_mixing,
         "op9_language": language.op9_language,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import decontaminate, language, license, mixing, near, privacy, tokens
+from strandline.llm import decontaminate, hosts, language, license, mixing, near, privacy, sharding, tokens, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,11 +15,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_privacy": privacy.op2_privacy,
         "op3_tokens": tokens.op3_tokens,
         "op4_near_duplicates": near.op4_near_duplicates,
+        "op5_urls": urls.op5_urls,
         "op6_mixing": mixing.op6_mixing,
+        "op7_hosts": hosts.op7_hosts,
+        "op8_sharding": sharding.op8_sharding,
         "op9_language": language.op9_language,
         "op10_decontaminate": decontaminate.op10_decontaminate,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op7_hosts": hosts.OP7_SQL,
+    }

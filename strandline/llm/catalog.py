@@ -26,5 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op6_mixing": mixing.OP6_SQL,
         "op7_hosts": hosts.OP7_SQL,
+        "op10_decontaminate": decontaminate.OP10_SQL,
     }

@@ -182,3 +182,27 @@ def drop_contaminated(
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with every benchmark item that it contains."""
     return find_contained(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+# The same in SQL: the shingles of every document against those of every item, all compared.
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+OP10_SQL = f"""
+WITH d AS (
+    SELECT r, doc_id, array_to_string(words[i:i + {SHINGLE - 1}], ' ') AS s
+    FROM (SELECT r, doc_id, words, unnest(range(1, len(words) - {SHINGLE - 2})) AS i
+        FROM (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words FROM documents))
+), b AS (
+    SELECT DISTINCT r, item_id, array_to_string(words[i:i + {SHINGLE - 1}], ' ') AS s
+    FROM (SELECT r, item_id, words, unnest(range(1, len(words) - {SHINGLE - 2})) AS i
+        FROM (SELECT row_number() OVER () AS r, item_id, {_WORDS} AS words FROM benchmark))
+), n AS (
+    SELECT r, count(*) AS n FROM b GROUP BY r
+)
+SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment
+FROM (SELECT d.doc_id, b.item_id, any_value(n.n) AS n_shingles, count(DISTINCT d.s) AS n_shared
+    FROM d JOIN b ON d.s = b.s JOIN n ON n.r = b.r GROUP BY d.r, b.r, d.doc_id, b.item_id)
+WHERE n_shared >= {CONTAINMENT} * n_shingles - 1e-9
+"""

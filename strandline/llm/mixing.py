@@ -80,7 +80,7 @@ def mix(
     """One row per row of ``docs``: doc_id, source, size, source_size, target, copies, taken; then ``keep``."""
     rows = docs.select(
         F.col(doc_id).cast("bigint").alias("doc_id"), F.col(source).cast("string").alias("source"), n_words(text).alias("size"),
-        F.xxhash64(F.col(text).cast("string")).alias("digest"), F.struct(*keep, F.lit(0).alias("_")).alias("kept"),
+        F.md5(F.col(text).cast("string").cast("binary")).alias("digest"), F.struct(*keep, F.lit(0).alias("_")).alias("kept"),
     )
     rows = rows.withColumn("draw", draw("doc_id", "digest", seed=seed)).withColumn("slice", F.expr(f"CAST(draw % {SLICES} AS INT)"))
     slices = rows.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
@@ -128,4 +128,35 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-OP6_SQL = ""
+# The same in SQL: the level from running sums, and one running sum of words per source.
+OP6_SQL = rf"""
+WITH d AS (
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size, md5(text) AS digest,
+        ('0x' || substr(md5(concat_ws('|', '{SEED}', coalesce(doc_id::VARCHAR, '-'), coalesce(md5(text), '-'))), 1, 12))::BIGINT AS draw
+    FROM documents
+), s AS (
+    SELECT source, sum(size)::BIGINT AS source_size, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)}
+        {" ".join(f"WHEN {k} THEN {w}" for k, w in enumerate(WEIGHTS))} END AS weight
+    FROM d GROUP BY source
+), c AS (
+    SELECT *, {MAX_EPOCHS} * source_size AS cap, {MAX_EPOCHS} * source_size / weight AS ratio FROM s
+), l AS (
+    SELECT *, ({SHARE}::DOUBLE * sum(source_size) OVER ()
+            - coalesce(sum(cap) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+        / (sum(weight) OVER ()
+            - coalesce(sum(weight) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS own
+    FROM c
+), t AS (
+    SELECT source, source_size, CASE WHEN own >= ratio THEN cap::DOUBLE ELSE weight * (
+        SELECT own FROM l WHERE own < ratio ORDER BY ratio, source NULLS LAST LIMIT 1) END AS target
+    FROM l
+), q AS (
+    SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM t
+), p AS (
+    SELECT d.doc_id, d.size, q.source_size, q.target, q.whole, q.target - q.whole * q.source_size AS rest,
+        coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.draw % {SLICES}, d.draw, d.doc_id NULLS FIRST, d.size, d.digest NULLS FIRST
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS words_before
+    FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source
+)
+SELECT doc_id, size, source_size, target, (size * (whole + (words_before + size / 2 <= rest)::INT))::BIGINT AS taken FROM p
+"""

@@ -6,7 +6,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 
-from strandline.llm.tokens import SEQ_LEN, permute, read_records, read_shards, token_ids, write_shards
+from strandline.llm.tokens import PIECES, SEQ_LEN, VOCABULARY, _encoding, permute, read_records, read_shards, token_ids, write_shards
 
 
 def test_permutation_is_one_to_one_and_keyed():
@@ -18,6 +18,15 @@ def test_permutation_is_one_to_one_and_keyed():
     assert permute(np.arange(20_000), 20_000, 5)[:100].std() > 3000
 
 
+def test_ids_do_not_depend_on_the_short_cut():
+    rng = random.Random(8)
+    whole = _encoding(VOCABULARY, PIECES)
+    bits = ["a", "b'll", " ", " ", "  ", "\n", "\t", "\u00a0", "\u3000", "é", "1", "!", "\x1c", "\x85", " \n", "日本", "²", "_", "\r\n"]
+    for _ in range(5000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(0, 9)))
+        assert token_ids(text) == whole.encode_ordinary(text)
+
+
 def corpus():
     rng = random.Random(4)
     docs = [(k, " ".join(rng.choice(["the", "Élan", "x1", "\n", "日本"]) for _ in range(rng.randint(0, 400)))) for k in range(60)]

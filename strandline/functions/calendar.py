@@ -24,25 +24,29 @@ def date_spine(df: DataFrame, column: str) -> DataFrame:
             )
         ).alias("Date")
     )
-    date = F.col("Date")
-    return days.select(
-        "Date",
+    return days.select("Date", *_labels(F.col("Date")))
+
+
+def _labels(date: Column) -> list[Column]:
+    return [
         F.year(date).alias("Year"),
         F.month(date).alias("MonthNo"),
         F.date_format(date, "MMMM").alias("Month"),
         F.quarter(date).alias("QuarterNo"),
         F.concat(F.lit("Qtr "), F.quarter(date)).alias("Quarter"),
         F.dayofmonth(date).alias("Day"),
-    )
+    ]
 
 
-def drill_down(daily: DataFrame, spine: DataFrame, date: str, totals: Sequence[str]) -> DataFrame:
+def drill_down(daily: DataFrame, date: str, totals: Sequence[str]) -> DataFrame:
     """Totals at year, quarter, month and day level and overall, in one pass.
 
-    ``daily`` holds ``totals`` already added up per ``date``. ``level`` counts the levels a row
-    spells out, 0 being the overall total and 4 a single day.
+    ``daily`` holds ``totals`` already added up per ``date``; a date's labels are its own, so no
+    calendar is joined. ``level`` counts the levels a row spells out, 0 being the overall total
+    and 4 a single day.
     """
-    dated = daily.withColumn("Date", F.to_date(date)).join(spine, "Date", "left")
+    day = F.to_date(date)
+    dated = daily.select(*_labels(day), *totals)
     levels = ("Year", "QuarterNo", "MonthNo", "Day")
     rolled = dated.rollup(*levels).agg(
         *[F.sum(t).alias(t) for t in totals],
@@ -62,10 +66,13 @@ def drill_down(daily: DataFrame, spine: DataFrame, date: str, totals: Sequence[s
     )
 
 
-def year_before(dates: DataFrame, groups: Sequence[str], month_ends: bool = True) -> DataFrame:
-    """For each group of dates, the dates one year earlier that the calendar holds.
+def year_before(
+    dates: DataFrame, groups: Sequence[str], calendar: DataFrame, month_ends: bool = True
+) -> DataFrame:
+    """For each group of dates, the dates one year earlier that ``calendar`` holds.
 
-    ``dates`` has a ``Date`` column and the group columns. Returns (``groups``, ``Date``)
+    ``dates`` has a ``Date`` column and the group columns. A filter on dates narrows ``dates``;
+    ``calendar`` is the whole one, else the year before a chosen year would be unknown. Returns (``groups``, ``Date``)
     without repeats. With ``month_ends`` a group that reaches both 27 and 28 February of the
     year after a leap year also takes in 29 February, as it holds that month's end; a plain
     shift can never land on it. Sizes follow the calendar, not the facts.
@@ -80,5 +87,5 @@ def year_before(dates: DataFrame, groups: Sequence[str], month_ends: bool = True
         back = back.select(*groups, "Date").unionByName(
             full.filter(F.col("days") == 2).select(*groups, "Date")
         )
-    known = dates.select("Date").distinct()
+    known = calendar.select("Date").distinct()
     return back.select(*groups, "Date").distinct().join(known, "Date", "left_semi")

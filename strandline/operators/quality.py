@@ -149,7 +149,7 @@ def quality_report(df: DataFrame, source: str) -> DataFrame:
         F.lit(source).alias("table_name"),
         "rule_name",
         F.when(F.col("failed_rows") == 0, "PASS").otherwise(F.col("breach")).alias("status"),
-        F.col("failed_rows").cast("int").alias("failed_rows"),
+        "failed_rows",
         MARK,
         F.current_timestamp().alias("evaluation_timestamp"),
     )

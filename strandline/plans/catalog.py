@@ -68,7 +68,7 @@ def _report(df: DataFrame, measures: tuple[str, ...]) -> DataFrame:
 # name: (measures, group columns, further arguments)
 VISUALS: dict[str, tuple[tuple[str, ...], tuple[str, ...], dict]] = {
     "revenue_by_region_map": (("Revenue",), ("Region", "Country"), {}),
-    "revenue_profit_by_month": (("Revenue", "Profit"), ("Month", "MonthName"), {}),
+    "revenue_profit_by_month": (("Revenue", "Profit"), ("Month", "MonthName"), {"order_by": "MonthName"}),
     "revenue_by_category": (("Revenue",), ("CategoryName",), {}),
     "orders_by_category": (("Total Orders",), ("CategoryName",), {}),
     "profit_by_category": (("Profit",), ("CategoryName",), {}),
@@ -100,8 +100,17 @@ VISUALS: dict[str, tuple[tuple[str, ...], tuple[str, ...], dict]] = {
         ("CategoryName",),
         {"where": {"territories": "Country = 'Asia'", "date": "Year = 1997"}},
     ),
+    # Measures that a group column does not reach.
+    "return_rate_by_gender": (("Total Quantity Sold", "Return Rate"), ("Gender",), {}),
+    "total_countries_by_category": (("Total Countries",), ("CategoryName",), {}),
+    "countries_and_revenue_by_year": (("Revenue", "Total Countries"), ("Year",), {}),
+    "returns_by_category_and_gender": (
+        ("Total Quantity Sold", "Total Returned Quantity"), ("CategoryName", "Gender"), {},
+    ),
 }
 
+IN_1997 = {"date": "Year = 1997"}
+
 # Measures that look a year back run over the calendar without gaps.
 YEAR_BACK: dict[str, tuple[tuple[str, ...], tuple[str, ...], dict]] = {
     "revenue_ly_total": (("Revenue", "Revenue LY"), (), {}),
@@ -114,6 +123,13 @@ YEAR_BACK: dict[str, tuple[tuple[str, ...], tuple[str, ...], dict]] = {
     ),
     "profit_ly_by_year": (("Profit", "Profit LY"), ("Year",), {}),
     "profit_yoy_by_month": (("Profit", "Profit LY", "Profit YoY %"), ("Year", "Month"), {}),
+    "revenue_ly_filtered": (("Revenue", "Revenue LY"), (), {"where": IN_1997}),
+    "revenue_yoy_filtered": (
+        ("Revenue", "Revenue LY", "Revenue YoY %"), ("Month",), {"where": IN_1997},
+    ),
+    "profit_ly_by_category_filtered": (
+        ("Profit", "Profit LY"), ("CategoryName",), {"where": IN_1997},
+    ),
 }
 
 
@@ -248,7 +264,7 @@ def dq_audit_append(spark: SparkSession, folder: str) -> DataFrame:
 
 def _latest_events(tables: Tables, where: str) -> DataFrame:
     rows = tables["events"].filter(where)
-    return keep_latest(rows, ["user_id"], "ts", ["event_id"]).drop("props")
+    return keep_latest(rows, ["user_id"], "ts", ["event_id"])
 
 
 def upsert_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -316,7 +332,7 @@ def hwm_slice(spark: SparkSession, folder: str) -> DataFrame:
     """Events above the mark of those already loaded."""
     events = Tables(spark, folder)["events"]
     mark = high_water_mark(events.filter(FIRST_EVENTS), "ts")
-    return newer_than(events, "ts", mark).drop("props")
+    return newer_than(events, "ts", mark)
 
 
 def gold_hwm(spark: SparkSession, folder: str) -> DataFrame:
@@ -432,9 +448,7 @@ def date_spine_query(spark: SparkSession, folder: str) -> DataFrame:
 def _hierarchy(spark: SparkSession, folder: str, column: str) -> DataFrame:
     star = SourceStar(spark, folder)
     daily = star.sales.groupBy(column).agg(F.sum("Revenue").alias("revenue"))
-    spine = star.date if column == "OrderDate" else daily
-    spine = date_spine(spine, "Date" if column == "OrderDate" else column)
-    return as_doubles(drill_down(daily, spine, column, ["revenue"]))
+    return as_doubles(drill_down(daily, column, ["revenue"]))
 
 
 def date_hierarchy_birthdate(spark: SparkSession, folder: str) -> DataFrame:
@@ -443,13 +457,12 @@ def date_hierarchy_birthdate(spark: SparkSession, folder: str) -> DataFrame:
     born = star.customers.select("CustomerKey", "BirthDate")
     daily = spent.join(born, "CustomerKey", "left").groupBy("BirthDate")
     daily = daily.agg(F.sum("revenue").alias("revenue"))
-    spine = date_spine(born, "BirthDate")
-    return as_doubles(drill_down(daily, spine, "BirthDate", ["revenue"]))
+    return as_doubles(drill_down(daily, "BirthDate", ["revenue"]))
 
 
 def implicit_sum_quantity(spark: SparkSession, folder: str) -> DataFrame:
-    sales = SourceStar(spark, folder).sales
-    return sales.agg(implicit("sales", "OrderQuantity").alias("quantity"))
+    lines = SourceStar(spark, folder).lines
+    return lines.agg(implicit("sales", "OrderQuantity").alias("quantity"))
 
 
 def implicit_count_category(spark: SparkSession, folder: str) -> DataFrame:

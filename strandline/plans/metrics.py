@@ -139,6 +139,10 @@ DIMENSIONS: dict[str, tuple[str, ...]] = {
         "Date", "Year", "Month", "Quarter", "DayOfMonth", "DayName", "IsWeekend", "MonthName",
     ),
 }
+# Labels that are sorted by another column of their dimension.
+SORTED_BY = {"MonthName": "Month"}
+# Columns of a sale that its product's price brings.
+PRICED = frozenset({"ProductPrice", "ProductCost", "Revenue", "Cost", "Profit"})
 HOME = {column: name for name, columns in DIMENSIONS.items() for column in columns}
 
 
@@ -159,12 +163,18 @@ class _Query:
 
     def _related(self, fact: str) -> list[str]:
         """Dimensions this query needs for ``fact``: grouped by, or filtered and reachable."""
-        paths = RELATIONSHIPS[fact]
-        far = [c for c in self.by if self.home[c] not in paths]
-        if far:
-            raise ValueError(f"{fact} is not related to {far}")
         grouped = {self.home[c] for c in self.by}
-        return [d for d in paths if d in grouped or d in self.where]
+        return [d for d in RELATIONSHIPS[fact] if d in grouped or d in self.where]
+
+    def reached(self, fact: str) -> list[str]:
+        """The group columns that ``fact`` is related to; the others do not split its measures."""
+        return [c for c in self.by if self.home[c] in RELATIONSHIPS[fact]]
+
+    def _rows(self, fact: str, columns: Sequence[str]) -> DataFrame:
+        """The rows of ``fact``; sales without their prices where ``columns`` need none."""
+        if fact == "sales" and not PRICED.intersection(columns):
+            return self.star.lines
+        return getattr(self.star, fact)
 
     def _attach(
         self, rows: DataFrame, fact: str, dimension: str, columns: Sequence[str], spread: bool
@@ -217,7 +227,7 @@ class _Query:
         date = RELATIONSHIPS[fact]["date"][0]
         keys = [RELATIONSHIPS[fact][d][0] for d in needed] + ([date] if shifted else [])
         columns = sorted(summed or {t.column for t in totals.values()})
-        rows: DataFrame = getattr(self.star, fact)
+        rows = self._rows(fact, [*columns, *(d.column for d in distincts.values())])
         if distincts or not keys:
             values = {f"_v{i}": F.col(d.column) for i, d in enumerate(distincts.values())}
             rows = rows.select(*keys, *columns, *[v.alias(n) for n, v in values.items()])
@@ -230,27 +240,39 @@ class _Query:
         if shifted:
             groups = self._columns("date")
             dates = self._dimension("date").select("Date", *groups)
-            back = year_before(dates, groups, self.month_ends)
+            back = year_before(dates, groups, self.star.date, self.month_ends)
             # A date belongs to one group, so this is no longer than the calendar.
             rows = rows.join(F.broadcast(back.withColumnRenamed("Date", date)), date)
         sums = {
             n: F.col(t.column) * F.col(t.times) if t.times else F.col(t.column)
             for n, t in totals.items()
         }
-        return rows.groupBy(*self.by).agg(
+        return rows.groupBy(*self.reached(fact)).agg(
             *[F.sum(c).alias(n) for n, c in sums.items()],
             *[distinct_with_blank(F.col(v)).alias(n) for n, v in zip(distincts, values)],
         )
 
     def members(self, name: str, measure: Members) -> DataFrame:
-        if any(self.home[c] != measure.dimension for c in self.by):
-            raise ValueError(f"{name} can only be grouped by columns of {measure.dimension}")
         return (
             self._dimension(measure.dimension)
-            .groupBy(*self.by)
+            .groupBy(*self._columns(measure.dimension))
             .agg(distinct_with_blank(F.col(measure.column)).alias(name))
         )
 
+    def attach_far(self, groups: DataFrame, part: DataFrame) -> DataFrame:
+        """``groups`` with the measures of ``part``, which only some of the group columns split.
+
+        Its value repeats over the groups that differ in the other columns alone: a total is a
+        single value, else the part has one row per combination of its columns.
+        """
+        near = [c for c in self.by if c in part.columns]
+        values = [c for c in part.columns if c not in near]
+        if not near:
+            return groups.withColumns({v: part.select(f"`{v}`").scalar() for v in values})
+        told = part.select(*[F.col(c).alias(f"_{c}") for c in near], *[f"`{v}`" for v in values])
+        same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in near])
+        return groups.join(told, same, "left").drop(*[f"_{c}" for c in near])
+
     def groups(self) -> DataFrame | None:
         """All groups there can be, when they come from one dimension."""
         homes = set(self.home.values())
@@ -282,6 +304,18 @@ def _value(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def _sorted_by(result: DataFrame, star: Star, column: str, by: Sequence[str]) -> DataFrame:
+    """``result`` in the order of a group column, or of the column that it is sorted by."""
+    sorter = SORTED_BY.get(column, column)
+    if sorter in result.columns:
+        return result.orderBy(sorter, *by)
+    labels = _Query(star, [column], {}, True)._dimension(HOME[column])
+    place = labels.groupBy(F.col(column).alias("_label")).agg(F.min(sorter).alias("_place"))
+    # One row per label, and a label is a value of a dimension that the groups already hold.
+    joined = result.join(place, F.col(column).eqNullSafe(F.col("_label")), "left")
+    return joined.orderBy("_place", *by).drop("_label", "_place")
+
+
 def metric_query(
     star: Star,
     measures: Sequence[str],
@@ -289,9 +323,14 @@ def metric_query(
     where: Mapping[str, str] | None = None,
     top: int | None = None,
     month_ends: bool = True,
+    order_by: str | None = None,
 ) -> DataFrame:
     """``measures`` per group of dimension columns, greatest first measure first.
 
+    With ``order_by``, a group column, groups come in that column's order instead; a label with a
+    column to sort by comes in the order of that one (months by their number). A measure that
+    some group column does not reach repeats its value over that column's groups.
+
     ``where`` maps a dimension to a SQL condition on it; it reaches the facts related to that
     dimension. Fact rows without a dimension row fall into the null group. Groups in which
     every measure is blank are left out. ``top`` keeps the groups ranked up to that place by
@@ -323,11 +362,23 @@ def metric_query(
     never_blank = any(isinstance(MEASURES[m], Ratio | Growth) for m in measures)
     if never_blank and by and (groups := query.groups()) is not None:
         parts.append(groups)
+    split = [p for p in parts if all(c in p.columns for c in by)]
+    far = [p for p in parts if not all(c in p.columns for c in by)]
+    if far and not split:
+        if (groups := query.groups()) is None:
+            raise ValueError(f"no measure of {list(measures)} is related to all of {list(by)}")
+        split = [groups]
+    elif far and (groups := query.groups()) is not None:
+        split.append(groups)
+    parts = split
     frame = parts[0]
     if len(parts) > 1:
         # Each part has at most one row per group; grouping keeps null groups together.
         stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-        frame = stacked.groupBy(*by).agg(*[F.max(f"`{n}`").alias(n) for n in plain])
+        found = [n for n in plain if n in stacked.columns]
+        frame = stacked.groupBy(*by).agg(*[F.max(f"`{n}`").alias(n) for n in found])
+    for part in far:
+        frame = query.attach_far(frame, part)
 
     result = frame.select(*by, *[_value(m).alias(m) for m in measures])
     if by:
@@ -338,5 +389,8 @@ def metric_query(
             place = F.rank().over(Window.orderBy(first.desc_nulls_last()))
             result = result.withColumn("_place", place).filter(F.col("_place") <= top)
             result = result.drop("_place")
-        result = result.orderBy(first.desc_nulls_last(), *by)
+        if order_by is None:
+            result = result.orderBy(first.desc_nulls_last(), *by)
+        else:
+            result = _sorted_by(result, star, order_by, by)
     return result

@@ -319,15 +319,20 @@ def _return_rate(where_sales: str = "", where_returns: str = "") -> str:
     )
 
 
-def _last_year(measure: str, by: str, month_ends: bool = True, growth: bool = False) -> str:
-    """Measure per period and over the same period of the year before."""
+def _last_year(
+    measure: str, by: str, month_ends: bool = True, growth: bool = False, chosen: str = "dated"
+) -> str:
+    """Measure per period and over the same period of the year before.
+
+    ``chosen`` are the days of the report; the year before is looked up in all days.
+    """
     low = measure.lower()
     keys = by.split(", ") if by else []
     listed = f"{by}, " if by else ""
-    shifted = f"SELECT {listed}Before AS d FROM dated"
+    shifted = f"SELECT {listed}Before AS d FROM {chosen}"
     if month_ends:
         leap = (
-            f"SELECT {listed}last_day(Before) AS d FROM dated WHERE month(\"Date\") = 2 "
+            f"SELECT {listed}last_day(Before) AS d FROM {chosen} WHERE month(\"Date\") = 2 "
             "AND day(\"Date\") IN (27, 28) AND day(last_day(Before)) = 29 "
             f"GROUP BY {listed}last_day(Before) HAVING count(*) = 2"
         )
@@ -335,7 +340,8 @@ def _last_year(measure: str, by: str, month_ends: bool = True, growth: bool = Fa
     known = f'SELECT DISTINCT * FROM ({shifted}) WHERE d IN (SELECT "Date" FROM days)'
     group = f" GROUP BY {by}" if by else ""
     now = (
-        f'SELECT {listed}sum({measure}) AS now FROM dated JOIN daily ON "Date" = OrderDate{group}'
+        f"SELECT {listed}sum({measure}) AS now FROM {chosen} "
+        f'JOIN daily ON "Date" = OrderDate{group}'
     )
     past = f"SELECT {listed}sum({measure}) AS past FROM ({known}) JOIN daily ON d = OrderDate{group}"
     match = " AND ".join(f"n.{k} = p.{k}" for k in keys) or "TRUE"
@@ -392,7 +398,7 @@ def _report(source: str, rows: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{source}' AS table_name, '{name}' AS rule_name, "
         f"CASE WHEN n = 0 THEN 'PASS' ELSE '{breach}' END AS status, "
-        f"CAST(n AS INT) AS failed_rows FROM (SELECT {count} AS n)"
+        f"CAST(n AS BIGINT) AS failed_rows FROM (SELECT {count} AS n)"
         for name, breach, count in lines
     )
 
@@ -409,7 +415,7 @@ def _events(where: str, loose: bool = False) -> str:
     user = "CASE WHEN user_id % 10 <> 0 THEN user_id END AS user_id" if loose else "user_id"
     picked = f"(SELECT * FROM events WHERE {where})"
     newest = _newest(picked, "user_id", "ts DESC, event_id", "*")
-    return f"(SELECT event_id, ts, {user}, event_type, value FROM ({newest}))"
+    return f"(SELECT event_id, ts, {user}, event_type, value, props FROM ({newest}))"
 
 
 EARLY, LATE = "ts < TIMESTAMP '2024-01-21'", "ts >= TIMESTAMP '2024-01-21'"
@@ -455,6 +461,53 @@ def _money(columns: str, rows: str) -> str:
     return f"SELECT * REPLACE ({replaced}) FROM {rows}"
 
 
+IN_1997 = '(SELECT * FROM dated WHERE "Year" = 1997)'
+
+
+def _profit_by_category_1997() -> str:
+    """Profit of 1997 and of the days a year before the days of 1997, 29 February 1996 with them."""
+    shifted = (
+        f"SELECT Before AS d FROM {IN_1997} UNION SELECT last_day(Before) FROM {IN_1997} "
+        'WHERE month("Date") = 2 AND day("Date") IN (27, 28) AND day(last_day(Before)) = 29 '
+        "GROUP BY last_day(Before) HAVING count(*) = 2"
+    )
+    past_days = f'SELECT d FROM ({shifted}) WHERE d IN (SELECT "Date" FROM days)'
+    part = "SELECT CategoryName, sum(Profit) AS v FROM wide_sales WHERE OrderDate IN ({}) GROUP BY 1"
+    now = part.format(f'SELECT "Date" FROM {IN_1997}')
+    return (
+        f"SELECT COALESCE(n.CategoryName, p.CategoryName) AS CategoryName, {_double('n.v', 'profit')}, "
+        f"{_double('p.v', 'profit_ly')} FROM ({now}) n FULL JOIN ({part.format(past_days)}) p "
+        "ON n.CategoryName IS NOT DISTINCT FROM p.CategoryName"
+    )
+
+
+def _far_measures() -> dict[str, str]:
+    """Measures that repeat over the groups of a column that does not reach them."""
+    back = "(SELECT CAST(sum(ReturnQuantity) AS BIGINT) FROM fact_returns)"
+    lands = f"(SELECT {_distinct('Country')} FROM dim_territories)"
+    quantity = "CAST(sum(OrderQuantity) AS BIGINT) AS total_quantity_sold"
+    genders = "(SELECT DISTINCT Gender FROM dim_customers)"
+    sold = f"(SELECT Gender, {quantity} FROM wide_sales GROUP BY 1)"
+    returned = (
+        "(SELECT CategoryName, CAST(sum(ReturnQuantity) AS BIGINT) AS q FROM wide_returns GROUP BY 1)"
+    )
+    years = 'SELECT DISTINCT "Year" FROM dim_date'
+    return {
+        "return_rate_by_gender": "SELECT COALESCE(g.Gender, s.Gender) AS Gender, s.total_quantity_sold, "
+        f"{_ratio(back, 's.total_quantity_sold', 'return_rate')} FROM {genders} g FULL JOIN {sold} s "
+        "ON g.Gender IS NOT DISTINCT FROM s.Gender",
+        "total_countries_by_category": "SELECT DISTINCT CategoryName, "
+        f"{lands} AS total_countries FROM dim_products",
+        "countries_and_revenue_by_year": f'SELECT COALESCE(d."Year", s."Year") AS "Year", s.revenue, '
+        f"{lands} AS total_countries FROM ({years}) d FULL JOIN "
+        f'(SELECT "Year", {REVENUE} FROM wide_sales GROUP BY 1) s '
+        'ON d."Year" IS NOT DISTINCT FROM s."Year"',
+        "returns_by_category_and_gender": "SELECT s.*, r.q AS total_returned_quantity FROM "
+        f"(SELECT CategoryName, Gender, {quantity} FROM wide_sales GROUP BY 1, 2) s "
+        f"LEFT JOIN {returned} r ON s.CategoryName IS NOT DISTINCT FROM r.CategoryName",
+    }
+
+
 ASIA_1997 = "WHERE Country = 'Asia' AND \"Year\" = 1997"
 
 
@@ -535,6 +588,9 @@ def oracle_sql() -> dict[str, str]:
         "revenue_yoy_by_month": _last_year("Revenue", '"Year", "Month"', growth=True),
         "profit_ly_by_year": _last_year("Profit", '"Year"'),
         "profit_yoy_by_month": _last_year("Profit", '"Year", "Month"', growth=True),
+        "revenue_ly_filtered": _last_year("Revenue", "", chosen=IN_1997),
+        "revenue_yoy_filtered": _last_year("Revenue", '"Month"', growth=True, chosen=IN_1997),
+        "profit_ly_by_category_filtered": _profit_by_category_1997(),
         "clean_dates": f"SELECT o_orderkey, text, {_date('text')} AS day "
         f"FROM (SELECT o_orderkey, {DATE_TEXTS} AS text FROM orders)",
         "return_key": "SELECT ReturnKey, ReturnDate, TerritoryKey, ProductKey, "
@@ -572,7 +628,7 @@ def oracle_sql() -> dict[str, str]:
             "first_silver_sales", "later_silver_sales", "OrderNumber, OrderLineItem"
         ),
         "upsert_bootstrap": "SELECT * FROM silver_customers",
-        "hwm_slice": "SELECT event_id, ts, user_id, event_type, value FROM events "
+        "hwm_slice": "SELECT * FROM events "
         f"WHERE ts > (SELECT max(ts) FROM events WHERE {EARLY})",
         "gold_hwm": f"SELECT 1 AS load, TRUE AS from_epoch, max(ts) AS mark, count(*) AS \"rows\" "
         f"FROM events WHERE {EARLY} UNION ALL SELECT 2, FALSE, max(ts), count(*) FROM events "
@@ -603,4 +659,5 @@ def oracle_sql() -> dict[str, str]:
         "implicit_count_category": "SELECT ProductColor, count(ProductCategoryKey) AS categories "
         "FROM dim_products GROUP BY ProductColor",
     }
+    sql |= _far_measures()
     return {name: _with(text) for name, text in sql.items()}

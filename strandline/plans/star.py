@@ -37,6 +37,11 @@ class Star:
     small: frozenset[str] = BOUNDED
     hot_products: DataFrame | None = None
 
+    @property
+    def lines(self) -> DataFrame:
+        """Sales for measures that use no price; a star that prices them lazily has them bare."""
+        return self.sales
+
 
 def silver(tables: Tables, source: str, spoiled: bool = False) -> DataFrame:
     """Cleaned, gated, newest-per-key rows of ``source``, as one lazy plan."""
@@ -89,11 +94,14 @@ class SourceStar(Star):
     def _silver_products(self) -> DataFrame:
         return silver(self.tables, "products")
 
+    @cached_property
+    def lines(self) -> DataFrame:
+        return silver(self.tables, "sales")
+
     @cached_property
     def sales(self) -> DataFrame:
         few = "products" in self.small
-        lines = silver(self.tables, "sales")
-        return gold.fact_sales(lines, self._silver_products, few, self.hot_products)
+        return gold.fact_sales(self.lines, self._silver_products, few, self.hot_products)
 
     @cached_property
     def returns(self) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql.types import StructType
 
 PROCESSED = "silver_processed_timestamp"
 INGESTED = "ingestion_timestamp"
+LANDED = "file_modified"  # when the row's file was last changed, by the landing folder's clock
+SOURCE_FILE = "source_file"
 GOLD_PROCESSED = "gold_processed_timestamp"
 MARK = "max_silver_processed_timestamp"
 
@@ -27,12 +29,13 @@ class Source:
     @property
     def bronze_schema(self) -> StructType:
         return StructType.fromDDL(
-            f"{self.landing}, {INGESTED} TIMESTAMP, source_file STRING, ingestion_date DATE"
+            f"{self.landing}, {INGESTED} TIMESTAMP, {SOURCE_FILE} STRING, ingestion_date DATE, "
+            f"{LANDED} TIMESTAMP"
         )
 
     @property
     def ties(self) -> tuple[str, ...]:
-        """Columns that order rows of one key which arrived at the same instant."""
+        """Columns that order rows of one key which arrived in the same file."""
         return tuple(c for c in self.columns if c not in self.keys)
 
 

@@ -28,13 +28,14 @@ from strandline.operators.quality import (
     read_audit,
     verdict,
 )
-from strandline.plans.lake import Lake, LakeStar, ingest_sources, refine_sources, refresh
+from strandline.plans.lake import GOLD, Lake, LakeStar, ingest_sources, refine_sources, refresh
 from strandline.plans.metrics import MEASURES, Growth, Ratio, implicit, metric_query
 from strandline.plans.star import SourceStar, silver
 from strandline.session import run_folder
 from strandline.sources.adapters import TIES, Tables, raw
 from strandline.sources.keyed_table import keyed_table
 from strandline.sources.landing import landing_fresh, landing_ready
+from strandline.sources.namespaces import LAYERS, create_namespaces
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -355,16 +356,25 @@ def gold_hwm(spark: SparkSession, folder: str) -> DataFrame:
 # ---- landing, Bronze, Silver streams ----------------------------------------------------
 
 
-def _drop(lake: Lake, tables: Tables, source: str, **options) -> None:
-    """Write landing files for ``source``."""
+def _drop(
+    lake: Lake,
+    tables: Tables,
+    source: str,
+    change: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    **options,
+) -> None:
+    """Write landing files for ``source``, changed by ``change``.
+
+    The rows of one key go to one file: within a drop the order of files means nothing.
+    """
     columns = [f.name for f in SOURCES[source].landing_schema]
-    rows = raw(tables, source, **options).select(*columns)
-    rows.write.mode("append").options(**CSV).csv(lake.landing(source))
+    rows = change(raw(tables, source, **options).select(*columns))
+    keys = [k for k in SOURCES[source].keys if k in columns] or ["ReturnDate", "TerritoryKey", "ProductKey"]
+    rows.repartition(*keys).write.mode("append").options(**CSV).csv(lake.landing(source))
 
 
-def _lake(spark: SparkSession, label: str) -> Lake:
-    # One drop is one micro-batch here, however many files it has.
-    return Lake(spark, run_folder(spark, label), buckets=4, files_per_batch=1_000_000)
+def _lake(spark: SparkSession, label: str, **options) -> Lake:
+    return Lake(spark, run_folder(spark, label), buckets=4, **options)
 
 
 def bronze_ingest(spark: SparkSession, folder: str) -> DataFrame:
@@ -409,6 +419,76 @@ def silver_stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return lake.silver("sales").read().drop(PROCESSED)
 
 
+def silver_batch_cuts(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver sales after three drops of repeated keys in one run, with small and large batches."""
+    tables, found = Tables(spark, folder), []
+    more = lambda rows: rows.withColumn("OrderQuantity", F.col("OrderQuantity") + 1)
+    for cut in (1, 1000):
+        lake = _lake(spark, "cuts", files_per_batch=cut)
+        for lines, change in ((FIRST_LINES, more), (LATER_LINES, more), (FIRST_LINES, lambda r: r)):
+            _drop(lake, tables, "sales", change, where=lines)
+        ingest_sources(lake, "sales")
+        refine_sources(lake, "sales")
+        found.append(lake.silver("sales").read().drop(PROCESSED).withColumn("cut", F.lit(cut)))
+    return found[0].unionByName(found[1])
+
+
+def lakehouse_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Revenue per category of a lake filled by two drops and three runs, the third without news.
+
+    Half of the products land after their sales, and a category is renamed by the second drop.
+    """
+    lake, tables = _lake(spark, "steps"), Tables(spark, folder)
+    for source in SOURCES:
+        part = {"products": "p_partkey % 2 = 0", "sales": FIRST_LINES}.get(source)
+        _drop(lake, tables, source, where=part)
+    refresh(lake, halt=False)
+    _drop(lake, tables, "products", where="p_partkey % 2 = 1")
+    _drop(lake, tables, "sales", where=LATER_LINES)
+    renamed = F.concat("CategoryName", F.lit(" goods"))
+    _drop(lake, tables, "product_category", lambda r: r.withColumn("CategoryName", renamed), where="p_type = 'PROMO'")
+    refresh(lake, halt=False)
+    before = {name: lake.gold(name).last_token() for name in GOLD}
+    refresh(lake, halt=False)
+    if before != {name: lake.gold(name).last_token() for name in GOLD}:
+        raise AssertionError("a run without news changed Gold")
+    measures = ("Revenue", "Total Orders", "Return Rate")
+    return _report(metric_query(LakeStar(lake), measures, ["CategoryName"]), measures)
+
+
+def lakehouse_gate(spark: SparkSession, folder: str) -> DataFrame:
+    """What the audit log of every source holds after a run that the gate stopped before Gold."""
+    lake, tables = _lake(spark, "gate"), Tables(spark, folder)
+    for source in SOURCES:
+        _drop(lake, tables, source)
+    try:
+        refresh(lake)
+    except QualityGateError:
+        logs = [read_audit(spark, lake.audit(source)) for source in SOURCES]
+        loaded = F.lit(any(lake.gold(name).exists() for name in GOLD))
+        kept = ("table_name", "rule_name", "status", "failed_rows")
+        return reduce(DataFrame.unionByName, logs).select(*kept, loaded.alias("gold_loaded"))
+    raise AssertionError("broken rules did not stop the run")
+
+
+def setup_namespaces(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of one table in the database of every layer, each stored below the layer's folder."""
+    root, tables = run_folder(spark, "namespaces"), Tables(spark, folder)
+    names = create_namespaces(spark, root, f"lake_{root[-12:]}_")
+    rows = _cleaned(tables, "customers").withColumn(PROCESSED, F.current_timestamp())
+    layers = (raw(tables, "customers"), rows, gold.dim_customers(rows), quality_report(rows, "customers"))
+    found = []
+    for name, layer, frame in zip(names, LAYERS, layers, strict=True):
+        frame.write.saveAsTable(f"{name}.customers")
+        inside = F.col("_metadata.file_path").contains(f"/{layer}/")
+        found.append(
+            spark.table(f"{name}.customers").select(inside.alias("inside")).agg(
+                F.lit(layer).alias("layer"), F.count(F.lit(1)).alias("rows"), F.min("inside").alias("inside")
+            )
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
 def _landed(spark: SparkSession, folder: str) -> Lake:
     lake, tables = _lake(spark, "landing"), Tables(spark, folder)
     for source in ("customers", "products", "calendar", "territories"):
@@ -514,6 +594,10 @@ def queries() -> dict[str, Query]:
         "landing_ready": landing_ready_query,
         "landing_fresh": landing_fresh_query,
         "lakehouse_refresh": lakehouse_refresh,
+        "lakehouse_incremental": lakehouse_incremental,
+        "lakehouse_gate": lakehouse_gate,
+        "setup_namespaces": setup_namespaces,
+        "silver_batch_cuts": silver_batch_cuts,
         "date_spine": date_spine_query,
         "date_hierarchy_orderdate": partial(_hierarchy, column="OrderDate"),
         "date_hierarchy_stockdate": partial(_hierarchy, column="StockDate"),

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from dataclasses import dataclass
-from functools import cached_property
+import json
+from collections.abc import Callable, Iterable, Mapping
+from dataclasses import dataclass, field
+from functools import cached_property, reduce
 
 from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,9 @@ from pyspark.sql.streaming import StreamingQuery
 from strandline.contracts import GOLD_PROCESSED, MARK, PROCESSED, SOURCES
 from strandline.operators import star as gold
 from strandline.operators.increment import EPOCH, from_micros, newer_than
-from strandline.operators.lookup import SMALL_LOOKUP_BYTES, hot_keys, stored_bytes
+from strandline.operators.lookup import SMALL_LOOKUP_BYTES, hot_keys
 from strandline.operators.quality import (
+    QualityGateError,
     append_audit,
     audited_mark,
     enforce,
@@ -61,9 +63,8 @@ class Lake:
 
 
 def _fits(table: KeyedTable) -> bool:
-    """Whether a table may be broadcast; superseded files count too, so never too little."""
-    rows = f"{table.path}/rows"
-    return 0 < stored_bytes(table.spark, rows)[rows] <= SMALL_LOOKUP_BYTES
+    """Whether a table may be broadcast, going by the files it consists of now."""
+    return 0 < table.live_bytes() <= SMALL_LOOKUP_BYTES
 
 
 def _fact_sales(lake: Lake, lines: DataFrame) -> DataFrame:
@@ -80,12 +81,22 @@ def _dim_products(lake: Lake, products: DataFrame) -> DataFrame:
     return gold.dim_products(products, groups.read(), tops.read(), few, hot)
 
 
+def _groups_of(lake: Lake, categories: DataFrame) -> DataFrame:
+    """The subcategories of changed categories."""
+    groups = lake.silver("product_sub_category").read()
+    changed = categories.select("ProductCategoryKey").distinct()
+    return groups.join(changed, "ProductCategoryKey", "left_semi").select("ProductSubcategoryKey")
+
+
 @dataclass(frozen=True)
 class GoldTable:
     source: str  # the Silver table whose new rows drive the load
     keys: tuple[str, ...]
     build: Callable[[Lake, DataFrame], DataFrame]
     cluster: tuple[str, ...] = ()  # what reports filter by
+    # Silver tables that rows are looked up in: which driving rows their changed rows concern, as
+    # a frame of one driving column.
+    lookups: Mapping[str, Callable[[Lake, DataFrame], DataFrame]] = field(default_factory=dict)
 
 
 GOLD: dict[str, GoldTable] = {
@@ -93,13 +104,25 @@ GOLD: dict[str, GoldTable] = {
         "customers", ("CustomerKey",), lambda lake, rows: gold.dim_customers(rows)
     ),
     "dim_date": GoldTable("calendar", ("Date",), lambda lake, rows: gold.dim_date(rows)),
-    "dim_products": GoldTable("products", ("ProductKey",), _dim_products),
+    "dim_products": GoldTable(
+        "products",
+        ("ProductKey",),
+        _dim_products,
+        lookups={
+            "product_sub_category": lambda lake, rows: rows.select("ProductSubcategoryKey"),
+            "product_category": _groups_of,
+        },
+    ),
     "dim_territories": GoldTable(
         "territories", ("TerritoryKey",), lambda lake, rows: gold.dim_territories(rows)
     ),
     # A line keeps its identity when its product is corrected.
     "fact_sales": GoldTable(
-        "sales", ("OrderNumber", "OrderLineItem"), _fact_sales, ("OrderDate",)
+        "sales",
+        ("OrderNumber", "OrderLineItem"),
+        _fact_sales,
+        ("OrderDate",),
+        {"products": lambda lake, rows: rows.select("ProductKey")},
     ),
     "fact_returns": GoldTable(
         "returns", ("ReturnKey",), lambda lake, rows: gold.fact_returns(rows), ("ReturnDate",)
@@ -174,27 +197,61 @@ def validate_source(lake: Lake, source: str, halt: bool = True) -> DataFrame | N
 def load_gold(lake: Lake, name: str) -> bool:
     """Build and merge the Gold rows of Silver rows above the table's mark; False if none.
 
-    The mark each load reached is the token of its batch, so it is known without a scan.
+    Rows below the mark are built again when what they look up has changed: a product that
+    lands after its sale prices it, a renamed category reaches its products. The marks each
+    load reached, of the driving table and of its lookups, are the token of its batch, so they are
+    known without a scan.
     """
     spec, target = GOLD[name], lake.gold(name)
     last = target.last_token()
-    mark = EPOCH if last is None else from_micros(int(last))
-    rows = newer_than(lake.silver(spec.source).read(), PROCESSED, mark)
-    newest = rows.agg(F.unix_micros(F.max(PROCESSED))).first()[0]
-    if newest is None:
+    marks = {} if last is None else json.loads(last)
+
+    def changed(source: str) -> tuple[DataFrame, int | None]:
+        rows = newer_than(lake.silver(source).read(), PROCESSED, from_micros(marks.get(source, 0)))
+        return rows, rows.agg(F.unix_micros(F.max(PROCESSED))).first()[0]
+
+    rows, newest = changed(spec.source)
+    reached = marks | ({} if newest is None else {spec.source: newest})
+    concerned = []
+    for source, concerns in spec.lookups.items():
+        looked_up, at = changed(source)
+        if at is not None:
+            reached[source] = at
+            concerned.append(concerns(lake, looked_up))
+    if reached == marks:
+        return False
+    if concerned and spec.source in marks:
+        keys = reduce(DataFrame.unionByName, concerned).distinct()
+        older = lake.silver(spec.source).read()
+        older = older.filter(F.col(PROCESSED) <= F.lit(from_micros(marks[spec.source])))
+        rows = rows.unionByName(older.join(keys, keys.columns, "left_semi").select(*rows.columns))
+    if spec.source not in reached:  # nothing that drives this table has landed yet
         return False
     built = spec.build(lake, rows).withColumns(
-        {GOLD_PROCESSED: F.current_timestamp(), MARK: F.lit(from_micros(newest))}
+        {GOLD_PROCESSED: F.current_timestamp(), MARK: F.lit(from_micros(reached[spec.source]))}
     )
-    return target.upsert(built, token=str(newest))
+    token = json.dumps(reached, sort_keys=True)
+    if target.upsert(built, token):
+        return True
+    target.retoken(token)
+    return False
 
 
 def refresh(lake: Lake, halt: bool = True) -> None:
-    """One run over all sources: Bronze, Silver, rules, Gold."""
+    """One run over all sources: Bronze, Silver, rules, Gold.
+
+    Every source is checked and leaves its audit rows; only then do broken rules stop the run.
+    """
     ingest_sources(lake, *SOURCES)
     refine_sources(lake, *SOURCES)
+    broken = []
     for source in SOURCES:
-        validate_source(lake, source, halt)
+        try:
+            validate_source(lake, source, halt)
+        except QualityGateError as failure:
+            broken.append(str(failure))
+    if broken:
+        raise QualityGateError("; ".join(broken))
     for name in GOLD:
         load_gold(lake, name)
 

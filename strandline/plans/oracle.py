@@ -174,9 +174,11 @@ def _newest(rows: str, keys: str, order: str, columns: str) -> str:
     return f"SELECT {columns} FROM ({ranked}) WHERE rk = 1"
 
 
-def _layer(prefix: str, source: str, bases: dict[str, str], spoiled: bool, where: str = "") -> dict:
+def _layer(
+    prefix: str, source: str, bases: dict[str, str], spoiled: bool, where: str = "", changed: dict | None = None
+) -> dict:
     """raw, clean, gate and silver steps of one source, names starting with ``prefix``."""
-    raw = COLUMNS[source] | (SPOILED[source] if spoiled else {})
+    raw = COLUMNS[source] | (SPOILED[source] if spoiled else {}) | (changed or {})
     base = f"(SELECT * FROM {bases[source]} WHERE {where})" if where else bases[source]
     order = ARRIVED.get(source) or _untimed(source)
     return {
@@ -217,6 +219,8 @@ for _s in COLUMNS:
 for _p, _w in (("first_", "l_linestatus = 'F'"), ("later_", "l_linestatus = 'O'")):
     STEPS |= _layer(_p, "sales", BASES, False, _w)
     STEPS |= _layer(f"bad_{_p}", "sales", BASES, True, _w)
+    _more = {"OrderQuantity": f"{COLUMNS['sales']['OrderQuantity']} + 1"}
+    STEPS |= _layer(f"more_{_p}", "sales", BASES, False, _w, _more)
 STEPS |= {
     "dim_customers": "SELECT CustomerKey, Prefix, concat_ws(' ', FirstName, LastName) AS FullName, "
     "BirthDate, MaritalStatus, Gender, EmailAddress, AnnualIncome, TotalChildren, "
@@ -428,9 +432,37 @@ STREAMED = _merge(
 )
 
 
-def _landed() -> str:
+def _arrived(prefix: str) -> str:
+    """Sales of one drop, where only columns break ties."""
+    rows = f"{prefix}gate_sales"
+    return "(" + _newest(rows, KEYS["sales"], _untimed("sales"), _names("sales")) + ")"
+
+
+def _cuts() -> str:
+    """Three drops of sales, the last of which repeats the first one's keys."""
+    keys = "OrderNumber, OrderLineItem"
+    last = f"({_merge(_arrived('more_first_'), _arrived('more_later_'), keys)})"
+    return f"SELECT *, unnest([1, 1000])::INT AS cut FROM ({_merge(last, _arrived('first_'), keys)})"
+
+
+def _gated() -> str:
+    """Rule rows of every source as one drop leaves them in Silver, where the gate stops."""
+    parts = " UNION ALL ".join(_report(s, f"silver_{s}") for s in COLUMNS)
+    return f"SELECT *, FALSE AS gold_loaded FROM ({parts})"
+
+
+def _layers() -> str:
+    rules = 2 + len(RULES["customers"])
+    rows = "(SELECT count(*) FROM raw_customers)"
+    counts = {"bronze": rows, "silver": rows, "gold": rows, "data_quality_check": str(rules)}
+    return " UNION ALL ".join(
+        f"SELECT '{layer}' AS layer, CAST({n} AS BIGINT) AS \"rows\", TRUE AS inside" for layer, n in counts.items()
+    )
+
+
+def _landed(sales: str = "", category: str = "s.CategoryName") -> str:
     """Sales and returns as they come out of one CSV drop, where only columns break ties."""
-    sales = _newest("gate_sales", KEYS["sales"], _untimed("sales"), _names("sales"))
+    sales = sales or _newest("gate_sales", KEYS["sales"], _untimed("sales"), _names("sales"))
     returns = _newest("gate_returns", KEYS["returns"], _untimed("returns"), _names("returns"))
     by = "FROM {} f LEFT JOIN dim_products p ON f.ProductKey = p.ProductKey GROUP BY 1"
     sold = (
@@ -440,7 +472,7 @@ def _landed() -> str:
     )
     back = "SELECT CategoryName, sum(ReturnQuantity) AS q " + by.format(f"({returns})")
     return (
-        f"SELECT s.CategoryName, {_double('s.revenue', 'revenue')}, s.total_orders, "
+        f"SELECT {category} AS CategoryName, {_double('s.revenue', 'revenue')}, s.total_orders, "
         f"{_ratio('r.q', 's.q', 'return_rate')} FROM ({sold}) s LEFT JOIN ({back}) r "
         "ON s.CategoryName IS NOT DISTINCT FROM r.CategoryName"
     )
@@ -641,6 +673,12 @@ def oracle_sql() -> dict[str, str]:
         "landing_ready": _landing(f"{LANDED} AS ready"),
         "landing_fresh": _landing(f"{LANDED} AS since_epoch, FALSE AS since_far_future"),
         "lakehouse_refresh": _landed(),
+        "lakehouse_incremental": _landed(
+            STREAMED, "CASE WHEN s.CategoryName = 'Promo' THEN 'Promo Goods' ELSE s.CategoryName END"
+        ),
+        "lakehouse_gate": _gated(),
+        "setup_namespaces": _layers(),
+        "silver_batch_cuts": _cuts(),
         "date_spine": _spine(
             'SELECT year(min("Date")) AS lo, year(max("Date")) AS hi FROM dim_date'
         ),

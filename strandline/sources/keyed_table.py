@@ -1,14 +1,17 @@
 """A keyed parquet table that takes upserts without a table format.
 
-Rows live in ``rows/version=<n>/bucket=<b>``, the bucket being a hash of the key. Each upsert
-writes new files for the buckets it touches and then a new list of heads (bucket to version)
-under ``heads/version=<n>``. Readers follow the newest complete list, so they never see half
-an upsert, and a job that dies before its list is written leaves the table as it was.
+Rows live in ``rows/load=<name>/bucket=<b>``, the bucket being a hash of the key. Each upsert
+writes new files for the buckets it touches into a load of its own and then a new list of heads
+(bucket to load) under ``heads/version=<n>``. Readers follow the newest complete list, so they
+never see half an upsert, and a job that dies before its list is written leaves the table as it
+was. Versions follow one another without gaps, so the newest is found by looking for a few of
+them, however many there are; the second of two writers of one version is refused.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -19,7 +22,15 @@ from pyspark.sql import functions as F
 from strandline.operators.merge import merge_rows
 
 _BUCKET = "bucket"
-_HEADS = "version LONG, buckets INT, token STRING, written MAP<STRING, LONG>"
+_HEADS = "buckets INT, token STRING, written MAP<STRING, STRING>"
+
+
+class DuplicateKeyError(ValueError):
+    """Two rows of one batch carry the same key, so which of them to store is undecided."""
+
+
+class ConcurrentUpsertError(RuntimeError):
+    """Another writer published the version this upsert was made for."""
 
 
 @dataclass(frozen=True)
@@ -39,10 +50,12 @@ class KeyedTable:
         return self._heads() is not None
 
     def read(self) -> DataFrame:
-        heads = self._heads()
-        if heads is None:
-            raise FileNotFoundError(f"no table at {self.path}")
-        return self._rows(heads.versions).drop(_BUCKET)
+        return self._rows(self._existing().loads).drop(_BUCKET)
+
+    def live_bytes(self) -> int:
+        """The size of the files that a reader of the table reads."""
+        files = self.spark.read.format("binaryFile").load(self._folders(self._existing().loads))
+        return files.agg(F.sum("length")).first()[0] or 0
 
     def last_token(self) -> str | None:
         """The token of the last batch applied."""
@@ -52,87 +65,137 @@ class KeyedTable:
     def bootstrap(self, rows: DataFrame) -> None:
         """Create the table with the columns of ``rows`` and none of its rows."""
         if not self.exists():
-            self._write_empty(rows)
-            self._publish(0, {0: 0}, self.buckets, "")
+            self._publish(0, {0: self._write_empty(rows)}, self.buckets, "")
 
     def upsert(self, updates: DataFrame, token: str) -> bool:
         """Merge one batch of unique keys; False when ``token`` was the last batch applied.
 
         A stream restarted after a failure hands over its last batch again; the token makes
-        the second delivery a no-op.
+        the second delivery a no-op. The batch is written once before it is looked at: into the
+        table itself where nothing older can be in its buckets, else next to it.
         """
         heads = self._heads()
         if heads is not None and heads.token == token:
             return False
         buckets = self.buckets if heads is None else heads.buckets
         columns = updates.columns
-        bucket = self._bucket(buckets)
-        # The batch is read for its buckets, for the anti-join and for the rows themselves.
-        updates = updates.withColumn(_BUCKET, bucket).persist()
-        try:
-            touched = [r[0] for r in updates.select(_BUCKET).distinct().collect()]
-            if not touched and heads is not None:
-                return False
-            versions = {} if heads is None else heads.versions
-            old = {b: versions[b] for b in touched if b in versions}
-            merged = updates
+        keyed = updates.withColumn(_BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(buckets)).cast("int"))
+        load = self._name(0 if heads is None else heads.version + 1)
+        # A table that was only bootstrapped holds no row; its one load goes with the first batch.
+        stored = heads is not None and heads.token != ""
+        if stored:
+            staged = f"{self.path}/staged/load={load}"
+            keyed.write.parquet(staged)
+            batch = self.spark.read.schema(keyed.schema).parquet(staged)
+            self._require_unique(batch)
+            touched = self._touched(batch)
+            old = {b: heads.loads[b] for b in touched if b in heads.loads}
             if old:
-                merged = merge_rows(
-                    self._rows(old).select(*columns, _BUCKET), updates, self.keys
-                )
-            version = 0 if heads is None else heads.version + 1
+                kept = self._rows(old).select(*columns, _BUCKET)
+                batch = merge_rows(kept, batch.select(*columns, _BUCKET), self.keys)
             if touched:
-                # Rebalancing splits buckets above the advisory size and joins small ones.
-                (
-                    merged.hint("rebalance", _BUCKET)
-                    .sortWithinPartitions(_BUCKET, *self.cluster)
-                    .write.mode("overwrite")
-                    .partitionBy(_BUCKET)
-                    .parquet(f"{self.path}/rows/version={version}")
-                )
-            else:
-                self._write_empty(updates.drop(_BUCKET))
-                touched = [0]
-            self._publish(
-                version, versions | dict.fromkeys(touched, version), buckets, token
-            )
+                self._write(batch, load)
+        else:
+            self._write(keyed, load)
+            try:
+                written = self._rows_of(f"{self.path}/rows/load={load}")
+                touched = self._touched(written)
+                self._require_unique(written)
+            except AnalysisException:  # no row, so no file with a schema
+                touched = []
+        if not touched:
+            if heads is not None:
+                return False
+            self._publish(0, {0: self._write_empty(updates)}, buckets, token)
             return True
-        finally:
-            updates.unpersist()
+        loads = dict(heads.loads) if stored else {}
+        version = 0 if heads is None else heads.version + 1
+        self._publish(version, loads | dict.fromkeys(touched, load), buckets, token)
+        return True
+
+    def retoken(self, token: str) -> None:
+        """Note that everything up to ``token`` is applied, without any row."""
+        heads = self._existing()
+        if heads.token != token:
+            self._publish(heads.version + 1, heads.loads, heads.buckets, token)
+
+    def _name(self, version: int) -> str:
+        return f"{version}-{uuid.uuid4().hex[:8]}"
+
+    def _touched(self, rows: DataFrame) -> list[int]:
+        return [r[0] for r in rows.select(_BUCKET).distinct().collect()]
+
+    def _require_unique(self, rows: DataFrame) -> None:
+        """Null keys match nothing and may repeat."""
+        repeated = rows.dropna(subset=list(self.keys)).groupBy(*self.keys).count().filter("count > 1")
+        if first := repeated.head(1):
+            raise DuplicateKeyError(f"key {tuple(first[0])[:-1]} comes {first[0]['count']} times in one batch")
+
+    def _write(self, rows: DataFrame, load: str) -> None:
+        # Rebalancing splits buckets above the advisory size and joins small ones.
+        (
+            rows.hint("rebalance", _BUCKET)
+            .sortWithinPartitions(_BUCKET, *self.cluster)
+            .write.partitionBy(_BUCKET)
+            .parquet(f"{self.path}/rows/load={load}")
+        )
 
-    def _bucket(self, buckets: int) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(buckets)).cast("int")
+    def _write_empty(self, rows: DataFrame) -> str:
+        load = self._name(0)
+        rows.limit(0).write.parquet(f"{self.path}/rows/load={load}/{_BUCKET}=0")
+        return load
 
-    def _write_empty(self, rows: DataFrame) -> None:
-        rows.limit(0).drop(_BUCKET).write.mode("overwrite").parquet(
-            f"{self.path}/rows/version=0/bucket=0"
-        )
+    def _folders(self, loads: dict[int, str]) -> list[str]:
+        return [f"{self.path}/rows/load={load}/{_BUCKET}={b}" for b, load in sorted(loads.items())]
 
-    def _rows(self, versions: dict[int, int]) -> DataFrame:
+    def _rows_of(self, *folders: str) -> DataFrame:
         root = f"{self.path}/rows"
-        parts = [f"{root}/version={v}/bucket={b}" for b, v in sorted(versions.items())]
-        return self.spark.read.option("basePath", root).parquet(*parts).drop("version")
+        return self.spark.read.option("basePath", root).parquet(*folders).drop("load")
 
-    def _publish(
-        self, version: int, versions: dict[int, int], buckets: int, token: str
-    ) -> None:
-        written = F.from_json(F.lit(json.dumps(versions)), "MAP<STRING, LONG>")
+    def _rows(self, loads: dict[int, str]) -> DataFrame:
+        return self._rows_of(*self._folders(loads))
+
+    def _publish(self, version: int, loads: dict[int, str], buckets: int, token: str) -> None:
+        written = F.from_json(F.lit(json.dumps(loads)), "MAP<STRING, STRING>")
         head = self.spark.range(0, 1, numPartitions=1).select(
             F.lit(buckets).alias("buckets"), F.lit(token).alias("token"), written.alias("written")
         )
-        head.write.mode("overwrite").parquet(f"{self.path}/heads/version={version}")
+        path = f"{self.path}/heads/version={version}"
+        try:
+            head.write.mode("error").parquet(path)
+        except AnalysisException as taken:
+            if self._head(version) is not None:
+                raise ConcurrentUpsertError(f"version {version} of {self.path} is taken") from taken
+            head.write.mode("overwrite").parquet(path)  # what a dead writer left behind
+
+    def _existing(self) -> _Heads:
+        heads = self._heads()
+        if heads is None:
+            raise FileNotFoundError(f"no table at {self.path}")
+        return heads
 
     def _heads(self) -> _Heads | None:
-        """The newest list of heads, one entry per bucket."""
+        """The newest list of heads, found by doubling steps and then halving them."""
+        if (found := self._head(0)) is None:
+            return None
+        step = 1
+        while (further := self._head(found.version + step)) is not None:
+            found, step = further, step * 2
+        while step > 1:
+            step //= 2
+            if (further := self._head(found.version + step)) is not None:
+                found = further
+        return found
+
+    def _head(self, version: int) -> _Heads | None:
         try:
-            heads = self.spark.read.schema(_HEADS).parquet(f"{self.path}/heads")
+            heads = self.spark.read.schema(_HEADS).parquet(f"{self.path}/heads/version={version}")
+            row = heads.first()
         except AnalysisException:
             return None
-        newest = heads.orderBy(F.desc("version")).first()
-        if newest is None:
+        if row is None:
             return None
-        versions = {int(b): v for b, v in newest.written.items()}
-        return _Heads(newest.version, newest.buckets, newest.token, versions)
+        return _Heads(version, row.buckets, row.token, {int(b): load for b, load in row.written.items()})
 
 
 @dataclass(frozen=True)
@@ -140,7 +203,7 @@ class _Heads:
     version: int
     buckets: int
     token: str
-    versions: dict[int, int]
+    loads: dict[int, str]
 
 
 def keyed_table(

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.contracts import INGESTED, SOURCES
+from strandline.contracts import INGESTED, LANDED, SOURCE_FILE, SOURCES
 
 # Newest-file checks accept any casing of the suffix, arrival checks only lower case.
 ANY_CASE_CSV = "*.[cC][sS][vV]"
@@ -20,7 +20,9 @@ def read_landing(
     """Stream of new files in ``folder`` with lineage columns.
 
     The header must name exactly the contract's columns in order; a file with a new, missing
-    or moved column stops the stream before any of its rows is stored.
+    or moved column stops the stream before any of its rows is stored. Files come oldest first;
+    ``files_per_batch`` only says how many a micro-batch takes. Which of two rows wins is decided
+    by their files (``LANDED``, then the path), so that it does not depend on where batches end.
     """
     rows = (
         spark.readStream.schema(SOURCES[source].landing_schema)
@@ -32,8 +34,9 @@ def read_landing(
     return rows.withColumns(
         {
             INGESTED: F.current_timestamp(),
-            "source_file": F.col("_metadata.file_path"),
+            SOURCE_FILE: F.col("_metadata.file_path"),
             "ingestion_date": F.current_date(),
+            LANDED: F.col("_metadata.file_modification_time"),
         }
     )
 

@@ -5,16 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from strandline.contracts import PROCESSED, SOURCES
+from strandline.contracts import LANDED, PROCESSED, SOURCE_FILE, SOURCES
 from strandline.operators.cleaning import clean, gate
 from strandline.operators.latest import keep_latest
 from strandline.sources.keyed_table import KeyedTable
 
 
 def silver_batch(cleaned: DataFrame, source: str) -> DataFrame:
-    """Gate, newest row per key and Silver columns of one cleaned batch."""
+    """Gate, newest row per key and Silver columns of one cleaned batch.
+
+    Of rows with one key that of the newest file counts, then that of the last path, then the
+    columns decide: the same row that would stay if every file were a batch of its own.
+    """
     spec = SOURCES[source]
-    newest = keep_latest(gate(cleaned, source), spec.keys, ties=spec.ties)
+    newest = keep_latest(gate(cleaned, source), spec.keys, (LANDED, SOURCE_FILE), spec.ties)
     return newest.select(*spec.columns, PROCESSED)
 
 

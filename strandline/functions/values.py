@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted date layouts. They are tried in the order M/d/yyyy, M-d-yyyy,
-# yyyy-MM-dd, dd/MM/yyyy and the first match wins.
+# Accepted date layouts. The first that fits of M/d/yyyy, M-d-yyyy, yyyy-MM-dd and
+# dd/MM/yyyy counts; trying only those of the text's own separator keeps that outcome.
 SLASHED_DATES = ("M/d/yyyy", "dd/MM/yyyy")
 DASHED_DATES = ("M-d-yyyy", "yyyy-MM-dd")
 ISO_SHAPE = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
@@ -31,16 +31,16 @@ def parse_date(name: str) -> Column:
 
 
 def whole(name: str) -> Column:
-    return F.expr(f"try_cast(`{name}` AS INT)")
+    return F.col(name).try_cast("int")
 
 
 def magnitude(name: str) -> Column:
     """Unsigned whole number; widened first so the smallest int cannot overflow."""
-    return F.expr(f"try_cast(abs(try_cast(try_cast(`{name}` AS INT) AS BIGINT)) AS INT)")
+    return F.abs(whole(name).cast("bigint")).try_cast("int")
 
 
 def number(name: str) -> Column:
-    return F.expr(f"try_cast(`{name}` AS DOUBLE)")
+    return F.col(name).try_cast("double")
 
 
 def money(name: str) -> Column:
@@ -49,21 +49,21 @@ def money(name: str) -> Column:
 
 
 def filled(name: str, default: str = UNKNOWN) -> Column:
-    return F.expr(f"coalesce(`{name}`, '{default}')")
+    return F.coalesce(F.col(name), F.lit(default))
 
 
 def tidy(name: str, default: str = UNKNOWN) -> Column:
-    return F.expr(f"trim(coalesce(`{name}`, '{default}'))")
+    return F.trim(filled(name, default))
 
 
 def shout(name: str, default: str = UNKNOWN) -> Column:
     """Upper case, default included: a missing first name reads UNKNOWN."""
-    return F.expr(f"trim(upper(coalesce(`{name}`, '{default}')))")
+    return F.trim(F.upper(filled(name, default)))
 
 
 def titled(name: str, default: str = UNKNOWN) -> Column:
     """Each word capitalised; blank text stays blank so the rules can see it."""
-    return F.expr(f"trim(initcap(coalesce(`{name}`, '{default}')))")
+    return F.trim(F.initcap(filled(name, default)))
 
 
 def surrogate_key(*parts: tuple[str, str]) -> Column:

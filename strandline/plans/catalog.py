@@ -134,10 +134,18 @@ YEAR_BACK: dict[str, tuple[tuple[str, ...], tuple[str, ...], dict]] = {
 }
 
 
+# Visuals as built when no dimension but the calendar is small enough to broadcast.
+SPREAD: dict[str, tuple[tuple[str, ...], tuple[str, ...], dict]] = {
+    "revenue_by_gender_spread": (("Revenue",), ("Gender",), {}),
+    "orders_by_gender_spread": (("Total Orders",), ("Gender",), {}),
+    "revenue_by_category_and_country_spread": (("Revenue",), ("CategoryName", "Country"), {}),
+}
+
+
 def _visual(spark: SparkSession, folder: str, name: str) -> DataFrame:
     dense = name in YEAR_BACK
-    measures, by, options = (YEAR_BACK if dense else VISUALS)[name]
-    star = SourceStar(spark, folder, dense_dates=dense)
+    measures, by, options = (VISUALS | YEAR_BACK | SPREAD)[name]
+    star = SourceStar(spark, folder, dense, small=frozenset() if name in SPREAD else None)
     return _report(metric_query(star, measures, by, **options), measures)
 
 
@@ -302,7 +310,7 @@ def upsert_fact_sales(spark: SparkSession, folder: str) -> DataFrame:
     products = silver(star.tables, "products")
     first, later = (
         gold.fact_sales(
-            _sales_drop(star.tables, w), products, "products" in star.small, star.hot_products
+            _sales_drop(star.tables, w), products, "products" in star.small, star.hot("products")
         )
         for w in (FIRST_LINES, LATER_LINES)
     )
@@ -571,7 +579,7 @@ def queries() -> dict[str, Query]:
         found[f"dq_dup_{source}"] = partial(dq_dup, source=source)
     for name, table in GOLD_VIEWS.items():
         found[name] = partial(gold_query, table=table)
-    for name in (*VISUALS, *YEAR_BACK):
+    for name in (*VISUALS, *YEAR_BACK, *SPREAD):
         found[name] = partial(_visual, name=name)
     return found | {
         "clean_dates": clean_dates,

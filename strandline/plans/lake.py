@@ -280,9 +280,9 @@ class LakeStar(Star):
         names = ("products", "customers", "territories")
         return BOUNDED | {n for n in names if _fits(self.lake.gold(f"dim_{n}"))}
 
-    @cached_property
-    def hot_products(self) -> DataFrame | None:
-        return None if "products" in self.small else hot_keys(self.sales, "ProductKey")
+    def _find_hot(self, dimension: str) -> DataFrame | None:
+        key = {"products": "ProductKey", "customers": "CustomerKey", "territories": "TerritoryKey"}[dimension]
+        return hot_keys(self.sales.select(key), key)
 
     @cached_property
     def sales(self) -> DataFrame:

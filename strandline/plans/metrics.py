@@ -181,7 +181,8 @@ class _Query:
     ) -> DataFrame:
         """Bring in dimension columns; rows the dimension's filter rejects are dropped.
 
-        ``spread`` is for rows not yet added up per key, where one product may own many.
+        ``spread`` is for rows of which one key may own many: those not added up yet, or added up
+        per combination of several keys.
         """
         key, dim_key = RELATIONSHIPS[fact][dimension]
         # A grouped key column is blank, not the fact's value, where no dimension row exists.
@@ -191,7 +192,7 @@ class _Query:
         dim = self._dimension(dimension).select(
             F.col(dim_key).alias(key), *[c.alias(n) for n, c in brought.items()]
         )
-        hot = self.star.hot_products if spread and dimension == "products" else None
+        hot = self.star.hot(dimension) if spread and dimension not in self.star.small else None
         joined = lookup(rows, dim, key, dimension in self.star.small, hot)
         if dimension in self.where:
             joined = joined.filter("_member").drop("_member")
@@ -236,7 +237,7 @@ class _Query:
             rows = rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in columns])
         for dimension in needed:
             extra = [*self._columns(dimension), *(priced if dimension == "products" else ())]
-            rows = self._attach(rows, fact, dimension, extra, spread=bool(distincts))
+            rows = self._attach(rows, fact, dimension, extra, spread=bool(distincts) or len(keys) > 1)
         if shifted:
             groups = self._columns("date")
             dates = self._dimension("date").select("Date", *groups)

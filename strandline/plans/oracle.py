@@ -577,6 +577,9 @@ def oracle_sql() -> dict[str, str]:
         "revenue_by_year": _grouped(REVENUE, '"Year"'),
         "revenue_by_occupation": _grouped(REVENUE, "Occupation"),
         "revenue_by_gender": _grouped(REVENUE, "Gender"),
+        "revenue_by_gender_spread": _grouped(REVENUE, "Gender"),
+        "orders_by_gender_spread": _grouped(f"{_distinct('OrderNumber')} AS total_orders", "Gender"),
+        "revenue_by_category_and_country_spread": _grouped(REVENUE, "CategoryName, Country"),
         "return_amount_by_country": _grouped(AMOUNT, "Country", "wide_returns"),
         "top_customers_revenue": _top("sum(Revenue)", "revenue", "FullName", "wide_sales", 11),
         "top_products_revenue": _top("sum(Revenue)", "revenue", "ProductName", "wide_sales", 10),

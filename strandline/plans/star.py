@@ -24,8 +24,8 @@ BOUNDED = frozenset({"date"})
 class Star:
     """What a measure query needs: two facts, four dimensions and what is known of their size.
 
-    ``small`` names the dimensions whose size was checked to allow a broadcast,
-    ``hot_products`` the best sellers when products are not among them.
+    ``small`` names the dimensions whose size was checked to allow a broadcast; of the others
+    ``hot`` tells the keys that own much of the facts.
     """
 
     sales: DataFrame
@@ -35,7 +35,16 @@ class Star:
     territories: DataFrame
     date: DataFrame
     small: frozenset[str] = BOUNDED
-    hot_products: DataFrame | None = None
+
+    def hot(self, dimension: str) -> DataFrame | None:
+        """The keys of ``dimension`` to split, under the facts' name for the key."""
+        known = self.__dict__.setdefault("_hot", {})
+        if dimension not in known:
+            known[dimension] = None if dimension in self.small else self._find_hot(dimension)
+        return known[dimension]
+
+    def _find_hot(self, dimension: str) -> DataFrame | None:
+        return None
 
     @property
     def lines(self) -> DataFrame:
@@ -82,13 +91,15 @@ class SourceStar(Star):
         few = {d for d, p in paths.items() if 0 < sizes[p] <= SMALL_LOOKUP_BYTES}
         return BOUNDED | few
 
-    @cached_property
-    def hot_products(self) -> DataFrame | None:
-        """Best sellers, found in the one line column that names the product."""
-        if "products" in self.small:
-            return None
-        lines = self.tables["lineitem"].selectExpr(f"{SALES['ProductKey']} AS ProductKey")
-        return hot_keys(lines, "ProductKey")
+    def _find_hot(self, dimension: str) -> DataFrame | None:
+        """Best sellers, great customers and large territories, found in the one column that names
+        them. Orders stand for their lines, and customers for theirs: a sketch is a hint."""
+        table, name, key = {
+            "products": ("lineitem", SALES["ProductKey"], "ProductKey"),
+            "customers": ("orders", SALES["CustomerKey"], "CustomerKey"),
+            "territories": ("customer", SALES["TerritoryKey"], "TerritoryKey"),
+        }[dimension]
+        return hot_keys(self.tables[table].selectExpr(f"{name} AS {key}"), key)
 
     @cached_property
     def _silver_products(self) -> DataFrame:
@@ -101,7 +112,7 @@ class SourceStar(Star):
     @cached_property
     def sales(self) -> DataFrame:
         few = "products" in self.small
-        return gold.fact_sales(self.lines, self._silver_products, few, self.hot_products)
+        return gold.fact_sales(self.lines, self._silver_products, few, self.hot("products"))
 
     @cached_property
     def returns(self) -> DataFrame:

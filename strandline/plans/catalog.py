@@ -23,7 +23,6 @@ from strandline.operators.quality import (
     QualityGateError,
     append_audit,
     count_duplicates,
-    enforce,
     quality_report,
     read_audit,
     verdict,
@@ -243,18 +242,8 @@ def _silver_report(spark: SparkSession, folder: str, source: str) -> DataFrame:
 
 def dq_gate(spark: SparkSession, folder: str) -> DataFrame:
     """Which tables the gate stops."""
-    reports = reduce(
-        DataFrame.unionByName, [_silver_report(spark, folder, s) for s in SOURCES]
-    ).persist()
-    outcome = []
-    for source in SOURCES:
-        try:
-            enforce(reports.filter(F.col("table_name") == source))
-            outcome.append((source, False))
-        except QualityGateError:
-            outcome.append((source, True))
-    reports.unpersist()
-    return spark.createDataFrame(outcome, "table_name STRING, stopped BOOLEAN")
+    reports = reduce(DataFrame.unionByName, [_silver_report(spark, folder, s) for s in SOURCES])
+    return verdict(reports).select("table_name", (F.col("verdict") == "FAIL").alias("stopped"))
 
 
 def dq_audit_append(spark: SparkSession, folder: str) -> DataFrame:
@@ -460,8 +449,7 @@ def lakehouse_incremental(spark: SparkSession, folder: str) -> DataFrame:
     refresh(lake, halt=False)
     if before != {name: lake.gold(name).last_token() for name in GOLD}:
         raise AssertionError("a run without news changed Gold")
-    measures = ("Revenue", "Total Orders", "Return Rate")
-    return _report(metric_query(LakeStar(lake), measures, ["CategoryName"]), measures)
+    return lake_report(lake)
 
 
 def lakehouse_gate(spark: SparkSession, folder: str) -> DataFrame:
@@ -516,16 +504,25 @@ def landing_fresh_query(spark: SparkSession, folder: str) -> DataFrame:
     return old.join(new, "source")
 
 
-def lakehouse_refresh(spark: SparkSession, folder: str) -> DataFrame:
-    """Revenue per category out of a lake that was filled from CSV files end to end."""
+def filled_lake(spark: SparkSession, folder: str) -> Lake:
+    """A lake that took one drop of every source from CSV files to Gold."""
     lake, tables = _lake(spark, "lake"), Tables(spark, folder)
     for source in SOURCES:
         _drop(lake, tables, source)
     refresh(lake, halt=False)
+    return lake
+
+
+def lake_report(lake: Lake) -> DataFrame:
     measures = ("Revenue", "Total Orders", "Return Rate")
     return _report(metric_query(LakeStar(lake), measures, ["CategoryName"]), measures)
 
 
+def lakehouse_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """Revenue per category out of a lake that was filled from CSV files end to end."""
+    return lake_report(filled_lake(spark, folder))
+
+
 # ---- dates and default aggregates -------------------------------------------------------
 
 

@@ -6,7 +6,7 @@ rules have something to find. The expressions are SQL understood by Spark and Du
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandline.contracts import INGESTED
@@ -154,7 +154,8 @@ SPOILED = {
 }
 
 # Keys of the two product levels come from a hash of their text, which needs neither a join
-# nor a numbering of all products in one place.
+# nor a numbering of all products in one place. They are INT by contract, so that of many
+# thousands of names two may share a key; the sources that name them fail then.
 CATEGORY_KEY = "CAST(conv(substr(md5(p_type), 1, 7), 16, 10) AS INT)"
 SUBCATEGORY_KEY = "CAST(conv(substr(md5(concat(p_type, '|', p_brand)), 1, 7), 16, 10) AS INT)"
 
@@ -254,6 +255,11 @@ def raw(
         base = base.withColumn("category_key", category)
         if source != "product_category":
             base = base.withColumn("subcategory_key", subcategory)
+    if source in ("product_category", "product_sub_category") and not repeated:
+        key = "category_key" if source == "product_category" else "subcategory_key"
+        names = F.count(F.lit(1)).over(Window.partitionBy(key))
+        clash = F.raise_error(F.concat(F.lit(f"two names share the {key} "), F.col(key)))
+        base = base.withColumn(key, F.when(names > 1, clash).otherwise(F.col(key)).cast("int"))
     if where:
         base = base.filter(where)
     return base.selectExpr(*[f"{expr} AS {name}" for name, expr in columns.items()])

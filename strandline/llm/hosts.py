@@ -3,8 +3,8 @@
 Every document is tested by the base rules. Failures are added up by host (the document's source),
 and a host's rate is shrunk towards the corpus: rates follow a beta distribution fitted to all hosts
 by their mean and variance (an empirical prior), so that a host of few documents is judged by what is
-usual and one of many by what it showed. A host whose shrunk rate is above ``MAX_RATE`` is rejected,
-and with it its documents.
+usual and one of many by what it showed. A host is rejected, and with it its documents, when its
+shrunk rate is above ``MAX_RATE`` by more than ``CERTAIN`` standard deviations of what is known of it.
 
 Host sums are combined before they are shuffled, so a host with a third of the rows is one row per
 task. Verdicts are joined back to the measured rows, which carry numbers only; of the rejected
@@ -28,8 +28,8 @@ from strandline.llm.frames import batched, raw_text, staged, table
 
 #: Words in a window; a document fails with fewer words, or more repeated words in a hundred.
 WINDOW, MIN_WORDS, MAX_REPEATED = 3, 50, 50
-#: Shrunk failure rate above which a host is rejected.
-MAX_RATE = 0.5
+#: Shrunk failure rate above which a host is rejected, and by how many standard deviations at least.
+MAX_RATE, CERTAIN = 0.5, 1.645
 #: Documents' worth of the prior: never less than one, and never more than a million.
 PRIOR_RANGE = (1.0, 1e6)
 
@@ -96,7 +96,11 @@ def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: s
 
 
 def host_rates(measured: DataFrame) -> DataFrame:
-    """(host, n_docs, n_failed, rate, rejected) of every host; rate is shrunk by the prior of all hosts."""
+    """(host, n_docs, n_failed, rate, rejected) of every host.
+
+    The rate is the mean of the host's beta distribution, the prior of all hosts and its own documents
+    taken together.
+    """
     hosts = measured.where("host IS NOT NULL").groupBy("host").agg(
         F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("base_failed").cast("bigint")).alias("n_failed")
     )
@@ -112,7 +116,8 @@ def host_rates(measured: DataFrame) -> DataFrame:
     prior = prior.select("mean", F.greatest(F.lit(PRIOR_RANGE[0]), F.least(F.lit(PRIOR_RANGE[1]), weight)).alias("weight"))
     mean, weight = (prior.select(name).scalar() for name in ("mean", "weight"))
     rate = (F.col("n_failed") + mean * weight) / (F.col("n_docs") + weight)
-    return hosts.withColumn("rate", rate).withColumn("rejected", F.col("rate") > MAX_RATE)
+    spread = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("n_docs") + weight + 1))
+    return hosts.withColumn("rate", rate).withColumn("rejected", F.col("rate") - CERTAIN * spread > MAX_RATE)
 
 
 def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
@@ -161,10 +166,11 @@ WITH d AS (
     SELECT mean, greatest(1, least(1e6, CASE WHEN variance > mean * (1 - mean) * per_doc
         THEN mean * (1 - mean) / (variance - mean * (1 - mean) * per_doc) - 1 ELSE 1e6 END)) AS weight FROM p
 ), v AS (
-    SELECT source, (n_failed + mean * weight) / (n_docs + weight) AS rate FROM h, q
+    SELECT source, n_docs + weight + 1 AS known, (n_failed + mean * weight) / (n_docs + weight) AS rate FROM h, q
 )
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
     n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
-    round(rate, 9) AS host_rate, NOT base_failed AND coalesce(rate <= 0.5, true) AS kept
+    round(rate, 9) AS host_rate, 
+    NOT base_failed AND coalesce(rate - 1.645 * sqrt(rate * (1 - rate) / known) <= 0.5, true) AS kept
 FROM j LEFT JOIN v ON j.source = v.source
 """

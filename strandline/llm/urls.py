@@ -7,8 +7,9 @@ order's estimate is smoothed by the one below with the weight of the distinct ch
 (Witten-Bell), down to a uniform chance. The score is the difference of the two log-likelihoods per
 character; the threshold is the one that errs least, evenly over both kinds, on the labelled URLs.
 
-Counts cover every labelled URL. Contexts are hashed to a fixed number of cells, so that the models
-have a fixed size however many URLs there are, and are what tasks hold. The threshold comes from a
+Counts cover every labelled URL. Contexts are hashed to a fixed number of cells, and so are characters
+after contexts, twice: the lesser of the two counts is nearly always the true one. So the models have
+a fixed size however many URLs there are, and are what tasks hold. The threshold comes from a
 histogram of fixed size.
 
 Nulls and edge cases: a null URL, or one without ``://``, has an empty host and path and no rule; an
@@ -92,18 +93,19 @@ def contexts(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _slots(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Places in the tables of character counts and of context counts, one row per order."""
+    """Places in the two tables of character counts and in that of context counts, a row per order."""
     chars, cells = contexts(raw)
     base = (np.arange(ORDER + 1, dtype=np.int64) * CELLS)[:, None]
-    joint = mix((cells * ALPHABET + chars).astype(np.uint64)) % np.uint64(CELLS)
-    return joint.astype(np.int64) + base, cells + base
+    joint = mix((cells * ALPHABET + chars).astype(np.uint64))
+    both = np.stack([joint % np.uint64(CELLS), (joint >> np.uint64(32)) % np.uint64(CELLS)])
+    return both.astype(np.int64) + base, cells + base
 
 
 @dataclass
 class Model:
     """By kind (0 allowed, 1 blocked): counts of characters after contexts, of contexts, and of distinct followers."""
 
-    after: np.ndarray
+    after: np.ndarray  # by kind and table
     seen: np.ndarray
     kinds: np.ndarray
     threshold: float = 0.0
@@ -113,14 +115,15 @@ class Model:
         joint, cells = _slots(raw)
         total = 0.0
         for kind, sign in ((0, 1.0), (1, -1.0)):
-            chance = np.full(joint.shape[1], 1.0 / ALPHABET)
+            chance = np.full(cells.shape[1], 1.0 / ALPHABET)
             for order in range(ORDER + 1):
                 kinds = self.kinds[kind][cells[order]]
                 seen = self.seen[kind][cells[order]] + kinds
-                mixed = (self.after[kind][joint[order]] + kinds * chance) / np.maximum(seen, 1)
+                after = np.minimum(self.after[kind][0][joint[0][order]], self.after[kind][1][joint[1][order]])
+                mixed = (after + kinds * chance) / np.maximum(seen, 1)
                 chance = np.where(seen > 0, np.minimum(mixed, 1.0), chance)
             total += sign * float(np.log(chance).sum())
-        return total / joint.shape[1]
+        return total / cells.shape[1]
 
 
 def learn(labelled: DataFrame) -> Model | None:
@@ -136,30 +139,26 @@ def learn(labelled: DataFrame) -> Model | None:
             held: tuple[list, list] = ([], [])
             for blocked, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 joint, cells = _slots(raw)
-                # One number names a context's cell and the character after it.
-                held[blocked].append(np.stack([joint.ravel(), cells.ravel()]))
+                held[blocked].append(np.stack([joint[0].ravel(), joint[1].ravel(), cells.ravel()]))
             for kind, found in enumerate(held):
                 if found:
                     pairs, n = np.unique(np.concatenate(found, axis=1), axis=1, return_counts=True)
                     yield pa.record_batch(
-                        [pa.array(np.full(len(n), kind, np.int32)), pa.array(pairs[0]), pa.array(pairs[1]), pa.array(n.astype(np.int64))],
-                        names=["kind", "joint", "cell", "n"],
+                        [pa.array(np.full(len(n), kind, np.int32)), *map(pa.array, pairs), pa.array(n.astype(np.int64))],
+                        names=["kind", "joint0", "joint1", "cell", "n"],
                     )
 
-    counts = batched(rows, count, "kind int, joint bigint, cell bigint, n bigint")
-    pairs = staged(counts.groupBy("kind", "joint", "cell").agg(F.sum("n").alias("n")), "url-counts")
-    # Grouped by cell before they leave the cluster: at most 2 * size rows each.
-    after = pairs.groupBy("kind", F.col("joint").alias("at")).agg(F.sum("n").alias("n"))
-    seen = pairs.groupBy("kind", F.col("cell").alias("at")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds"))
-    model = Model(*(np.zeros((2, size), np.float32) for _ in range(3)))
-    for part in (after, seen):
-        found = part.toArrow()
-        kind, at = found.column("kind").to_numpy(), found.column("at").to_numpy()
-        if part is after:
-            model.after[kind, at] = found.column("n").to_numpy()
+    counts = batched(rows, count, "kind int, joint0 bigint, joint1 bigint, cell bigint, n bigint")
+    pairs = staged(counts.groupBy("kind", "joint0", "joint1", "cell").agg(F.sum("n").alias("n")), "url-counts")
+    model = Model(np.zeros((2, 2, size), np.float32), *(np.zeros((2, size), np.float32) for _ in range(2)))
+    # Grouped by cell before they leave the cluster: at most 2 * size rows each time.
+    for column in ("joint0", "joint1", "cell"):
+        found = pairs.groupBy("kind", column).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).toArrow()
+        kind, at, n, kinds = (found.column(name).to_numpy() for name in ("kind", column, "n", "kinds"))
+        if column == "cell":
+            model.seen[kind, at], model.kinds[kind, at] = n, kinds
         else:
-            model.seen[kind, at] = found.column("n").to_numpy()
-            model.kinds[kind, at] = found.column("kinds").to_numpy()
+            model.after[kind, int(column[-1]), at] = n
     if not model.seen[0].any() or not model.seen[1].any():
         return None
     scored = _scored(labelled.where("verdict IS NOT NULL AND url IS NOT NULL").select("verdict", "url"), model)

@@ -22,6 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from strandline.llm.frames import batched, fresh, table
 
@@ -136,8 +137,6 @@ def learn(examples: DataFrame, text: str = "text", lang: str = "lang", min_share
                 held.setdefault(name, []).append(np.unique(grams(body)))
             for name, found in held.items():
                 gram, texts = np.unique(np.concatenate(found), return_counts=True)
-                # The number 0 stands for "a text of the language", counted along with the n-grams.
-                gram, texts = np.append(gram, np.uint64(0)), np.append(texts, len(found))
                 yield pa.record_batch(
                     [pa.array([name] * len(gram), pa.string()), pa.array(gram.view(np.int64)), pa.array(texts.astype(np.int64))],
                     names=["lang", "gram", "texts"],
@@ -148,9 +147,9 @@ def learn(examples: DataFrame, text: str = "text", lang: str = "lang", min_share
         .groupBy("lang", "gram")
         .agg(F.sum("texts").alias("texts"))
     )
-    # A gram's share needs its language's number of texts, which stands in the same table under gram 0.
-    totals = counts.where("gram = 0").select("lang", F.col("texts").alias("all_texts"))
-    members = counts.where("gram <> 0").join(F.broadcast(totals), "lang").where(F.col("texts") >= min_share * F.col("all_texts"))
+    totals = known.groupBy("lang").agg(F.count(F.lit(1)).alias("all_texts"))
+    # One row per language, as many as are collected below.
+    members = counts.join(F.broadcast(totals), "lang").where(F.col("texts") >= min_share * F.col("all_texts"))
     found = members.groupBy("lang").agg(F.sort_array(F.collect_list("gram")).alias("grams")).orderBy("lang").toArrow()
     languages = found.column("lang").to_pylist()
     sets = [np.asarray(found.column("grams")[k].values, np.int64).view(np.uint64) for k in range(len(languages))]
@@ -171,8 +170,7 @@ def identify(docs: DataFrame, model: Filter, text: str = "text", pred: str = "la
                 names=[*batch.schema.names, pred, score],
             )
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", `{pred}` string, `{score}` double"
-    return batched(docs, run, schema)
+    return batched(docs, run, StructType([*docs.schema, StructField(pred, StringType()), StructField(score, DoubleType())]))
 
 
 def held_out(doc_id: str = "doc_id") -> F.Column:

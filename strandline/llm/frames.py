@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strandline.session import run_folder
 
@@ -26,7 +27,7 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
 
 
 def batched(
-    frame: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+    frame: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
     """``mapInArrow`` over batches cut to ``ROWS_PER_BATCH`` rows before ``work`` sees them.
 

@@ -24,6 +24,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strandline.llm.frames import batched, raw_text, table
 from strandline.llm.words import WORD
@@ -279,8 +280,7 @@ def scan_licenses(docs: DataFrame, text: str = "text", scanner: Scanner | None =
             )
 
     source = docs.select(*keep, raw_text(text).alias("text_bytes"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "text_bytes"]
-    return batched(source, run, ", ".join([*fields, found]))
+    return batched(source, run, StructType([*source.schema[:-1], *StructType.fromDDL(found)]))
 
 
 def op1_license(spark: SparkSession, folder: str) -> DataFrame:

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from strandline.llm.frames import batched, staged, table
 from strandline.llm.words import mix
@@ -186,8 +187,7 @@ def _scored(rows: DataFrame, model: Model | None) -> DataFrame:
             scores = [0.0 if shared.value is None or not u else shared.value.score(u.encode()) for u in urls]
             yield pa.record_batch([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "score"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return batched(rows, run, f"{fields}, score double")
+    return batched(rows, run, StructType([*rows.schema, StructField("score", DoubleType())]))
 
 
 def filter_urls(pages: DataFrame, url: str = "url", rules: dict[str, str] = RULES, keep: tuple[str, ...] = ("page_id",)) -> DataFrame:

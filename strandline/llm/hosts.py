@@ -7,8 +7,8 @@ usual and one of many by what it showed. A host is rejected, and with it its doc
 shrunk rate is above ``MAX_RATE`` by more than ``CERTAIN`` standard deviations of what is known of it.
 
 Host sums are combined before they are shuffled, so a host with a third of the rows is one row per
-task. Verdicts are joined back to the measured rows, which carry numbers only; of the rejected
-hosts alone, which skewed partitions of the join can be split by.
+task. Verdicts are joined back to the measured rows, which carry numbers only; the rows of hosts that
+would fill a partition are dealt over several.
 
 Nulls and edge cases: a null text is empty (no words, fails); documents without a source have no host
 and are judged by themselves alone; with one host or equal rates the prior is as good as certain, and
@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm.frames import batched, raw_text, staged, table
+from strandline.operators.lookup import hot_keys, lookup
 
 #: Words in a window; a document fails with fewer words, or more repeated words in a hundred.
 WINDOW, MIN_WORDS, MAX_REPEATED = 3, 50, 50
@@ -123,9 +124,9 @@ def host_rates(measured: DataFrame) -> DataFrame:
 def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
     """The measured rows of ``docs`` with host_rate (null without a host) and kept."""
     measured = staged(measure(docs, doc_id, text, host), "measures")
-    rates = host_rates(measured).select(F.col("host").alias("of_host"), F.col("rate").alias("host_rate"), "rejected")
-    rows = measured.join(rates, F.col("host") == F.col("of_host"), "left")
-    return rows.withColumn("kept", ~F.col("base_failed") & ~F.coalesce("rejected", F.lit(False))).drop("of_host", "rejected")
+    rates = host_rates(measured).select("host", F.col("rate").alias("host_rate"), "rejected")
+    rows = lookup(measured, rates, "host", hot=hot_keys(measured, "host"))
+    return rows.withColumn("kept", ~F.col("base_failed") & ~F.coalesce("rejected", F.lit(False))).drop("rejected")
 
 
 def op7_hosts(spark: SparkSession, folder: str) -> DataFrame:

@@ -13,6 +13,8 @@ from strandline.session import run_folder
 
 #: A Python worker holds a few Arrow batches at once; long texts make rows wide, so few rows go in each.
 ROWS_PER_BATCH = 512
+#: Bytes after which Spark closes an Arrow batch, where the session has not set its own.
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,8 +33,12 @@ def batched(
 ) -> DataFrame:
     """``mapInArrow`` over batches cut to ``ROWS_PER_BATCH`` rows before ``work`` sees them.
 
-    A batch of an empty table is passed on as it is; ``work`` must cope with no rows.
+    A batch of an empty table is passed on as it is; ``work`` must cope with no rows. Sessions that
+    leave Spark's size of Arrow batches at its default get a smaller one.
     """
+    name, default, size = BATCH_BYTES
+    if frame.sparkSession.conf.get(name) == default:
+        frame.sparkSession.conf.set(name, size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def cut() -> Iterator[pa.RecordBatch]:

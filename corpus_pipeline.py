@@ -15,7 +15,9 @@ from strandline.llm.frames import staged, table
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or explained by no learned language, go."""
-    return language.keep_known(docs, language.learn(docs.where(~language.held_out())))
+    learning = docs.where(~language.held_out())
+    model = language.learn(learning)
+    return language.keep_known(docs, model, min_score=language.calibrate(learning, model))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,12 @@ are bit masks over the languages: looking an n-gram up in it ANDs a few slots an
 language that has the n-gram at once. A text is decided by the per-language counts of its n-grams,
 each corrected for the n-grams that the filter reports by mistake.
 
+The score below which a document is of no known language is calibrated on the learning texts. Each
+is scored in its own language without itself, and, as a text of a language not learned, in the best
+of the other languages. The threshold is as high as all but ``LOST`` of the own scores allow, for an
+unknown language may be nearer than the known ones are to each other, or, where own and other scores
+overlap, where it errs least; both evenly over languages.
+
 Nulls and edge cases: a null text, or one without a letter, is ``und`` with score 0; learning rows
 without a language or text teach nothing; without any learning row every text is ``und``. Ties go to
 the language first by code point. Repeated rows count as often as they come.
@@ -33,8 +39,12 @@ PIECE = 1 << 20
 MIN_SHARE = 0.003
 #: Looked-up slots per n-gram, and slots per n-gram of the richest language.
 HASHES, SLOTS_PER_GRAM = 3, 16
-#: A document is rejected as of no known language below this score.
+#: A document is always rejected as of no known language below this score; calibration can only raise it.
 MIN_SCORE = 0.2
+#: Bins of the histogram of scores, from 0 to 1.
+BINS = 1000
+#: Share of the own texts that may fall below the threshold without need.
+LOST = 0.005
 
 _SEED = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 _letters: list[np.ndarray] = []
@@ -80,6 +90,7 @@ class Filter:
     languages: list[str]
     slots: np.ndarray
     mistakes: np.ndarray  # by language, the chance that a foreign n-gram is reported
+    others: Filter | None = None  # of the n-grams that reach min_share even without one text that has them
 
     @classmethod
     def build(cls, languages: list[str], members: list[np.ndarray]) -> Filter:
@@ -120,15 +131,19 @@ def _places(gram: np.ndarray, size: int) -> list[np.ndarray]:
     return [((gram * _SEED[k]) >> np.uint64(32)) & np.uint64(size - 1) for k in range(HASHES)]
 
 
+def _known(examples: DataFrame, text: str, lang: str) -> DataFrame:
+    return examples.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")).where(
+        "text IS NOT NULL AND lang IS NOT NULL"
+    )
+
+
 def learn(examples: DataFrame, text: str = "text", lang: str = "lang", min_share: float = MIN_SHARE) -> Filter:
     """The filter learned from all ``examples``.
 
     What comes to the driver is bounded: a language has at most (mean n-grams of a text) / min_share
     members, and the languages themselves.
     """
-    known = examples.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")).where(
-        "text IS NOT NULL AND lang IS NOT NULL"
-    )
+    known = _known(examples, text, lang)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,10 +165,48 @@ def learn(examples: DataFrame, text: str = "text", lang: str = "lang", min_share
     totals = known.groupBy("lang").agg(F.count(F.lit(1)).alias("all_texts"))
     # One row per language, as many as are collected below.
     members = counts.join(F.broadcast(totals), "lang").where(F.col("texts") >= min_share * F.col("all_texts"))
-    found = members.groupBy("lang").agg(F.sort_array(F.collect_list("gram")).alias("grams")).orderBy("lang").toArrow()
+    without = F.when(F.col("texts") - 1 >= min_share * (F.col("all_texts") - 1), F.when(F.col("texts") > 1, F.col("gram")))
+    lists = [F.sort_array(F.collect_list(c)).alias(name) for c, name in ((F.col("gram"), "grams"), (without, "others"))]
+    found = members.groupBy("lang").agg(*lists).orderBy("lang").toArrow()
     languages = found.column("lang").to_pylist()
-    sets = [np.asarray(found.column("grams")[k].values, np.int64).view(np.uint64) for k in range(len(languages))]
-    return Filter.build(languages, sets)
+    sets, others = (
+        [np.asarray(found.column(name)[k].values, np.int64).view(np.uint64) for k in range(len(languages))] for name in ("grams", "others")
+    )
+    model = Filter.build(languages, sets)
+    model.others = Filter.build(languages, others)
+    return model
+
+
+def calibrate(examples: DataFrame, model: Filter, text: str = "text", lang: str = "lang") -> float:
+    """The score below which a text is of none of the languages of ``model``, which was learned from ``examples``.
+
+    Texts that score low without themselves lower it, down to ``MIN_SCORE`` where too few are alike.
+    One count per language, kind and bin is collected.
+    """
+    place = {name: k for k, name in enumerate(model.languages)}
+    shared = examples.sparkSession.sparkContext.broadcast(model)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for body, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if name in place and has_letter(body):
+                    gram = grams(body)
+                    own, best = shared.value.others.shares(gram)[place[name]], np.delete(shared.value.shares(gram), place[name])
+                    found += [(place[name], k, int(x * BINS)) for k, x in enumerate([own, best.max()] if len(best) else [own])]
+            rows = np.array(found, np.int64).reshape(-1, 3)
+            yield pa.record_batch([pa.array(np.ascontiguousarray(rows[:, k])) for k in range(3)], names=["lang", "foreign", "bin"])
+
+    tally = np.zeros((len(place), 2, BINS + 1))
+    for row in batched(_known(examples, text, lang), count, "lang bigint, foreign bigint, bin bigint").groupBy("lang", "foreign", "bin").count().collect():
+        tally[row["lang"], row["foreign"], row["bin"]] = row["count"]
+    tally = tally[tally[:, 0].sum(axis=1) > 0]
+    if not len(tally):
+        return MIN_SCORE
+    own, foreign = (tally / np.maximum(tally.sum(axis=2, keepdims=True), 1)).mean(axis=0)
+    lost = np.concatenate([[0], np.cumsum(own)[:-1]])  # below bin k
+    errors = lost + np.cumsum(foreign[::-1])[::-1]
+    return max(MIN_SCORE, max(int(np.flatnonzero(lost <= LOST)[-1]), int(errors.argmin())) / BINS)
 
 
 def identify(docs: DataFrame, model: Filter, text: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:

@@ -5,7 +5,7 @@ import zlib
 
 import numpy as np
 
-from strandline.llm.language import UNKNOWN, Filter, grams, held_out, identify, keep_known, learn, op9_language
+from strandline.llm.language import MIN_SCORE, UNKNOWN, Filter, calibrate, grams, held_out, identify, keep_known, learn, op9_language
 
 
 def brute_grams(text):
@@ -57,3 +57,27 @@ def test_nulls_letterless_texts_and_clashing_names(spark):
     assert empty.languages == [] and {r.lang_pred for r in identify(docs, empty).collect()} == {UNKNOWN}
     assert identify(docs.limit(0), model).count() == 0
     assert [r[0] for r in spark.createDataFrame([(None,)], "doc_id long").select(held_out()).collect()] == [False]
+
+
+def test_documents_of_a_language_not_learned_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("text IS NOT NULL")
+    shares = {}
+    for left_out in ("de", "en", "es", "fr"):
+        learning = docs.where(~held_out()).where(f"lang <> '{left_out}'")
+        model = learn(learning)
+        least = calibrate(learning, model)
+        test = docs.where(held_out())
+        kept = {r.lang: r["count"] for r in keep_known(test, model, min_score=least).groupBy("lang").count().collect()}
+        for r in test.groupBy("lang").count().collect():
+            shares.setdefault(r.lang == left_out, []).append((kept.get(r.lang, 0), r["count"]))
+    foreign, own = (sum(k for k, _ in shares[x]) / sum(n for _, n in shares[x]) for x in (True, False))
+    print("kept of languages left out and learned, by language:", shares)
+    assert foreign <= 0.05 and own >= 0.97
+
+
+def test_calibration_without_evidence(spark):
+    docs = spark.createDataFrame([("the thing of the thing", "en"), ("el niño de la niña", "es"), (None, "es"), ("1", "en")], "text string, lang string")
+    assert calibrate(docs, learn(docs)) == MIN_SCORE
+    assert calibrate(docs.limit(0), learn(docs.limit(0))) == MIN_SCORE
+    one = spark.createDataFrame([("the thing of the thing", "en")] * 200, "text string, lang string")
+    assert calibrate(one, learn(one)) > 0.9

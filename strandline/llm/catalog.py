@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import decontaminate, hosts, language, license, mixing, near, privacy, sharding, tokens, urls
+from strandline.llm import (
+    centroid, chat, decontaminate, hosts, language, license, mixing, near, privacy, ranking, sharding, tokens, urls,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +23,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sharding": sharding.op8_sharding,
         "op9_language": language.op9_language,
         "op10_decontaminate": decontaminate.op10_decontaminate,
+        "op11_ranking": ranking.op11_ranking,
+        "op12_chat": chat.op12_chat,
+        "op13_centroids": centroid.op13_centroids,
     }
 
 
@@ -29,4 +34,7 @@ def oracle_sql() -> dict[str, str]:
         "op6_mixing": mixing.OP6_SQL,
         "op7_hosts": hosts.OP7_SQL,
         "op10_decontaminate": decontaminate.OP10_SQL,
+        "op11_ranking": ranking.OP11_SQL,
+        "op12_chat": chat.OP12_SQL,
+        "op13_centroids": centroid.OP13_SQL,
     }

@@ -36,7 +36,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _pieces(raw: bytes) -> Iterator[bytes]:
+def pieces(raw: bytes) -> Iterator[bytes]:
     start = 0
     while len(raw) - start > PIECE:
         gap = _GAP.search(raw, start + PIECE)
@@ -50,7 +50,7 @@ def _pieces(raw: bytes) -> Iterator[bytes]:
 def word_hashes(raw: bytes) -> np.ndarray:
     """One 64-bit hash per word, in text order."""
     found = []
-    for piece in _pieces(raw):
+    for piece in pieces(raw):
         data = np.frombuffer(piece, np.uint8)
         inside = np.zeros(len(data) + 2, np.int8)
         inside[1:-1] = _IS_WORD[data]

@@ -24,10 +24,10 @@ def date_spine(df: DataFrame, column: str) -> DataFrame:
             )
         ).alias("Date")
     )
-    return days.select("Date", *_labels(F.col("Date")))
+    return days.select("Date", *date_labels(F.col("Date")))
 
 
-def _labels(date: Column) -> list[Column]:
+def date_labels(date: Column) -> list[Column]:
     return [
         F.year(date).alias("Year"),
         F.month(date).alias("MonthNo"),
@@ -46,7 +46,7 @@ def drill_down(daily: DataFrame, date: str, totals: Sequence[str]) -> DataFrame:
     and 4 a single day.
     """
     day = F.to_date(date)
-    dated = daily.select(*_labels(day), *totals)
+    dated = daily.select(*date_labels(day), *totals)
     levels = ("Year", "QuarterNo", "MonthNo", "Day")
     rolled = dated.rollup(*levels).agg(
         *[F.sum(t).alias(t) for t in totals],

@@ -28,7 +28,8 @@ from strandline.operators.quality import (
     verdict,
 )
 from strandline.plans.lake import GOLD, Lake, LakeStar, ingest_sources, refine_sources, refresh
-from strandline.plans.metrics import MEASURES, Growth, Ratio, implicit, metric_query
+from strandline.plans.drill import metric_drill
+from strandline.plans.metrics import KNOWN, Growth, Ratio, implicit, metric_query
 from strandline.plans.star import SourceStar, silver
 from strandline.session import run_folder
 from strandline.sources.adapters import TIES, Tables, raw
@@ -46,7 +47,7 @@ CSV = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpa
 
 
 def snake(name: str) -> str:
-    return name.lower().replace(" %", "_pct").replace(" ", "_")
+    return name.lower().replace(" %", "_pct").replace(" ", "_").replace(".", "_")
 
 
 def as_doubles(df: DataFrame) -> DataFrame:
@@ -59,9 +60,9 @@ def _report(df: DataFrame, measures: tuple[str, ...]) -> DataFrame:
     """Measures under plain names, ratios rounded to six digits."""
     df = as_doubles(df)
     for name in measures:
-        if isinstance(MEASURES[name], Ratio | Growth):
+        if isinstance(KNOWN[name], Ratio | Growth):
             df = df.withColumn(name, F.round(F.col(f"`{name}`"), 6))
-        df = df.withColumnRenamed(name, snake(name))
+        df = df.withColumnsRenamed({name: snake(name)})
     return df
 
 
@@ -107,6 +108,27 @@ VISUALS: dict[str, tuple[tuple[str, ...], tuple[str, ...], dict]] = {
     "returns_by_category_and_gender": (
         ("Total Quantity Sold", "Total Returned Quantity"), ("CategoryName", "Gender"), {},
     ),
+    # Several distinct counts of one fact.
+    "orders_and_customers_by_category": (("Total Orders", "Total Customers"), ("CategoryName",), {}),
+    "kpi_orders_customers_quantity": (("Total Quantity Sold", "Total Orders", "Total Customers"), (), {}),
+    # Default aggregates of columns, and rows.
+    "implicit_by_country_filtered": (
+        ("Sum of sales.OrderQuantity", "Rows of sales", "Sum of returns.ReturnQuantity", "Rows of returns"),
+        ("Country",),
+        {"where": {"date": "Year = 1997"}},
+    ),
+    "implicit_by_category": (
+        ("Sum of products.ProductPrice", "Count of products.ProductSubcategoryKey", "Sum of sales.OrderLineItem"),
+        ("CategoryName",),
+        {},
+    ),
+}
+
+# Drill-downs by date: (measures, group columns, further arguments).
+DRILLS: dict[str, tuple[tuple[str, ...], tuple[str, ...], dict]] = {
+    "drill_orders_by_date": (("Total Orders", "Return Rate"), (), {}),
+    "drill_customers_by_country": (("Total Customers", "Total Orders", "Revenue"), ("Country",), {"where": {"date": "Year = 1997"}}),
+    "drill_last_year": (("Revenue", "Revenue LY", "Revenue YoY %"), (), {}),
 }
 
 IN_1997 = {"date": "Year = 1997"}
@@ -148,6 +170,12 @@ def _visual(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return _report(metric_query(star, measures, by, **options), measures)
 
 
+def _drill(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    measures, by, options = DRILLS[name]
+    star = SourceStar(spark, folder, dense_dates=name == "drill_last_year")
+    return _report(metric_drill(star, measures, by, **options), measures)
+
+
 # ---- cleaning, gates, newest rows -------------------------------------------------------
 
 
@@ -578,6 +606,8 @@ def queries() -> dict[str, Query]:
         found[name] = partial(gold_query, table=table)
     for name in (*VISUALS, *YEAR_BACK, *SPREAD):
         found[name] = partial(_visual, name=name)
+    for name in DRILLS:
+        found[name] = partial(_drill, name=name)
     return found | {
         "clean_dates": clean_dates,
         "return_key": return_key,

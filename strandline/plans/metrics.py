@@ -17,11 +17,27 @@ from strandline.plans.star import Star
 
 @dataclass(frozen=True)
 class Total:
-    """Sum of a fact column, times a column of the row's product when ``times`` is given."""
+    """Sum of a fact column, times a column of the row's product when ``times`` is given.
+
+    With ``counted`` the number of rows that hold a value, of all rows for the column ``*``.
+    """
 
     fact: str
     column: str
     times: str | None = None
+    counted: bool = False
+
+    @property
+    def stored(self) -> str:
+        """The name under which its part sums are kept until the end."""
+        return f"_rows_{self.column}" if self.counted else self.column
+
+    def part(self, summed: bool) -> Column:
+        """What one row adds, or with ``summed`` what the rows of a group add."""
+        if not self.counted:
+            return F.sum(self.column) if summed else F.col(self.column)
+        held = F.lit(True) if self.column == "*" else F.col(self.column).isNotNull()
+        return F.count_if(held) if summed else held.cast("bigint")
 
 
 @dataclass(frozen=True)
@@ -34,10 +50,15 @@ class Distinct:
 
 @dataclass(frozen=True)
 class Members:
-    """Distinct values of a dimension column; facts do not filter it."""
+    """Distinct values of a dimension column, or their sum or count; facts do not filter it."""
 
     dimension: str
     column: str
+    how: str = "distinct"
+
+    def of_rows(self) -> Column:
+        column = F.col(self.column)
+        return {"distinct": distinct_with_blank, "sum": F.sum, "count": F.count}[self.how](column)
 
 
 @dataclass(frozen=True)
@@ -113,6 +134,21 @@ IMPLICIT_SUMS: dict[str, tuple[str, ...]] = {
 IMPLICIT_COUNTS = {"products": ("ProductCategoryKey", "ProductSubcategoryKey")}
 
 
+def _implicit_measures() -> dict[str, Measure]:
+    """Default aggregates as measures, named as a visual labels them, and the rows of each fact."""
+    found: dict[str, Measure] = {}
+    for label, how, tables in (("Sum", "sum", IMPLICIT_SUMS), ("Count", "count", IMPLICIT_COUNTS)):
+        for table, columns in tables.items():
+            for column in columns:
+                fact = Total(table, column, counted=how == "count")
+                found[f"{label} of {table}.{column}"] = fact if table in RELATIONSHIPS else Members(table, column, how)
+    return found | {f"Rows of {fact}": Total(fact, "*", counted=True) for fact in RELATIONSHIPS}
+
+
+# Every measure a query can ask for.
+KNOWN: dict[str, Measure] = MEASURES | _implicit_measures()
+
+
 def implicit(table: str, column: str) -> Column:
     """The default aggregate of a column; columns without one cannot be aggregated."""
     if column in IMPLICIT_SUMS.get(table, ()):
@@ -146,7 +182,7 @@ PRICED = frozenset({"ProductPrice", "ProductCost", "Revenue", "Cost", "Profit"})
 HOME = {column: name for name, columns in DIMENSIONS.items() for column in columns}
 
 
-class _Query:
+class Query:
     def __init__(
         self, star: Star, by: Sequence[str], where: Mapping[str, str], month_ends: bool
     ) -> None:
@@ -209,7 +245,7 @@ class _Query:
         totals: Mapping[str, Total],
         distincts: Mapping[str, Distinct] | None = None,
         shifted: bool = False,
-        summed: Sequence[str] | None = None,
+        summed: Sequence[Total] = (),
     ) -> DataFrame:
         """Totals and distinct counts of one fact per group, from one scan.
 
@@ -217,7 +253,7 @@ class _Query:
         any dimension is joined, so a join sees each combination once, however often it
         occurs. Distinct values are not additive; they keep their rows until the end, where
         Spark removes repeats per group map-side. With ``shifted`` the dates of a group are
-        replaced by those of the year before. ``summed`` lists the columns to add up, for
+        replaced by those of the year before. ``summed`` lists further totals to add up, for
         two calls to share their first step.
         """
         distincts = distincts or {}
@@ -227,14 +263,17 @@ class _Query:
             needed.append("products")
         date = RELATIONSHIPS[fact]["date"][0]
         keys = [RELATIONSHIPS[fact][d][0] for d in needed] + ([date] if shifted else [])
-        columns = sorted(summed or {t.column for t in totals.values()})
-        rows = self._rows(fact, [*columns, *(d.column for d in distincts.values())])
+        parts = {t.stored: t for t in [*totals.values(), *summed]}
+        parts = {name: parts[name] for name in sorted(parts)}
+        rows = self._rows(fact, [t.column for t in [*parts.values(), *distincts.values()]])
         if distincts or not keys:
             values = {f"_v{i}": F.col(d.column) for i, d in enumerate(distincts.values())}
-            rows = rows.select(*keys, *columns, *[v.alias(n) for n, v in values.items()])
+            rows = rows.select(
+                *keys, *[t.part(False).alias(n) for n, t in parts.items()], *[v.alias(n) for n, v in values.items()]
+            )
         else:
             values = {}
-            rows = rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in columns])
+            rows = rows.groupBy(*keys).agg(*[t.part(True).alias(n) for n, t in parts.items()])
         for dimension in needed:
             extra = [*self._columns(dimension), *(priced if dimension == "products" else ())]
             rows = self._attach(rows, fact, dimension, extra, spread=bool(distincts) or len(keys) > 1)
@@ -244,21 +283,21 @@ class _Query:
             back = year_before(dates, groups, self.star.date, self.month_ends)
             # A date belongs to one group, so this is no longer than the calendar.
             rows = rows.join(F.broadcast(back.withColumnRenamed("Date", date)), date)
-        sums = {
-            n: F.col(t.column) * F.col(t.times) if t.times else F.col(t.column)
-            for n, t in totals.items()
-        }
+        sums = self._sums(totals)
+        if len(distincts) > 1:
+            return in_one_pass(rows, self.reached(fact), sums, dict(zip(distincts, values)))
         return rows.groupBy(*self.reached(fact)).agg(
             *[F.sum(c).alias(n) for n, c in sums.items()],
             *[distinct_with_blank(F.col(v)).alias(n) for n, v in zip(distincts, values)],
         )
 
+    @staticmethod
+    def _sums(totals: Mapping[str, Total]) -> dict[str, Column]:
+        return {n: F.col(t.stored) * F.col(t.times) if t.times else F.col(t.stored) for n, t in totals.items()}
+
     def members(self, name: str, measure: Members) -> DataFrame:
-        return (
-            self._dimension(measure.dimension)
-            .groupBy(*self._columns(measure.dimension))
-            .agg(distinct_with_blank(F.col(measure.column)).alias(name))
-        )
+        rows = self._dimension(measure.dimension).groupBy(*self._columns(measure.dimension))
+        return rows.agg(measure.of_rows().alias(name))
 
     def attach_far(self, groups: DataFrame, part: DataFrame) -> DataFrame:
         """``groups`` with the measures of ``part``, which only some of the group columns split.
@@ -282,26 +321,53 @@ class _Query:
         return self._dimension(homes.pop()).select(*self.by).distinct()
 
 
-def _needed(names: Sequence[str]) -> dict[str, Measure]:
+def tagged(rows: DataFrame, by: Sequence[str], sums: Mapping[str, Column], values: Mapping[str, str]) -> DataFrame:
+    """What a group holds, once: (``by``, _kind, _value, a column per sum).
+
+    Kind 0 carries the sums; kind k the values of the k-th of ``values``, null being one of them. Repeats
+    within a group are removed map-side, before anything is shuffled, so a value that owns a large
+    share of the rows is one row per task.
+    """
+    shown = [F.col(v).cast("string") for v in values.values()]
+    kinds = F.posexplode(F.array(F.lit(None).cast("string"), *shown) if sums else F.array(*shown))
+    added = {f"_s{i}": c for i, c in enumerate(sums.values())}
+    spread = rows.select(*by, *[c.alias(n) for n, c in added.items()], kinds.alias("_kind", "_value"))
+    if not sums:
+        spread = spread.withColumn("_kind", F.col("_kind") + 1)
+        return spread.distinct()
+    first = F.col("_kind") == 0
+    seen = spread.groupBy(*by, "_kind", "_value")
+    return seen.agg(*[F.sum(F.when(first, F.col(a))).alias(n) for a, n in zip(added, sums)])
+
+
+def in_one_pass(rows: DataFrame, by: Sequence[str], sums: Mapping[str, Column], values: Mapping[str, str]) -> DataFrame:
+    """Sums and several distinct counts per group; ``values`` names the column that each counts."""
+    counts = {n: F.count_if(F.col("_kind") == k) for k, n in enumerate(values, start=1)}
+    return tagged(rows, by, sums, values).groupBy(*by).agg(
+        *[F.sum(f"`{n}`").alias(n) for n in sums], *[F.when(F.count(F.lit(1)) > 0, c).alias(n) for n, c in counts.items()]
+    )
+
+
+def needed_measures(names: Sequence[str]) -> dict[str, Measure]:
     """The plain measures behind ``names``, ratios and growth taken apart."""
     plain: dict[str, Measure] = {}
     for name in names:
-        match MEASURES[name]:
+        match KNOWN[name]:
             case Ratio(top, bottom):
-                plain |= _needed([top, bottom])
+                plain |= needed_measures([top, bottom])
             case Growth(of, before):
-                plain |= _needed([of, before])
+                plain |= needed_measures([of, before])
             case measure:
                 plain[name] = measure
     return plain
 
 
-def _value(name: str) -> Column:
-    match MEASURES[name]:
+def value_of(name: str) -> Column:
+    match KNOWN[name]:
         case Ratio(top, bottom):
-            return safe_divide(_value(top), _value(bottom))
+            return safe_divide(value_of(top), value_of(bottom))
         case Growth(of, before):
-            return safe_divide(blank_minus(_value(of), _value(before)), _value(before))
+            return safe_divide(blank_minus(value_of(of), value_of(before)), value_of(before))
     return F.col(f"`{name}`")
 
 
@@ -310,7 +376,7 @@ def _sorted_by(result: DataFrame, star: Star, column: str, by: Sequence[str]) ->
     sorter = SORTED_BY.get(column, column)
     if sorter in result.columns:
         return result.orderBy(sorter, *by)
-    labels = _Query(star, [column], {}, True)._dimension(HOME[column])
+    labels = Query(star, [column], {}, True)._dimension(HOME[column])
     place = labels.groupBy(F.col(column).alias("_label")).agg(F.min(sorter).alias("_place"))
     # One row per label, and a label is a value of a dimension that the groups already hold.
     joined = result.join(place, F.col(column).eqNullSafe(F.col("_label")), "left")
@@ -337,8 +403,8 @@ def metric_query(
     every measure is blank are left out. ``top`` keeps the groups ranked up to that place by
     the first measure, ties included.
     """
-    query = _Query(star, by, where or {}, month_ends)
-    plain = _needed(measures)
+    query = Query(star, by, where or {}, month_ends)
+    plain = needed_measures(measures)
     parts: list[DataFrame] = []
     for fact in RELATIONSHIPS:
         now = {n: m for n, m in plain.items() if isinstance(m, Total) and m.fact == fact}
@@ -348,10 +414,7 @@ def metric_query(
             for n, m in plain.items()
             if isinstance(m, LastYear) and MEASURES[m.of].fact == fact
         }
-        both = {t.column for t in [*now.values(), *past.values()]}
-        # Two distinct columns in one aggregate would multiply the rows; each gets its own.
-        for name in list(unique)[1:]:
-            parts.append(query.measured(fact, {}, {name: unique.pop(name)}))
+        both = [*now.values(), *past.values()]
         if now or unique:
             parts.append(query.measured(fact, now, unique, summed=both))
         if past:
@@ -360,7 +423,7 @@ def metric_query(
         if isinstance(measure, Members):
             parts.append(query.members(name, measure))
 
-    never_blank = any(isinstance(MEASURES[m], Ratio | Growth) for m in measures)
+    never_blank = any(isinstance(KNOWN[m], Ratio | Growth) for m in measures)
     if never_blank and by and (groups := query.groups()) is not None:
         parts.append(groups)
     split = [p for p in parts if all(c in p.columns for c in by)]
@@ -381,7 +444,7 @@ def metric_query(
     for part in far:
         frame = query.attach_far(frame, part)
 
-    result = frame.select(*by, *[_value(m).alias(m) for m in measures])
+    result = frame.select(*by, *[value_of(m).alias(m) for m in measures])
     if by:
         shown = [F.col(f"`{m}`").isNotNull() for m in measures]
         result = result.filter(reduce(Column.__or__, shown))

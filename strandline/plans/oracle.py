@@ -387,6 +387,68 @@ def _hierarchy(daily: str) -> str:
     )
 
 
+PERIOD = "level, y, q, m, dd"
+
+
+def _rolled(expr: str, rows: str, date: str, by: str = "", days: str = "", join: str = "LEFT") -> str:
+    """``expr`` per period of every level; rows without a calendar day form a blank period."""
+    days = days or "dim_date"
+    parts = (
+        'SELECT f.*, CAST(year(k."Date") AS INT) AS y, CAST(quarter(k."Date") AS INT) AS q, '
+        'CAST(month(k."Date") AS INT) AS m, CAST(day(k."Date") AS INT) AS dd '
+        f'FROM ({rows}) f {join} JOIN {days} k ON f.{date} = k."Date"'
+    )
+    listed = f"{by}, " if by else ""
+    return (
+        f"SELECT {listed}4 - CAST(bit_count(grouping(y, q, m, dd)) AS INT) AS level, y, q, m, dd{', ' if expr else ''}{expr} "
+        f"FROM ({parts}) GROUP BY {listed}ROLLUP (y, q, m, dd)"
+    )
+
+
+def _named_periods(columns: str, rows: str, by: str = "") -> str:
+    return (
+        f"SELECT {by + ', ' if by else ''}level, y AS \"Year\", CASE WHEN level >= 2 THEN 'Qtr ' || CAST(q AS STRING) END AS \"Quarter\", "
+        "m AS \"MonthNo\", CASE WHEN level >= 3 THEN monthname(make_date(2000, m, 1)) END AS \"Month\", "
+        f'dd AS "Day", {columns} FROM ({rows})'
+    )
+
+
+def _drills() -> dict[str, str]:
+    sold = _rolled(f"{_distinct('OrderNumber')} AS o, sum(OrderQuantity) AS s", "SELECT * FROM fact_sales", "OrderDate")
+    back = _rolled("sum(ReturnQuantity) AS r", "SELECT * FROM fact_returns", "ReturnDate")
+    every = _rolled("", 'SELECT "Date" AS day_of FROM dim_date', "day_of")
+    both = f"SELECT {PERIOD}, max(o) AS o, max(s) AS s, max(r) AS r FROM ({sold} UNION ALL BY NAME {back} UNION ALL BY NAME {every}) GROUP BY ALL"
+    country = "SELECT f.*, t.Country FROM fact_sales f LEFT JOIN dim_territories t ON f.TerritoryKey = t.TerritoryKey"
+    bought = _rolled(
+        f"{_distinct('CustomerKey')} AS c, {_distinct('OrderNumber')} AS o, sum(Revenue) AS v", country, "OrderDate", "Country",
+        '(SELECT * FROM dim_date WHERE "Year" = 1997)', "INNER",
+    )
+    labels = ", ".join(
+        f'CASE WHEN level > {k} THEN CAST({part}("Date") AS INT) END AS {name}'
+        for k, (name, part) in enumerate({"y": "year", "q": "quarter", "m": "month", "dd": "day"}.items())
+    )
+    spread = f'(SELECT "Date", Before, level::INT AS level, {labels} FROM dated, range(0, 5) t(level))'
+    shifted = (
+        f"SELECT {PERIOD}, Before AS d FROM {spread} UNION SELECT {PERIOD}, last_day(Before) FROM {spread} "
+        'WHERE month("Date") = 2 AND day("Date") IN (27, 28) AND day(last_day(Before)) = 29 '
+        f"GROUP BY {PERIOD}, last_day(Before) HAVING count(*) = 2"
+    )
+    past = (
+        f'SELECT {PERIOD}, sum(Revenue) AS past FROM ({shifted}) JOIN daily ON d = OrderDate '
+        f'WHERE d IN (SELECT "Date" FROM days) GROUP BY {PERIOD}'
+    )
+    now = f'SELECT {PERIOD}, sum(Revenue) AS now FROM {spread} LEFT JOIN daily ON "Date" = OrderDate GROUP BY {PERIOD}'
+    years = f"SELECT {PERIOD}, max(now) AS now, max(past) AS past FROM ({now} UNION ALL BY NAME {past}) GROUP BY ALL"
+    growth = _ratio("(COALESCE(now, 0) - COALESCE(past, 0))", "past", "revenue_yoy_pct")
+    return {
+        "drill_orders_by_date": _named_periods(f"o AS total_orders, {_ratio('r', 's', 'return_rate')}", both),
+        "drill_customers_by_country": _named_periods(
+            f"c AS total_customers, o AS total_orders, {_double('v', 'revenue')}", bought, "Country"
+        ),
+        "drill_last_year": _named_periods(f"{_double('now', 'revenue')}, {_double('past', 'revenue_ly')}, {growth}", years),
+    }
+
+
 def _nulls(*columns: str) -> list[tuple[str, str]]:
     return [(f"Required Column: {c}", f'count(*) - count("{c}")') for c in columns]
 
@@ -750,10 +812,25 @@ def oracle_sql() -> dict[str, str]:
             "SELECT c.BirthDate AS d, f.Revenue AS r FROM fact_sales f "
             "LEFT JOIN dim_customers c ON f.CustomerKey = c.CustomerKey"
         ),
+        "orders_and_customers_by_category": _grouped(
+            f"{_distinct('OrderNumber')} AS total_orders, {_distinct('CustomerKey')} AS total_customers", "CategoryName"
+        ),
+        "kpi_orders_customers_quantity": "SELECT CAST(sum(OrderQuantity) AS BIGINT) AS total_quantity_sold, "
+        f"{_distinct('OrderNumber')} AS total_orders, {_distinct('CustomerKey')} AS total_customers FROM fact_sales",
+        "implicit_by_country_filtered": "SELECT COALESCE(s.Country, r.Country) AS Country, s.* EXCLUDE (Country), r.* EXCLUDE (Country) "
+        "FROM (SELECT Country, CAST(sum(OrderQuantity) AS BIGINT) AS sum_of_sales_orderquantity, count(*) AS rows_of_sales "
+        'FROM wide_sales WHERE "Year" = 1997 GROUP BY 1) s FULL JOIN '
+        "(SELECT Country, CAST(sum(ReturnQuantity) AS BIGINT) AS sum_of_returns_returnquantity, count(*) AS rows_of_returns "
+        'FROM wide_returns WHERE "Year" = 1997 GROUP BY 1) r ON s.Country IS NOT DISTINCT FROM r.Country',
+        "implicit_by_category": "SELECT COALESCE(p.CategoryName, s.CategoryName) AS CategoryName, p.a AS sum_of_products_productprice, "
+        "p.n AS count_of_products_productsubcategorykey, s.q AS sum_of_sales_orderlineitem FROM "
+        "(SELECT CategoryName, CAST(sum(ProductPrice) AS DOUBLE) AS a, count(ProductSubcategoryKey) AS n FROM dim_products GROUP BY 1) p "
+        "FULL JOIN (SELECT CategoryName, CAST(sum(OrderLineItem) AS BIGINT) AS q FROM wide_sales GROUP BY 1) s "
+        "ON p.CategoryName IS NOT DISTINCT FROM s.CategoryName",
         "implicit_sum_quantity": "SELECT CAST(sum(OrderQuantity) AS BIGINT) AS quantity "
         "FROM fact_sales",
         "implicit_count_category": "SELECT ProductColor, count(ProductCategoryKey) AS categories "
         "FROM dim_products GROUP BY ProductColor",
     }
-    sql |= _far_measures()
+    sql |= _far_measures() | _drills()
     return {name: _with(text) for name, text in sql.items()}

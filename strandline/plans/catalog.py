@@ -27,7 +27,7 @@ from strandline.operators.quality import (
     read_audit,
     verdict,
 )
-from strandline.plans.lake import GOLD, Lake, LakeStar, ingest_sources, refine_sources, refresh
+from strandline.plans.lake import GOLD, Lake, LakeStar, gold_marks, ingest_sources, refine_sources, refresh
 from strandline.plans.drill import metric_drill
 from strandline.plans.metrics import KNOWN, Growth, Ratio, implicit, metric_query
 from strandline.plans.star import SourceStar, silver
@@ -339,9 +339,9 @@ def upsert_keyed_table(spark: SparkSession, folder: str) -> DataFrame:
     """A stored table after two batches, the second delivered twice."""
     tables = Tables(spark, folder)
     table = keyed_table(spark, run_folder(spark, "keyed"), SOURCES["sales"].keys, 8)
-    table.upsert(_sales_drop(tables, FIRST_LINES), "first")
+    table.upsert(_sales_drop(tables, FIRST_LINES), 1)
     for _ in range(2):
-        table.upsert(_sales_drop(tables, LATER_LINES), "later")
+        table.upsert(_sales_drop(tables, LATER_LINES), 2)
     return table.read()
 
 
@@ -350,7 +350,7 @@ def upsert_bootstrap(spark: SparkSession, folder: str) -> DataFrame:
     rows = silver(Tables(spark, folder), "customers")
     table = keyed_table(spark, run_folder(spark, "keyed"), SOURCES["customers"].keys, 8)
     table.bootstrap(rows)
-    table.upsert(rows, "first")
+    table.upsert(rows, 1)
     return table.read()
 
 
@@ -473,9 +473,9 @@ def lakehouse_incremental(spark: SparkSession, folder: str) -> DataFrame:
     renamed = F.concat("CategoryName", F.lit(" goods"))
     _drop(lake, tables, "product_category", lambda r: r.withColumn("CategoryName", renamed), where="p_type = 'PROMO'")
     refresh(lake, halt=False)
-    before = {name: lake.gold(name).last_token() for name in GOLD}
+    before = {name: gold_marks(lake, name) for name in GOLD}
     refresh(lake, halt=False)
-    if before != {name: lake.gold(name).last_token() for name in GOLD}:
+    if before != {name: gold_marks(lake, name) for name in GOLD}:
         raise AssertionError("a run without news changed Gold")
     return lake_report(lake)
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import cached_property, reduce
 
@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strandline.contracts import GOLD_PROCESSED, MARK, PROCESSED, SOURCES
 from strandline.operators import star as gold
-from strandline.operators.increment import EPOCH, from_micros, newer_than
+from strandline.operators.increment import EPOCH, from_micros, in_ranges, newer_than
 from strandline.operators.lookup import SMALL_LOOKUP_BYTES, hot_keys
 from strandline.operators.quality import (
     QualityGateError,
@@ -31,6 +31,10 @@ from strandline.streaming.bronze import start_ingest
 from strandline.streaming.silver import start_refine
 
 
+# Of each Silver table the column by which changed lookups find the rows they concern.
+RESTATED_BY = {"sales": ("ProductKey",), "products": ("ProductSubcategoryKey",)}
+
+
 @dataclass(frozen=True)
 class Lake:
     """Folders of one lake. ``buckets`` sets how finely keyed tables are rewritten."""
@@ -47,14 +51,18 @@ class Lake:
         return f"{self.root}/bronze/{source}"
 
     def silver(self, source: str) -> KeyedTable:
-        # Sorted by load time: a slice above a mark skips what was there before.
+        # Sorted by load time, so that a slice above a mark skips what was there before, and within
+        # it by what rows are looked up by, so that a restatement skips what it does not concern.
         path, keys = f"{self.root}/silver/{source}", SOURCES[source].keys
-        return keyed_table(self.spark, path, keys, self.buckets, [PROCESSED])
+        return keyed_table(self.spark, path, keys, self.buckets, [PROCESSED, *RESTATED_BY.get(source, ())])
 
     def gold(self, name: str) -> KeyedTable:
         path, spec = f"{self.root}/gold/{name}", GOLD[name]
         return keyed_table(self.spark, path, spec.keys, self.buckets, spec.cluster)
 
+    def marks(self, name: str) -> str:
+        return f"{self.root}/marks/{name}"
+
     def audit(self, source: str) -> str:
         return f"{self.root}/data_quality_check/{source}"
 
@@ -194,17 +202,36 @@ def validate_source(lake: Lake, source: str, halt: bool = True) -> DataFrame | N
     return read_audit(lake.spark, path).filter(F.col(MARK) > F.lit(mark))
 
 
+_MARKS = "load BIGINT, source STRING, mark BIGINT"
+
+
+def gold_marks(lake: Lake, name: str) -> tuple[int, dict[str, int]]:
+    """How many loads a Gold table took, and how far each Silver table was taken, in microseconds."""
+    try:
+        log = lake.spark.read.schema(_MARKS).parquet(lake.marks(name))
+        rows = log.groupBy("source").agg(F.max("mark").alias("mark"), F.max("load").alias("load")).collect()
+    except AnalysisException:
+        return 0, {}
+    return max((r.load for r in rows), default=0), {r.source: r.mark for r in rows}
+
+
+def _note_marks(lake: Lake, name: str, load: int, marks: Mapping[str, int]) -> None:
+    """Written after the load: one that dies in between is repeated under its number, with the same result."""
+    cells = [c for source, mark in marks.items() for c in (F.lit(source), F.lit(mark).cast("bigint"))]
+    rows = lake.spark.range(1).select(F.lit(load).cast("bigint").alias("load"), F.explode(F.create_map(*cells)).alias("source", "mark"))
+    rows.write.mode("append").parquet(lake.marks(name))
+
+
 def load_gold(lake: Lake, name: str) -> bool:
     """Build and merge the Gold rows of Silver rows above the table's mark; False if none.
 
     Rows below the mark are built again when what they look up has changed: a product that
-    lands after its sale prices it, a renamed category reaches its products. The marks each
-    load reached, of the driving table and of its lookups, are the token of its batch, so they are
-    known without a scan.
+    lands after its sale prices it, a renamed category reaches its products. Of these rows a scan
+    reads the pages that hold a changed key. The marks each load reached, of the driving table and
+    of its lookups, are kept in a log, so they are known without a scan.
     """
     spec, target = GOLD[name], lake.gold(name)
-    last = target.last_token()
-    marks = {} if last is None else json.loads(last)
+    loads, marks = gold_marks(lake, name)
 
     def changed(source: str) -> tuple[DataFrame, int | None]:
         rows = newer_than(lake.silver(source).read(), PROCESSED, from_micros(marks.get(source, 0)))
@@ -224,17 +251,30 @@ def load_gold(lake: Lake, name: str) -> bool:
         keys = reduce(DataFrame.unionByName, concerned).distinct()
         older = lake.silver(spec.source).read()
         older = older.filter(F.col(PROCESSED) <= F.lit(from_micros(marks[spec.source])))
-        rows = rows.unionByName(older.join(keys, keys.columns, "left_semi").select(*rows.columns))
+        older = older.filter(in_ranges(keys)).join(keys, keys.columns, "left_semi")
+        rows = rows.unionByName(older.select(*rows.columns))
     if spec.source not in reached:  # nothing that drives this table has landed yet
         return False
     built = spec.build(lake, rows).withColumns(
         {GOLD_PROCESSED: F.current_timestamp(), MARK: F.lit(from_micros(reached[spec.source]))}
     )
-    token = json.dumps(reached, sort_keys=True)
-    if target.upsert(built, token):
-        return True
-    target.retoken(token)
-    return False
+    target.upsert(built, loads + 1)
+    _note_marks(lake, name, loads + 1, reached)
+    return True
+
+
+def _side_by_side(work: Callable[[str], object], names: Iterable[str]) -> list[Exception]:
+    """Runs ``work`` for independent names, a few jobs at a time; what went wrong, in order of the names."""
+
+    def attempt(name: str) -> Exception | None:
+        try:
+            work(name)
+        except Exception as failure:  # noqa: BLE001 - handed to the caller
+            return failure
+        return None
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        return [failure for failure in pool.map(attempt, names) if failure]
 
 
 def refresh(lake: Lake, halt: bool = True) -> None:
@@ -244,16 +284,14 @@ def refresh(lake: Lake, halt: bool = True) -> None:
     """
     ingest_sources(lake, *SOURCES)
     refine_sources(lake, *SOURCES)
-    broken = []
-    for source in SOURCES:
-        try:
-            validate_source(lake, source, halt)
-        except QualityGateError as failure:
-            broken.append(str(failure))
-    if broken:
-        raise QualityGateError("; ".join(broken))
-    for name in GOLD:
-        load_gold(lake, name)
+    failures = _side_by_side(lambda source: validate_source(lake, source, halt), SOURCES)
+    for failure in failures:
+        if not isinstance(failure, QualityGateError):
+            raise failure
+    if failures:
+        raise QualityGateError("; ".join(map(str, failures)))
+    for failure in _side_by_side(lambda name: load_gold(lake, name), GOLD):
+        raise failure
 
 
 def register_views(lake: Lake) -> list[str]:

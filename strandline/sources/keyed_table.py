@@ -1,44 +1,33 @@
-"""A keyed parquet table that takes upserts without a table format.
-
-Rows live in ``rows/load=<name>/bucket=<b>``, the bucket being a hash of the key. Each upsert
-writes new files for the buckets it touches into a load of its own and then a new list of heads
-(bucket to load) under ``heads/version=<n>``. Readers follow the newest complete list, so they
-never see half an upsert, and a job that dies before its list is written leaves the table as it
-was. Versions follow one another without gaps, so the newest is found by looking for a few of
-them, however many there are; the second of two writers of one version is refused.
+"""Upserts by key into Parquet folders, one per batch.
+
+Rows live in ``batch=<id>/bucket=<b>``, the bucket being a hash of the key. A batch is joined with the
+buckets that its keys fall into, and these are written whole into the batch's own folder; a bucket's
+rows are those of the last batch that wrote it. Batch ids ascend and one writer hands over one batch
+after the other, as a stream does. A batch that comes again is joined with what lay before it and
+overwrites its folder with the same rows, so a replay changes nothing.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.operators.merge import merge_rows
 
 _BUCKET = "bucket"
-_HEADS = "buckets INT, token STRING, written MAP<STRING, STRING>"
-
-
-class DuplicateKeyError(ValueError):
-    """Two rows of one batch carry the same key, so which of them to store is undecided."""
-
-
-class ConcurrentUpsertError(RuntimeError):
-    """Another writer published the version this upsert was made for."""
+#: The batch that writes a table's columns before there is a row; those with rows come after it.
+_BOOTSTRAP = 0
 
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """``buckets`` is fixed when the table is created: pick it so that the buckets one batch
-    touches are a small part of the table. A bucket is no unit of work; its rows may be
-    written by many tasks. Files are sorted by ``cluster``, so that filters on those columns
-    skip row groups."""
+    """``buckets`` stays the same for the table's life: pick it so that the buckets one batch touches
+    are a small part of the table. A bucket is no unit of work; its rows may be written by many tasks.
+    Files are sorted by ``cluster``, so that filters on those columns skip row groups and pages."""
 
     spark: SparkSession
     path: str
@@ -47,170 +36,84 @@ class KeyedTable:
     cluster: tuple[str, ...] = ()
 
     def exists(self) -> bool:
-        return self._heads() is not None
+        return bool(self._live())
 
     def read(self) -> DataFrame:
-        return self._rows(self._existing().loads).drop(_BUCKET)
+        live = self._live()
+        if not live:
+            raise FileNotFoundError(f"no table at {self.path}")
+        return self._rows({b: batch for b, (batch, _) in live.items()})
 
     def live_bytes(self) -> int:
         """The size of the files that a reader of the table reads."""
-        files = self.spark.read.format("binaryFile").load(self._folders(self._existing().loads))
-        return files.agg(F.sum("length")).first()[0] or 0
-
-    def last_token(self) -> str | None:
-        """The token of the last batch applied."""
-        heads = self._heads()
-        return heads.token if heads and heads.token else None
+        return sum(size for _, size in self._live().values())
 
     def bootstrap(self, rows: DataFrame) -> None:
         """Create the table with the columns of ``rows`` and none of its rows."""
         if not self.exists():
-            self._publish(0, {0: self._write_empty(rows)}, self.buckets, "")
-
-    def upsert(self, updates: DataFrame, token: str) -> bool:
-        """Merge one batch of unique keys; False when ``token`` was the last batch applied.
-
-        A stream restarted after a failure hands over its last batch again; the token makes
-        the second delivery a no-op. The batch is written once before it is looked at: into the
-        table itself where nothing older can be in its buckets, else next to it.
-        """
-        heads = self._heads()
-        if heads is not None and heads.token == token:
-            return False
-        buckets = self.buckets if heads is None else heads.buckets
-        columns = updates.columns
-        keyed = updates.withColumn(_BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(buckets)).cast("int"))
-        load = self._name(0 if heads is None else heads.version + 1)
-        # A table that was only bootstrapped holds no row; its one load goes with the first batch.
-        stored = heads is not None and heads.token != ""
-        if stored:
-            staged = f"{self.path}/staged/load={load}"
-            keyed.write.parquet(staged)
-            batch = self.spark.read.schema(keyed.schema).parquet(staged)
-            self._require_unique(batch)
-            touched = self._touched(batch)
-            old = {b: heads.loads[b] for b in touched if b in heads.loads}
+            empty = f"{self.path}/batch={_BOOTSTRAP}/{_BUCKET}=0"
+            rows.limit(0).write.mode("overwrite").parquet(empty)
+
+    def upsert(self, updates: DataFrame, batch: int) -> None:
+        """Merge one batch that holds one row per key; ``batch`` counts from 1 and ascends."""
+        if batch <= _BOOTSTRAP:
+            raise ValueError("batches count from 1")
+        self.bootstrap(updates)
+        keyed = updates.withColumn(_BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+        stored = {b: at for b, (at, _) in self._live(before=batch).items() if at > _BOOTSTRAP}
+        if not stored:
+            self._write(keyed, batch)
+            return
+        keyed = keyed.persist()  # read for its buckets, then for its rows; computed again where it is lost
+        try:
+            touched = [row[0] for row in keyed.select(_BUCKET).distinct().collect()]
+            old = {b: stored[b] for b in touched if b in stored}
             if old:
-                kept = self._rows(old).select(*columns, _BUCKET)
-                batch = merge_rows(kept, batch.select(*columns, _BUCKET), self.keys)
-            if touched:
-                self._write(batch, load)
-        else:
-            self._write(keyed, load)
-            try:
-                written = self._rows_of(f"{self.path}/rows/load={load}")
-                touched = self._touched(written)
-                self._require_unique(written)
-            except AnalysisException:  # no row, so no file with a schema
-                touched = []
-        if not touched:
-            if heads is not None:
-                return False
-            self._publish(0, {0: self._write_empty(updates)}, buckets, token)
-            return True
-        loads = dict(heads.loads) if stored else {}
-        version = 0 if heads is None else heads.version + 1
-        self._publish(version, loads | dict.fromkeys(touched, load), buckets, token)
-        return True
-
-    def retoken(self, token: str) -> None:
-        """Note that everything up to ``token`` is applied, without any row."""
-        heads = self._existing()
-        if heads.token != token:
-            self._publish(heads.version + 1, heads.loads, heads.buckets, token)
-
-    def _name(self, version: int) -> str:
-        return f"{version}-{uuid.uuid4().hex[:8]}"
-
-    def _touched(self, rows: DataFrame) -> list[int]:
-        return [r[0] for r in rows.select(_BUCKET).distinct().collect()]
-
-    def _require_unique(self, rows: DataFrame) -> None:
-        """Null keys match nothing and may repeat."""
-        repeated = rows.dropna(subset=list(self.keys)).groupBy(*self.keys).count().filter("count > 1")
-        if first := repeated.head(1):
-            raise DuplicateKeyError(f"key {tuple(first[0])[:-1]} comes {first[0]['count']} times in one batch")
-
-    def _write(self, rows: DataFrame, load: str) -> None:
+                self._write(merge_rows(self._rows(old, bucket=True), keyed, self.keys), batch)
+            elif touched:
+                self._write(keyed, batch)
+        finally:
+            keyed.unpersist()
+
+    def _write(self, rows: DataFrame, batch: int) -> None:
         # Rebalancing splits buckets above the advisory size and joins small ones.
         (
             rows.hint("rebalance", _BUCKET)
             .sortWithinPartitions(_BUCKET, *self.cluster)
-            .write.partitionBy(_BUCKET)
-            .parquet(f"{self.path}/rows/load={load}")
+            .write.mode("overwrite")
+            .partitionBy(_BUCKET)
+            .parquet(f"{self.path}/batch={batch}")
         )
 
-    def _write_empty(self, rows: DataFrame) -> str:
-        load = self._name(0)
-        rows.limit(0).write.parquet(f"{self.path}/rows/load={load}/{_BUCKET}=0")
-        return load
-
-    def _folders(self, loads: dict[int, str]) -> list[str]:
-        return [f"{self.path}/rows/load={load}/{_BUCKET}={b}" for b, load in sorted(loads.items())]
+    def _rows(self, batches: dict[int, int], bucket: bool = False) -> DataFrame:
+        folders = [f"{self.path}/batch={batch}/{_BUCKET}={b}" for b, batch in sorted(batches.items())]
+        rows = self.spark.read.option("basePath", self.path).parquet(*folders).drop("batch")
+        return rows if bucket else rows.drop(_BUCKET)
 
-    def _rows_of(self, *folders: str) -> DataFrame:
-        root = f"{self.path}/rows"
-        return self.spark.read.option("basePath", root).parquet(*folders).drop("load")
-
-    def _rows(self, loads: dict[int, str]) -> DataFrame:
-        return self._rows_of(*self._folders(loads))
-
-    def _publish(self, version: int, loads: dict[int, str], buckets: int, token: str) -> None:
-        written = F.from_json(F.lit(json.dumps(loads)), "MAP<STRING, STRING>")
-        head = self.spark.range(0, 1, numPartitions=1).select(
-            F.lit(buckets).alias("buckets"), F.lit(token).alias("token"), written.alias("written")
-        )
-        path = f"{self.path}/heads/version={version}"
-        try:
-            head.write.mode("error").parquet(path)
-        except AnalysisException as taken:
-            if self._head(version) is not None:
-                raise ConcurrentUpsertError(f"version {version} of {self.path} is taken") from taken
-            head.write.mode("overwrite").parquet(path)  # what a dead writer left behind
-
-    def _existing(self) -> _Heads:
-        heads = self._heads()
-        if heads is None:
-            raise FileNotFoundError(f"no table at {self.path}")
-        return heads
-
-    def _heads(self) -> _Heads | None:
-        """The newest list of heads, found by doubling steps and then halving them."""
-        if (found := self._head(0)) is None:
-            return None
-        step = 1
-        while (further := self._head(found.version + step)) is not None:
-            found, step = further, step * 2
-        while step > 1:
-            step //= 2
-            if (further := self._head(found.version + step)) is not None:
-                found = further
-        return found
-
-    def _head(self, version: int) -> _Heads | None:
+    def _live(self, before: int | None = None) -> dict[int, tuple[int, int]]:
+        """By bucket the last batch that wrote it, and its bytes, from one listing; a row per bucket comes back."""
         try:
-            heads = self.spark.read.schema(_HEADS).parquet(f"{self.path}/heads/version={version}")
-            row = heads.first()
+            files = (
+                self.spark.read.format("binaryFile")
+                .option("recursiveFileLookup", True)
+                .option("pathGlobFilter", "*.parquet")
+                .load(self.path)
+            )
         except AnalysisException:
-            return None
-        if row is None:
-            return None
-        return _Heads(version, row.buckets, row.token, {int(b): load for b, load in row.written.items()})
-
-
-@dataclass(frozen=True)
-class _Heads:
-    version: int
-    buckets: int
-    token: str
-    loads: dict[int, str]
+            return {}
+        placed = files.select(
+            F.regexp_extract("path", r"/batch=(\d+)/", 1).cast("bigint").alias("batch"),
+            F.regexp_extract("path", rf"/{_BUCKET}=(\d+)/", 1).cast("int").alias(_BUCKET),
+            "length",
+        )
+        if before is not None:
+            placed = placed.filter(F.col("batch") < before)
+        sizes = placed.groupBy(_BUCKET, "batch").agg(F.sum("length").alias("bytes"))
+        newest = sizes.groupBy(_BUCKET).agg(F.max(F.struct("batch", "bytes")).alias("last"))
+        return {row[0]: (row.last.batch, row.last.bytes) for row in newest.collect()}
 
 
 def keyed_table(
-    spark: SparkSession,
-    path: str,
-    keys: Sequence[str],
-    buckets: int = 64,
-    cluster: Sequence[str] = (),
+    spark: SparkSession, path: str, keys: Iterable[str], buckets: int = 64, cluster: Sequence[str] = ()
 ) -> KeyedTable:
     return KeyedTable(spark, path, tuple(keys), buckets, tuple(cluster))

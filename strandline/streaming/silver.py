@@ -22,20 +22,46 @@ def silver_batch(cleaned: DataFrame, source: str) -> DataFrame:
     return newest.select(*spec.columns, PROCESSED)
 
 
+def bronze_rows(spark: SparkSession, source: str, bronze: str, named: bool = False) -> DataFrame:
+    """The stream of rows appended to Bronze: a folder, or with ``named`` a table of the catalog."""
+    if named:
+        return spark.readStream.table(bronze)
+    return spark.readStream.schema(SOURCES[source].bronze_schema).parquet(bronze)
+
+
 def start_refine(
-    spark: SparkSession, source: str, bronze: str, table: KeyedTable, checkpoint: str
+    spark: SparkSession, source: str, bronze: str, table: KeyedTable, checkpoint: str, named: bool = False
 ) -> StreamingQuery:
-    """Merge Bronze rows not seen before into ``table``, then stop."""
+    """Merge Bronze rows not seen before into ``table``, then stop.
+
+    A batch that is replayed has the id it had before, which makes its second merge the same as its
+    first. A table belongs to one checkpoint.
+    """
     schema = SOURCES[source].bronze_schema
     table.bootstrap(silver_batch(clean(spark.createDataFrame([], schema), source), source))
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(silver_batch(batch, source), token=f"{checkpoint}#{batch_id}")
+        table.upsert(silver_batch(batch, source), batch_id + 1)
 
     return (
-        clean(spark.readStream.schema(schema).parquet(bronze), source)
+        clean(bronze_rows(spark, source, bronze, named), source)
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def start_clean(spark: SparkSession, source: str, bronze: str, table: str, checkpoint: str) -> StreamingQuery:
+    """Append the cleaned and gated rows of a named Bronze table to a named table, then stop.
+
+    Every arrival is kept, so the table is a history; ``silver_batch`` takes the newest rows from it.
+    """
+    return (
+        gate(clean(bronze_rows(spark, source, bronze, named=True), source), source)
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .toTable(table)
+    )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import json
 import time
 from pathlib import Path
 from types import SimpleNamespace
@@ -12,11 +11,12 @@ import pytest
 from pyspark.errors import StreamingQueryException
 
 from strandline.contracts import MARK, PROCESSED, SOURCES
-from strandline.operators.increment import high_water_mark
+from strandline.operators.increment import high_water_mark, in_ranges
 from strandline.operators.quality import QualityGateError, read_audit
 from strandline.plans.lake import (
     Lake,
     LakeStar,
+    gold_marks,
     ingest_sources,
     load_gold,
     refine_sources,
@@ -26,12 +26,7 @@ from strandline.plans.lake import (
 )
 from strandline.plans.metrics import metric_query
 from strandline.session import run_folder, shared_folder
-from strandline.sources.keyed_table import (
-    ConcurrentUpsertError,
-    DuplicateKeyError,
-    KeyedTable,
-    keyed_table,
-)
+from strandline.sources.keyed_table import keyed_table
 from strandline.sources.landing import landing_fresh, landing_ready
 from strandline.sources.namespaces import create_namespaces
 from strandline.streaming.bronze import start_ingest
@@ -131,90 +126,83 @@ def test_nothing_new_changes_nothing(lake):
     drop(lake, "sales", "1.csv", *SALES_ONE)
     ingest_sources(lake, "sales")
     refine_sources(lake, "sales")
-    before = lake.silver("sales")._heads()
+    before = lake.silver("sales")._live()
     refine_sources(lake, "sales")
-    assert lake.silver("sales")._heads() == before
+    assert lake.silver("sales")._live() == before
+
+
+def batches(table):
+    return {bucket: batch for bucket, (batch, _) in table._live().items()}
 
 
 def test_keyed_table_rewrites_touched_buckets_only(spark, tmp_path):
     table = keyed_table(spark, str(tmp_path / "t"), ["k"], 8)
     assert not table.exists()
-    rows = spark.range(100).selectExpr("id AS k", "id AS v")
-    assert table.upsert(rows, "one")
-    before = table._heads().loads
-    update = spark.createDataFrame([(5, -1), (1000, -2)], "k LONG, v LONG")
-    assert table.upsert(update, "two")
-    assert not table.upsert(update, "two")  # delivered again
-    after = table._heads().loads
-    assert 1 <= sum(after[b] != before[b] for b in after) <= 2
-    got = {r.k: r.v for r in table.read().collect()}
-    assert got == {**{i: i for i in range(100)}, 5: -1, 1000: -2}
-    # The number of buckets belongs to the table, not to who opens it.
-    other = keyed_table(spark, table.path, ["k"], 3)
-    other.upsert(spark.createDataFrame([(6, -6)], "k LONG, v LONG"), "three")
-    assert table._heads().buckets == 8
-    assert {r.k: r.v for r in table.read().collect()} == got | {6: -6}
-
-
-def test_rows_without_a_list_of_heads_are_not_seen(spark, tmp_path):
-    """What a job leaves behind when it dies before publishing."""
+    table.upsert(spark.range(100).selectExpr("id AS k", "id AS v"), 1)
+    before = batches(table)
+    table.upsert(spark.createDataFrame([(5, -1), (1000, -2)], "k LONG, v LONG"), 2)
+    after = batches(table)
+    assert before == dict.fromkeys(range(8), 1)
+    assert 1 <= sum(after[b] == 2 for b in after) <= 2 and set(after.values()) == {1, 2}
+    assert {r.k: r.v for r in table.read().collect()} == {**{i: i for i in range(100)}, 5: -1, 1000: -2}
+    with pytest.raises(ValueError):
+        table.upsert(spark.range(1).selectExpr("id AS k", "id AS v"), 0)
+
+
+def test_a_replayed_batch_writes_the_same_rows(spark, tmp_path):
+    """Also one with null keys, which match nothing, and one that died while it was written."""
     table = keyed_table(spark, str(tmp_path / "t"), ["k"], 2)
-    table.upsert(spark.createDataFrame([(1, 1)], "k INT, v INT"), "one")
+    table.upsert(spark.createDataFrame([(1, 1), (2, 1), (None, 1)], "k INT, v INT"), 1)
+    second = spark.createDataFrame([(2, 2), (3, 2), (None, 2)], "k INT, v INT")
+    wanted = [(1, 1), (2, 2), (3, 2), (None, 1), (None, 2)]
     stray = spark.createDataFrame([(9, 9, 0)], "k INT, v INT, bucket INT")
-    stray.write.partitionBy("bucket").parquet(f"{table.path}/rows/load=1-stray")
-    assert [r.k for r in table.read().collect()] == [1]
-    table.upsert(spark.createDataFrame([(2, 2)], "k INT, v INT"), "two")
-    assert sorted(r.k for r in table.read().collect()) == [1, 2]
+    stray.write.partitionBy("bucket").parquet(f"{table.path}/batch=2")
+    for _ in range(3):
+        table.upsert(second, 2)
+        assert sorted(map(tuple, table.read().collect()), key=str) == sorted(wanted, key=str)
 
 
-def test_a_batch_with_repeated_keys_is_refused(spark, tmp_path):
+def test_an_empty_batch_changes_nothing(spark, tmp_path):
     table = keyed_table(spark, str(tmp_path / "t"), ["k"], 2)
-    twice = spark.createDataFrame([(1, 1), (1, 2), (None, 3), (None, 4)], "k INT, v INT")
-    for before in (None, 0):
-        with pytest.raises(DuplicateKeyError, match="comes 2 times"):
-            table.upsert(twice, "bad")
-        assert table.exists() == (before is not None)
-        if before is None:
-            assert table.upsert(twice.filter("k IS NULL"), "good")
-    assert sorted(r.v for r in table.read().collect()) == [3, 4]
-
-
-def test_the_second_writer_of_a_version_is_refused(spark, tmp_path):
-    table = keyed_table(spark, str(tmp_path / "t"), ["k"], 2)
-    table.upsert(spark.createDataFrame([(1, 1)], "k INT, v INT"), "one")
-    seen = table._heads()
-    table.upsert(spark.createDataFrame([(2, 2)], "k INT, v INT"), "two")
-    with pytest.raises(ConcurrentUpsertError):
-        table._publish(seen.version + 1, seen.loads, seen.buckets, "late")
-    assert sorted(r.k for r in table.read().collect()) == [1, 2]
-    # What a writer left that died while publishing is no version, and in nobody's way.
-    (tmp_path / "t" / "heads" / f"version={seen.version + 2}").mkdir()
-    table.upsert(spark.createDataFrame([(3, 3)], "k INT, v INT"), "three")
-    assert sorted(r.k for r in table.read().collect()) == [1, 2, 3]
-
-
-def test_the_newest_heads_are_found_without_the_old_ones(spark, tmp_path, monkeypatch):
-    table = keyed_table(spark, str(tmp_path / "t"), ["k"], 1)
-    for n in range(12):
-        table._publish(n, {0: "x"}, 1, f"t{n}")
-        asked = []
-        look = KeyedTable._head
-        monkeypatch.setattr(KeyedTable, "_head", lambda self, v: asked.append(v) or look(self, v))
-        assert (table._heads().version, table.last_token()) == (n, f"t{n}")
-        monkeypatch.setattr(KeyedTable, "_head", look)
-        assert len(asked) <= 4 * (2 + n.bit_length())
+    none = spark.createDataFrame([], "k INT, v INT")
+    table.upsert(none, 1)
+    assert table.read().count() == 0
+    table.upsert(spark.createDataFrame([(1, 1)], "k INT, v INT"), 2)
+    table.upsert(none, 3)
+    assert [tuple(r) for r in table.read().collect()] == [(1, 1)]
 
 
 def test_only_live_files_count_for_the_size(spark, tmp_path):
     table = keyed_table(spark, str(tmp_path / "t"), ["k"], 1)
     rows = spark.range(1000).selectExpr("id AS k", "rand() AS v")
-    table.upsert(rows, "one")
+    table.upsert(rows, 1)
     once = table.live_bytes()
-    for n in range(3):
-        table.upsert(rows, f"again {n}")
+    for n in range(2, 5):
+        table.upsert(rows, n)
     assert 0 < table.live_bytes() < 1.5 * once
 
 
+def scanned(frame) -> int:
+    """Rows that the file scans of a plan hand on."""
+    frame.write.format("noop").mode("overwrite").save()
+    frame.collect()
+    leaves = frame._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.length()))
+
+
+def test_a_restatement_reads_the_pages_of_changed_keys(spark, tmp_path):
+    table = keyed_table(spark, str(tmp_path / "t"), ["line"], 1, ["at", "ProductKey"])
+    rows = spark.range(400_000).selectExpr("id AS line", "1 AS at", "CAST(id * 7919 % 1000 AS INT) AS ProductKey")
+    table.upsert(rows, 1)
+    keys = spark.createDataFrame([(17,), (903,), (None,)], "ProductKey INT")
+    chosen = table.read().filter(in_ranges(keys))
+    assert chosen.count() == 800
+    assert scanned(chosen) < 0.25 * 400_000
+    many = spark.range(0, 1000, 3).selectExpr("CAST(id AS INT) AS ProductKey")
+    assert table.read().filter(in_ranges(many)).join(many, "ProductKey", "left_semi").count() == 334 * 400
+    assert table.read().filter(in_ranges(keys.limit(0))).count() == 0
+
+
 @pytest.mark.parametrize("cut", [1, 1000])
 def test_the_newest_file_wins_wherever_batches_end(spark, tmp_path, cut):
     lake = Lake(spark, str(tmp_path / f"cut{cut}"), buckets=2, files_per_batch=cut)
@@ -228,8 +216,8 @@ def test_the_newest_file_wins_wherever_batches_end(spark, tmp_path, cut):
 
 def test_null_keys_are_added_each_time(spark, tmp_path):
     table = keyed_table(spark, str(tmp_path / "t"), ["k"], 2)
-    for token in ("one", "two"):
-        table.upsert(spark.createDataFrame([(None, 1)], "k INT, v INT"), token)
+    for batch in (1, 2):
+        table.upsert(spark.createDataFrame([(None, 1)], "k INT, v INT"), batch)
     assert table.read().count() == 2
 
 
@@ -289,7 +277,7 @@ def test_whole_run_and_second_run(lake, spark):
     assert {k: float(r.Revenue) for k, r in facts.items()} == {"SO1": 40.0, "SO2": 12.0}
     assert facts["SO1"][MARK] > facts["SO2"][MARK]
     gold = lake.gold("fact_sales")
-    assert high_water_mark(gold.read(), MARK).timestamp() == json.loads(gold.last_token())["sales"] / 1e6
+    assert high_water_mark(gold.read(), MARK).timestamp() == gold_marks(lake, "fact_sales")[1]["sales"] / 1e6
     names = register_views(lake)
     assert "gold_fact_sales" in names and "silver_sales" in names
     assert spark.sql("SELECT sum(OrderQuantity) FROM gold_fact_sales").first()[0] == 13

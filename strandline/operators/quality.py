@@ -98,6 +98,16 @@ RULES: dict[str, tuple[Rule, ...]] = {
     ),
 }
 
+# What a row is told under besides the rules that it breaks: its mark, and its key.
+_MARKED, _KEYED = -1, 0
+
+# Columns of the audit log, those added later last. Files written before a column was there, or before
+# counts were BIGINT, are read under these all the same.
+AUDIT = (
+    f"table_name STRING, rule_name STRING, status STRING, failed_rows BIGINT, {MARK} TIMESTAMP, "
+    "evaluation_timestamp TIMESTAMP, checked_rows BIGINT"
+)
+
 ROW_COUNT_NAMES = {"customers": "Row Count Check"}
 
 
@@ -119,31 +129,38 @@ def count_duplicates(df: DataFrame, source: str) -> DataFrame:
 def quality_report(df: DataFrame, source: str) -> DataFrame:
     """One row per rule over a Silver slice; no rows for an empty slice.
 
-    Row count, mark, duplicates and every condition come out of one scan: counts are first
-    taken per key, combined map-side, and then added up.
+    Row count, mark, duplicates and every condition come out of one scan. A row is told once under
+    its key, and once without a key for every rule that it breaks. Counted map-side, the latter are one
+    row per rule and task, so that the shuffle holds each key with one count and no counter of a rule.
     """
-    rules = RULES[source]
-    failing = [f"_f{i}" for i in range(len(rules))]
-    per_key = df.groupBy(*SOURCES[source].keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.max(PROCESSED).alias("_mark"),
-        *[F.count_if(F.expr(r.fails)).alias(f) for r, f in zip(rules, failing)],
+    rules, keys = RULES[source], SOURCES[source].keys
+    broken = [F.when(F.expr(r.fails), F.lit(i)) for i, r in enumerate(rules, start=1)]
+    told = df.select(*keys, PROCESSED, F.explode(F.array(F.lit(_MARKED), F.lit(_KEYED), *broken)).alias("_rule"))
+    rule = F.col("_rule")
+    counted = (
+        told.filter(rule.isNotNull())
+        .groupBy(
+            "_rule", F.when(rule == _MARKED, F.col(PROCESSED)).alias("_mark"),
+            *[F.when(rule == _KEYED, F.col(k)).alias(f"_k{i}") for i, k in enumerate(keys)],
+        )
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    totals = per_key.agg(
-        F.sum("_n").alias("_n"),
+    hits = lambda which: F.coalesce(F.sum(F.when(which, F.col("_n"))), F.lit(0))
+    totals = counted.agg(
+        hits(rule == _KEYED).alias("checked_rows"),
         F.max("_mark").alias(MARK),
-        F.sum(F.when(F.col("_n") > 1, F.col("_n")).otherwise(0)).alias("_dup"),
-        *[F.sum(f).alias(f) for f in failing],
-    ).filter(F.col("_n") > 0)
+        hits((rule == _KEYED) & (F.col("_n") > 1)).alias("_dup"),
+        *[hits(rule == i).alias(f"_f{i}") for i in range(1, len(rules) + 1)],
+    ).filter(F.col("checked_rows") > 0)
 
     lines = [
         (ROW_COUNT_NAMES.get(source, ROW_COUNT), "FAIL", F.lit(0).cast("bigint")),
         (UNIQUE, "FAIL", F.col("_dup")),
-        *[(r.name, r.breach, F.col(f)) for r, f in zip(rules, failing)],
+        *[(r.name, r.breach, F.col(f"_f{i}")) for i, r in enumerate(rules, start=1)],
     ]
     cells = [c for name, breach, n in lines for c in (F.lit(name), F.lit(breach), n)]
     long = totals.select(
-        MARK, F.stack(F.lit(len(lines)), *cells).alias("rule_name", "breach", "failed_rows")
+        MARK, "checked_rows", F.stack(F.lit(len(lines)), *cells).alias("rule_name", "breach", "failed_rows")
     )
     return long.select(
         F.lit(source).alias("table_name"),
@@ -152,6 +169,7 @@ def quality_report(df: DataFrame, source: str) -> DataFrame:
         "failed_rows",
         MARK,
         F.current_timestamp().alias("evaluation_timestamp"),
+        "checked_rows",
     )
 
 
@@ -177,8 +195,8 @@ def append_audit(report: DataFrame, path: str) -> None:
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
-    """The whole log; rows written before a column existed read it as null."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    """The whole log, its files' columns matched by name; rows written before a column existed read it as null."""
+    return spark.read.schema(AUDIT).parquet(path)
 
 
 def audited_mark(audit: DataFrame | None, advance_on_failure: bool = False) -> dt.datetime:

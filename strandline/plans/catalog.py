@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import partial, reduce
 
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from strandline.contracts import INGESTED, PROCESSED, SOURCES
+from strandline.contracts import INGESTED, MARK, PROCESSED, SOURCES
 from strandline.functions.calendar import date_spine, drill_down
 from strandline.functions.values import parse_date
 from strandline.operators import star as gold
@@ -34,8 +35,10 @@ from strandline.plans.star import SourceStar, silver
 from strandline.session import run_folder
 from strandline.sources.adapters import TIES, Tables, raw
 from strandline.sources.keyed_table import keyed_table
-from strandline.sources.landing import landing_fresh, landing_ready
+from strandline.sources.landing import landing_fresh, landing_ready, newest_change
 from strandline.sources.namespaces import LAYERS, create_namespaces
+from strandline.streaming.bronze import start_ingest
+from strandline.streaming.silver import silver_batch, start_clean, start_refine
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -285,6 +288,20 @@ def dq_audit_append(spark: SparkSession, folder: str) -> DataFrame:
     return read_audit(spark, path).select("table_name", "rule_name", "status", "failed_rows")
 
 
+def dq_audit_two_schemas(spark: SparkSession, folder: str) -> DataFrame:
+    """The audit log over two versions: the first slice was written before there was a count of rows checked,
+    when counts of failures were narrower."""
+    path, tables = run_folder(spark, "audit"), Tables(spark, folder)
+    slices = [
+        quality_report(_cleaned(tables, "sales", spoiled=True, where=lines).withColumn(PROCESSED, F.current_timestamp()), "sales")
+        for lines in (FIRST_LINES, LATER_LINES)
+    ]
+    older = slices[0].drop("checked_rows").withColumn("failed_rows", F.col("failed_rows").cast("int"))
+    append_audit(older.select("rule_name", "table_name", "failed_rows", "status", MARK, "evaluation_timestamp"), path)
+    append_audit(slices[1], path)
+    return read_audit(spark, path).select("table_name", "rule_name", "status", "failed_rows", "checked_rows")
+
+
 # ---- upserts and marks ------------------------------------------------------------------
 
 
@@ -513,23 +530,63 @@ def setup_namespaces(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
-def _landed(spark: SparkSession, folder: str) -> Lake:
+# What the files of a landing folder are made by: one file per value of the column.
+PIECES = {"customers": "Occupation", "products": "ProductSize", "territories": "Country", "returns": "TerritoryKey"}
+#: Sales that are rare, or that no table has: a source may have little to land, or nothing.
+FEW_SALES, NO_SALES = "l_quantity > 49 AND l_linenumber = 7", "l_quantity < 0"
+
+
+def _drop_pieces(lake: Lake, tables: Tables, source: str, piece: str, where: str | None = None) -> None:
+    columns = [f.name for f in SOURCES[source].landing_schema]
+    rows = raw(tables, source, where=where).select(*columns).withColumn("piece", F.col(piece))
+    folder = f"{lake.landing(source)}/{uuid.uuid4().hex[:8]}"
+    rows.repartition("piece").write.partitionBy("piece").options(**CSV).csv(folder)
+
+
+def _landed(spark: SparkSession, folder: str) -> tuple[Lake, Tables]:
     lake, tables = _lake(spark, "landing"), Tables(spark, folder)
-    for source in ("customers", "products", "calendar", "territories"):
-        _drop(lake, tables, source)
-    return lake
+    for source, piece in PIECES.items():
+        _drop_pieces(lake, tables, source, piece)
+    return lake, tables
 
 
 def landing_ready_query(spark: SparkSession, folder: str) -> DataFrame:
-    return landing_ready(spark, f"{_landed(spark, folder).root}/incoming")
+    """Which sources have landed, in how many files: one for each value that their rows have."""
+    lake, tables = _landed(spark, folder)
+    _drop_pieces(lake, tables, "sales", "TerritoryKey", FEW_SALES)
+    _drop_pieces(lake, tables, "calendar", "Date", "o_totalprice < 0 AND o_orderdate IS NULL")
+    return landing_ready(spark, f"{lake.root}/incoming")
 
 
 def landing_fresh_query(spark: SparkSession, folder: str) -> DataFrame:
-    root = f"{_landed(spark, folder).root}/incoming"
-    before, after = EPOCH, dt.datetime(2999, 1, 1)
-    old = landing_fresh(spark, root, before).withColumnRenamed("fresh", "since_epoch")
-    new = landing_fresh(spark, root, after).withColumnRenamed("fresh", "since_far_future")
-    return old.join(new, "source")
+    """Which sources have changed since a first wave of files, and in how many files."""
+    lake, tables = _landed(spark, folder)
+    root = f"{lake.root}/incoming"
+    since = newest_change(spark, root) + dt.timedelta(milliseconds=1)
+    _drop_pieces(lake, tables, "sales", "TerritoryKey", FEW_SALES)
+    _drop_pieces(lake, tables, "returns", "TerritoryKey", NO_SALES)
+    _drop_pieces(lake, tables, "customers", "Gender", "c_acctbal > 0")
+    return landing_fresh(spark, root, since)
+
+
+def silver_stream_by_name(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver sales from a Bronze table of the catalog: merged into a keyed table, and kept as a history.
+
+    The newest rows of the history are those of the keyed table.
+    """
+    lake, tables = _lake(spark, "named"), Tables(spark, folder)
+    bronze_db, silver_db, *_ = create_namespaces(spark, f"{lake.root}/catalog", f"lake_{lake.root[-12:]}_")
+    bronze, history = f"{bronze_db}.sales", f"{silver_db}.sales_history"
+    merged, kept = lake.silver("sales"), lake.checkpoint("history", "sales")
+    for lines in (FIRST_LINES, LATER_LINES):
+        _drop(lake, tables, "sales", where=lines)
+        paths = (lake.landing("sales"), lake.bronze("sales"), lake.checkpoint("bronze", "sales"))
+        start_ingest(spark, "sales", *paths, table=bronze).awaitTermination()
+        start_refine(spark, "sales", bronze, merged, lake.checkpoint("silver", "sales"), named=True).awaitTermination()
+        start_clean(spark, "sales", bronze, history, kept).awaitTermination()
+    newest = silver_batch(spark.table(history), "sales")
+    ways = {"keyed": merged.read(), "history": newest}
+    return reduce(DataFrame.unionByName, [rows.drop(PROCESSED).withColumn("way", F.lit(way)) for way, rows in ways.items()])
 
 
 def filled_lake(spark: SparkSession, folder: str) -> Lake:
@@ -546,6 +603,24 @@ def lake_report(lake: Lake) -> DataFrame:
     return _report(metric_query(LakeStar(lake), measures, ["CategoryName"]), measures)
 
 
+# Visuals that are answered from stored Gold tables too.
+STORED = ("revenue_by_category", "orders_by_category", "return_rate_by_category", "top_customers_revenue", "kpi_avg_order_value")
+_LAKES: dict[tuple[str, str], Lake] = {}
+
+
+def stored_lake(spark: SparkSession, folder: str) -> Lake:
+    """The lake that the report queries of a session share: filled when the first of them asks."""
+    name = (spark.sparkContext.applicationId, folder)
+    if name not in _LAKES:
+        _LAKES[name] = filled_lake(spark, folder)
+    return _LAKES[name]
+
+
+def _stored_visual(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    measures, by, options = VISUALS[name]
+    return _report(metric_query(LakeStar(stored_lake(spark, folder)), measures, by, **options), measures)
+
+
 def lakehouse_refresh(spark: SparkSession, folder: str) -> DataFrame:
     """Revenue per category out of a lake that was filled from CSV files end to end."""
     return lake_report(filled_lake(spark, folder))
@@ -606,6 +681,8 @@ def queries() -> dict[str, Query]:
         found[name] = partial(gold_query, table=table)
     for name in (*VISUALS, *YEAR_BACK, *SPREAD):
         found[name] = partial(_visual, name=name)
+    for name in STORED:
+        found[f"stored_{name}"] = partial(_stored_visual, name=name)
     for name in DRILLS:
         found[name] = partial(_drill, name=name)
     return found | {
@@ -615,6 +692,8 @@ def queries() -> dict[str, Query]:
         "dq_verdict": dq_verdict,
         "dq_gate": dq_gate,
         "dq_audit_append": dq_audit_append,
+        "dq_audit_two_schemas": dq_audit_two_schemas,
+        "silver_stream_by_name": silver_stream_by_name,
         "upsert_events": upsert_events,
         "upsert_null_key": upsert_null_key,
         "upsert_sales": upsert_sales,

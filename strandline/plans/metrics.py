@@ -266,10 +266,12 @@ class Query:
         parts = {t.stored: t for t in [*totals.values(), *summed]}
         parts = {name: parts[name] for name in sorted(parts)}
         rows = self._rows(fact, [t.column for t in [*parts.values(), *distincts.values()]])
+        dealt = [self.star.dealt.get(d.column) for d in distincts.values()]
+        dealt = [F.col(c).alias("_dealt") for c in dealt if len(dealt) == 1 and c in rows.columns]
         if distincts or not keys:
             values = {f"_v{i}": F.col(d.column) for i, d in enumerate(distincts.values())}
             rows = rows.select(
-                *keys, *[t.part(False).alias(n) for n, t in parts.items()], *[v.alias(n) for n, v in values.items()]
+                *keys, *[t.part(False).alias(n) for n, t in parts.items()], *[v.alias(n) for n, v in values.items()], *dealt
             )
         else:
             values = {}
@@ -284,6 +286,15 @@ class Query:
             # A date belongs to one group, so this is no longer than the calendar.
             rows = rows.join(F.broadcast(back.withColumnRenamed("Date", date)), date)
         sums = self._sums(totals)
+        if dealt:
+            # The rows of a value are in one task already: repeats go without a shuffle.
+            seen = rows.groupBy(*self.reached(fact), "_dealt", "_v0").agg(*[F.sum(c).alias(n) for n, c in sums.items()]) if sums else (
+                rows.select(*self.reached(fact), "_dealt", "_v0").distinct()
+            )
+            counted = F.when(F.count(F.lit(1)) > 0, F.count(F.lit(1)))
+            return seen.groupBy(*self.reached(fact)).agg(
+                *[F.sum(f"`{n}`").alias(n) for n in sums], *[counted.alias(n) for n in distincts]
+            )
         if len(distincts) > 1:
             return in_one_pass(rows, self.reached(fact), sums, dict(zip(distincts, values)))
         return rows.groupBy(*self.reached(fact)).agg(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from strandline.plans.catalog import DATE_TEXTS
+from strandline.plans.catalog import DATE_TEXTS, STORED
 from strandline.sources.adapters import COLUMNS, SPOILED
 
 LINES = (
@@ -262,6 +262,15 @@ STEPS |= {
 }
 
 
+# The same out of one CSV drop, where only columns break ties.
+for _s in ("sales", "returns"):
+    STEPS[f"landed_{_s}"] = _newest(f"gate_{_s}", KEYS[_s], _untimed(_s), _names(_s))
+STEPS["landed_fact_sales"] = _fact("landed_sales")
+STEPS["landed_fact_returns"] = "SELECT * FROM landed_returns"
+for _s in ("wide_sales", "wide_returns"):
+    STEPS[f"landed_{_s}"] = re.sub(r"\bfact_", "landed_fact_", STEPS[_s])
+
+
 def _with(sql: str) -> str:
     """``sql`` preceded by the steps it needs, each after the ones it needs itself."""
     order: list[str] = []
@@ -595,12 +604,27 @@ def _landed(sales: str = "", category: str = "s.CategoryName") -> str:
     )
 
 
-def _landing(columns: str) -> str:
+FEW_SALES = f"(SELECT c_nationkey AS piece FROM {LINES} WHERE l_quantity > 49 AND l_linenumber = 7)"
+
+
+def _landing(answer: str, files: str, pieces: dict[str, str]) -> str:
+    """Files per source: one for each value in the column ``piece``, a null being one."""
+    counts = " ".join(f"WHEN '{source}' THEN (SELECT {_distinct('piece')} FROM {rows})" for source, rows in pieces.items())
     sources = ", ".join(f"('{s}')" for s in COLUMNS)
-    return f"SELECT source, {columns} FROM (VALUES {sources}) t(source)"
+    return (
+        f"SELECT source, n > 0 AS {answer}, CAST(n AS BIGINT) AS {files} "
+        f"FROM (SELECT source, CASE source {counts} ELSE 0 END AS n FROM (VALUES {sources}) t(source))"
+    )
 
 
-LANDED = "source IN ('customers', 'products', 'calendar', 'territories')"
+LANDED = {
+    "customers": "(SELECT Occupation AS piece FROM raw_customers)",
+    "products": "(SELECT ProductSize AS piece FROM raw_products)",
+    "territories": "(SELECT Country AS piece FROM raw_territories)",
+    "returns": "(SELECT TerritoryKey AS piece FROM raw_returns)",
+    "sales": FEW_SALES,
+}
+CHANGED = {"sales": FEW_SALES, "customers": "(SELECT c_custkey % 3 AS piece FROM customer WHERE c_acctbal > 0)"}
 
 
 def _money(columns: str, rows: str) -> str:
@@ -761,6 +785,8 @@ def oracle_sql() -> dict[str, str]:
         "dq_audit_append": _report("sales", "bad_first_clean_sales")
         + " UNION ALL "
         + _report("sales", "bad_later_clean_sales"),
+        "dq_audit_two_schemas": f"SELECT *, CAST(NULL AS BIGINT) AS checked_rows FROM ({_report('sales', 'bad_first_clean_sales')}) UNION ALL "
+        f"SELECT *, (SELECT count(*) FROM bad_later_clean_sales) AS checked_rows FROM ({_report('sales', 'bad_later_clean_sales')})",
         "upsert_events": _merge(_events(EARLY), _events(LATE), "user_id"),
         "upsert_null_key": _merge(_events(EARLY, True), _events(LATE, True), "user_id"),
         "upsert_sales": _merge(
@@ -790,8 +816,9 @@ def oracle_sql() -> dict[str, str]:
         "FROM raw_sales",
         "bronze_contract": "SELECT * FROM raw_customers",
         "silver_stream_upsert": STREAMED,
-        "landing_ready": _landing(f"{LANDED} AS ready"),
-        "landing_fresh": _landing(f"{LANDED} AS since_epoch, FALSE AS since_far_future"),
+        "silver_stream_by_name": f"SELECT *, unnest(['keyed', 'history']) AS way FROM ({STREAMED})",
+        "landing_ready": _landing("ready", "files", LANDED),
+        "landing_fresh": _landing("fresh", "new_files", CHANGED),
         "lakehouse_refresh": _landed(),
         "lakehouse_incremental": _landed(
             STREAMED, "CASE WHEN s.CategoryName = 'Promo' THEN 'Promo Goods' ELSE s.CategoryName END"
@@ -833,4 +860,6 @@ def oracle_sql() -> dict[str, str]:
         "FROM dim_products GROUP BY ProductColor",
     }
     sql |= _far_measures() | _drills()
+    for name in STORED:
+        sql[f"stored_{name}"] = re.sub(r"\b(wide|fact)_(sales|returns)\b", r"landed_\1_\2", sql[name])
     return {name: _with(text) for name, text in sql.items()}

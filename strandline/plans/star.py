@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from strandline.operators import star as gold
 from strandline.operators.cleaning import CLEANERS, gate
 from strandline.operators.latest import keep_latest
 from strandline.operators.lookup import SMALL_LOOKUP_BYTES, hot_keys, stored_bytes
-from strandline.sources.adapters import SALES, TIES, Tables, dense_calendar, raw
+from strandline.sources.adapters import DEALT, SALES, TIES, Tables, dense_calendar, raw
 
 # Sources whose rows carry an arrival time; the others come with one row per key.
 TIMED = ("sales", "returns")
@@ -46,19 +47,25 @@ class Star:
     def _find_hot(self, dimension: str) -> DataFrame | None:
         return None
 
+    #: By column of ``lines`` another that it determines and that its rows are dealt out by.
+    dealt: Mapping[str, str] = {}
+
     @property
     def lines(self) -> DataFrame:
         """Sales for measures that use no price; a star that prices them lazily has them bare."""
         return self.sales
 
 
-def silver(tables: Tables, source: str, spoiled: bool = False) -> DataFrame:
-    """Cleaned, gated, newest-per-key rows of ``source``, as one lazy plan."""
-    spec = SOURCES[source]
+def silver(tables: Tables, source: str, spoiled: bool = False, dealt: bool = False) -> DataFrame:
+    """Cleaned, gated, newest-per-key rows of ``source``, as one lazy plan.
+
+    With ``dealt`` they keep the columns that they are dealt out by.
+    """
+    spec, within = SOURCES[source], DEALT.get(source, ())
     rows = gate(CLEANERS[source](raw(tables, source, spoiled)), source)
     if source in TIMED:
-        rows = keep_latest(rows, spec.keys, ties=TIES[source])
-    rows = rows.select(*spec.columns)
+        rows = keep_latest(rows, spec.keys, ties=TIES[source], within=within)
+    rows = rows.select(*spec.columns, *(within if dealt else ()))
     # Every calendar column follows from the date, so equal keys are equal rows.
     return rows.distinct() if source == "calendar" else rows
 
@@ -105,9 +112,11 @@ class SourceStar(Star):
     def _silver_products(self) -> DataFrame:
         return silver(self.tables, "products")
 
+    dealt = {"OrderNumber": DEALT["sales"][0]}
+
     @cached_property
     def lines(self) -> DataFrame:
-        return silver(self.tables, "sales")
+        return silver(self.tables, "sales", dealt=True)
 
     @cached_property
     def sales(self) -> DataFrame:

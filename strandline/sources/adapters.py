@@ -76,6 +76,7 @@ SALES = {
     "OrderQuantity": "CAST(CASE WHEN l_partkey % 10 = 0 THEN -l_quantity ELSE l_quantity END "
     "AS INT)",
     INGESTED: "l_shipdate",
+    "tie0": "l_orderkey",
     "tie2": "l_suppkey",
 }
 
@@ -197,6 +198,8 @@ SMALL = ("calendar", "product_category", "product_sub_category")
 KEYED_BY_TEXT = ("product_category", "product_sub_category", "products")
 
 # Orders rows of one key that carry the same ingest time.
+# Rows come out of the join of lines and orders dealt out by this column, which their key determines.
+DEALT = {"sales": ("tie0",)}
 TIES = {"sales": ("ProductKey", "tie2"), "returns": ("tie1", "tie2", "tie3")}
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,41 +42,39 @@ def read_landing(
     )
 
 
-def _listing(spark: SparkSession, root: str, pattern: str) -> DataFrame:
-    """Newest change per source folder under ``root``; file contents are not read."""
+def _listing(spark: SparkSession, root: str, pattern: str, since: dt.datetime | None = None) -> DataFrame:
+    """Files per source folder under ``root``, those changed at or after ``since``; contents are not read."""
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True)
         .load(root)
     )
-    named = files.select(
-        F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("source"), "modificationTime"
-    )
-    return named.groupBy("source").agg(F.max("modificationTime").alias("newest"))
+    if since is not None:
+        files = files.filter(F.col("modificationTime") >= F.lit(since))
+    # Listings spell the scheme their own way (file:/ for file:///), so it is left out.
+    below = re.escape(root.split("://", 1)[-1].rstrip("/"))
+    named = files.select(F.regexp_extract("path", f"{below}/([^/]+)/", 1).alias("source"))
+    return named.groupBy("source").agg(F.count(F.lit(1)).alias("files"))
 
 
-def _expected(spark: SparkSession) -> DataFrame:
-    return spark.range(1).select(F.explode(F.lit(list(SOURCES))).alias("source"))
+def _counted(spark: SparkSession, found: DataFrame, answer: str, files: str) -> DataFrame:
+    expected = spark.range(1).select(F.explode(F.lit(list(SOURCES))).alias("source"))
+    counted = expected.join(found, "source", "left").withColumn("files", F.coalesce("files", F.lit(0)))
+    return counted.select("source", (F.col("files") > 0).alias(answer), F.col("files").alias(files))
 
 
 def landing_ready(spark: SparkSession, root: str) -> DataFrame:
-    """Per source, whether any ``*.csv`` lies in its folder."""
-    found = _listing(spark, root, "*.csv")
-    return (
-        _expected(spark)
-        .join(found, "source", "left")
-        .select("source", F.col("newest").isNotNull().alias("ready"))
-    )
+    """Per source, whether any ``*.csv`` lies in its folder or below it, and how many."""
+    return _counted(spark, _listing(spark, root, "*.csv"), "ready", "files")
 
 
 def landing_fresh(spark: SparkSession, root: str, since: dt.datetime) -> DataFrame:
-    """Per source, whether its newest CSV changed at or after ``since``."""
-    found = _listing(spark, root, ANY_CASE_CSV)
-    return (
-        _expected(spark)
-        .join(found, "source", "left")
-        .select(
-            "source", F.coalesce(F.col("newest") >= F.lit(since), F.lit(False)).alias("fresh")
-        )
-    )
+    """Per source, whether a CSV changed at or after ``since``, and how many."""
+    return _counted(spark, _listing(spark, root, ANY_CASE_CSV, since), "fresh", "new_files")
+
+
+def newest_change(spark: SparkSession, root: str) -> dt.datetime | None:
+    """When a CSV below ``root`` changed last."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", ANY_CASE_CSV).option("recursiveFileLookup", True)
+    return files.load(root).agg(F.max("modificationTime")).first()[0]

@@ -10,12 +10,16 @@ leaves, is at most ``1 - similarity`` of the longer text. Accepted pairs are lin
 connected component form a class, named by its smallest doc_id.
 
 Large groups: equal texts are collapsed first (one row per distinct text, partial aggregation);
-within a bucket of equal sketch values every text is compared with the bucket's smallest text only,
-never all with all. Texts that are not in that text's component afterwards are dealt out again, by the
-bucket and each other sketch value, and compared with the smallest text there. No bucket is capped,
-and comparisons grow with a bucket's size, not with its square. A pair is overlooked only if it agrees
-on no sketch value, or if in every bucket and sub-bucket that it shares, a smaller text unlike both
-is in its way; similar texts share many.
+within a bucket of equal sketch values every text is compared with the bucket's smallest text only, its
+anchor, never all with all. Texts whose numbers of words rule a link with the anchor out are dealt out
+again with those of like numbers of words. A text that is unlike an anchor goes on by what tells it from
+all the anchors that it was compared with: ``OWN`` minima over the k-mers that none of them has. What
+thousands of texts have in common, a passage, is so out of the way after a round or two, and texts that
+are like each other meet again. Texts of which the anchors have nearly all go on by their sketch values
+among themselves, once. Rounds go on, each with new anchors, until no pair is left that was not
+compared. No bucket is capped, and comparisons grow with a bucket's size, not with its square. A pair is
+overlooked if it agrees on no sketch value, or if a smaller text unlike it is in its way in every bucket
+of every round; the tests measure both, on texts with and without a passage in common.
 
 Nulls and edge cases: a null text counts as empty; equal texts are one class whatever their length;
 texts without a word have no sketch and are linked by equality alone; a text of one word is one k-mer. A class whose documents all have a null id has a null class_id. Repeated rows are
@@ -47,8 +51,13 @@ FEW, SINGLES = 24, 12
 _rng = np.random.Generator(np.random.PCG64(77_003))
 _FACTORS = _rng.integers(1 << 61, 1 << 62, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _AGAIN = _rng.integers(1 << 61, 1 << 62, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Minima over the k-mers that no anchor has, and the share of these below which the sketch counts too.
+OWN, INSIDE = 32, 0.25
+
 #: Hashes held at once while sketching: as many sketch values at a time as fit, one for long texts.
 CELLS = 1 << 16
+_LEFT_FACTORS = _rng.integers(1 << 61, 1 << 62, OWN, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_LEFT_AGAIN = _rng.integers(1 << 61, 1 << 62, OWN, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -153,6 +162,29 @@ def similar(left: bytes, right: bytes, similarity: float) -> bool:
     return banded_distance(a.tolist(), b.tolist(), most) is not None
 
 
+def _packed_kmers(packed: bytes) -> np.ndarray:
+    return _kmers(np.frombuffer(packed, np.uint32).astype(np.uint64))
+
+
+def told_apart(kmers: np.ndarray, covered: np.ndarray, inside: bool = False) -> np.ndarray:
+    """Values of a text by the k-mers that are not covered; if these are few, also its sketch, marked as such.
+
+    The sketch is left out for a text that is known to lie ``inside`` its anchors: it was given before.
+    """
+    own = kmers[~covered]
+    found = []
+    if len(own):
+        step = max(1, CELLS // len(own))
+        for k in range(0, OWN, step):
+            order = own * _LEFT_FACTORS[k : k + step, None]
+            order ^= order >> np.uint64(29)
+            least = own[(order * _LEFT_AGAIN[k : k + step, None]).argmin(axis=1)]
+            found.append(mix(np.arange(k + 1, k + 1 + len(least), dtype=np.uint64) * np.uint64(31) + least).view(np.int64))
+    if not inside and len(own) <= INSIDE * len(kmers):
+        found.append(~_ordered(kmers))
+    return np.concatenate(found) if found else np.empty(0, np.int64)
+
+
 def _text_key(text: str) -> F.Column:
     return F.md5(raw_text(text))
 
@@ -208,72 +240,106 @@ def _bodies(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame) -> DataF
     return found.join(wanted, same).groupBy("uid").agg(F.first("words").alias("words"))
 
 
-def _verified(pairs: DataFrame, bodies: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) of ``pairs`` whose texts align."""
+def _compared(pairs: DataFrame, bodies: DataFrame, similarity: float) -> DataFrame:
+    """(a, b, linked, covered) of the pairs (a, b), a the anchor: whether their texts align, else which k-mers of b
+    the anchor has, a bit for each."""
     left = bodies.select(F.col("uid").alias("a"), F.col("words").alias("left_words"))
     right = bodies.select(F.col("uid").alias("b"), F.col("words").alias("right_words"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left_words", "right_words")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            both = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
-            good = pa.array([similar(x, y, similarity) for x, y in both], pa.bool_())
-            yield batch.select([0, 1]).filter(good)
+            linked, covered = [], []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                linked.append(similar(x, y, similarity))
+                covered.append(None if linked[-1] else np.packbits(np.isin(_packed_kmers(y), _packed_kmers(x))).tobytes())
+            columns = [batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(covered, pa.binary())]
+            yield pa.record_batch(columns, names=["a", "b", "linked", "covered"])
+
+    return batched(joined, run, "a bigint, b bigint, linked boolean, covered binary")
 
-    return batched(joined, run, "a bigint, b bigint")
+
+def _left(covered: DataFrame, bodies: DataFrame) -> DataFrame:
+    """(uid, covered, inside, n_words, values) of texts from (uid, covered, inside): what their anchors have together.
+
+    A text has a row in ``covered`` for each of its buckets at most, a bit for each of its words.
+    """
+    sets = covered.groupBy("uid").agg(F.collect_list("covered").alias("covered"), F.bool_or("inside").alias("inside"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for uid, parts, inside, words in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                kmers = _packed_kmers(words)
+                bits = np.bitwise_or.reduce([np.frombuffer(part, np.uint8) for part in parts])
+                had = np.unpackbits(bits, count=len(kmers)).astype(bool)
+                few = inside or len(kmers) - had.sum() <= INSIDE * len(kmers)
+                rows.append((uid, bits.tobytes(), bool(few), len(words) // 4, told_apart(kmers, had, inside)))
+            kinds = (pa.int64(), pa.binary(), pa.bool_(), pa.int64(), pa.list_(pa.int64()))
+            columns = [pa.array([row[k] for row in rows], kind) for k, kind in enumerate(kinds)]
+            yield pa.record_batch(columns, names=["uid", "covered", "inside", "n_words", "values"])
+
+    together = sets.join(bodies, "uid").select("uid", "covered", "inside", "words")
+    return batched(together, run, "uid bigint, covered binary, inside boolean, n_words bigint, values array<bigint>")
 
 
 def _with_anchors(rows: DataFrame, similarity: float) -> DataFrame:
-    """(bucket, uid, anchor, near): each text of a bucket with the bucket's smallest text, but for itself.
+    """(bucket, a, b, n_words, near): each text b of a bucket with the bucket's smallest text a, but for itself.
 
-    near: whether their numbers of words allow a link, by the bound of ``similar``.
+    near: whether their numbers of words allow a link, by the bound of ``similar``. The minima are dealt
+    anew before the join, so that Spark can split the partition of a hot bucket.
     """
     least = F.min(F.struct("uid", "n_words"))
     anchors = rows.groupBy("bucket").agg(least.alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    anchors = anchors.select("bucket", F.col("least.uid").alias("anchor"), F.col("least.n_words").alias("other"))
+    anchors = anchors.select("bucket", F.col("least.uid").alias("a"), F.col("least.n_words").alias("other"))
     most = F.floor((1 - similarity) * F.greatest("n_words", "other") + 1e-9)
-    both = rows.join(anchors, "bucket").where("uid <> anchor")
-    return staged(both.select("bucket", "uid", "anchor", (F.abs(F.col("n_words") - F.col("other")) <= most).alias("near")), "buckets")
+    both = rows.join(anchors.hint("rebalance"), "bucket").where("uid <> a")
+    near = F.abs(F.col("n_words") - F.col("other")) <= most
+    return both.select("bucket", "a", F.col("uid").alias("b"), "n_words", near.alias("near"))
 
 
-def _pairs(shared: DataFrame) -> DataFrame:
-    """(a, b): the pairs of ``shared`` that may be links."""
-    return staged(shared.where("near").select(F.col("anchor").alias("a"), F.col("uid").alias("b")).distinct(), "pairs")
+def _of_like_size(shared: DataFrame, similarity: float) -> DataFrame:
+    """Rows (bucket, uid, n_words) that part the texts of a bucket by their numbers of words.
 
-
-def _in_other_component(shared: DataFrame, roots: DataFrame) -> DataFrame:
-    """The rows of ``shared`` whose text is not linked to their anchor."""
-    mine = roots.select(F.col("node").alias("uid"), F.col("root").alias("mine"))
-    theirs = roots.select(F.col("node").alias("anchor"), F.col("root").alias("theirs"))
-    both = shared.join(mine, "uid", "left").join(theirs, "anchor", "left")
-    return both.where(F.coalesce("mine", "uid") != F.coalesce("theirs", "anchor")).select("bucket", "uid", "anchor", "near")
+    Two texts of which one can be a near copy of the other are in one of the classes of both.
+    """
+    size = F.floor(F.log(F.greatest("n_words", F.lit(1))) / F.log(F.lit(1 / similarity) + 1e-9))
+    classes = F.explode(F.array(F.xxhash64("bucket", size), F.xxhash64("bucket", size + 1)))
+    return shared.select(F.col("b").alias("uid"), "n_words", classes.alias("bucket"))
 
 
-def _links(docs: DataFrame, doc_id: str, text: str, texts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """The verified of ``pairs``; reads the documents once more for the texts in them."""
+def _all_links(docs: DataFrame, doc_id: str, text: str, texts: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): enough links between distinct texts to join every class."""
+    rows = texts.select("uid", "n_words", F.explode("sketches").alias("bucket"))
+    shared = staged(_with_anchors(rows, similarity), "buckets")
+    sized = _with_anchors(_of_like_size(shared.where("NOT near"), similarity), similarity)
+    pairs = staged(shared.where("near").select("a", "b").unionByName(sized.select("a", "b")).distinct(), "pairs")
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
-    wanted = nodes.join(texts.select("uid", "key", "rep"), "uid")
-    bodies = staged(_bodies(docs, doc_id, text, wanted), "bodies")
-    return staged(_verified(pairs, bodies, similarity), "verified")
+    # Later rounds compare texts of these pairs only, so documents are read once more, not once a round.
+    bodies = staged(_bodies(docs, doc_id, text, nodes.join(texts.select("uid", "key", "rep"), "uid")), "bodies")
+    compared = staged(_compared(pairs, bodies, similarity), "compared")
+    links, tried, left = compared.where("linked").select("a", "b"), pairs, None
+    while True:
+        covered = compared.where("NOT linked").select(F.col("b").alias("uid"), "covered", F.lit(False).alias("inside"))
+        if left is not None:  # what the anchors of earlier rounds have
+            before = left.select("uid", "covered", "inside").join(covered.select("uid").distinct(), "uid", "left_semi")
+            covered = covered.unionByName(before)
+        left = staged(_left(covered, bodies), "left")
+        rows = left.select("uid", "n_words", F.explode("values").alias("bucket"))
+        pairs = _with_anchors(rows, similarity).select("a", "b").distinct()
+        pairs = staged(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        if pairs.isEmpty():
+            return links
+        compared = staged(_compared(pairs, bodies, similarity), "compared")
+        links = links.unionByName(compared.where("linked").select("a", "b"))
+        tried = tried.unionByName(pairs)
 
 
 def _texts_and_roots(docs: DataFrame, doc_id: str, text: str, similarity: float) -> DataFrame:
     """(key, rep, root) of every distinct text; texts of one class have one root."""
     distinct = _profiles(docs, doc_id, text).groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("sketches").alias("sketches"), F.first("n_words").alias("n_words"))
     texts = staged(distinct.sortWithinPartitions("key").withColumn("uid", F.monotonically_increasing_id()), "texts")
-    rows = texts.select("uid", "n_words", F.explode("sketches").alias("bucket"))
-    shared = _with_anchors(rows, similarity)
-    links = _links(docs, doc_id, text, texts, _pairs(shared), similarity)
-    roots = staged(components(links), "roots")
-    # Second round: what is in another component than its bucket's anchor is dealt out again, by the
-    # bucket together with each other sketch value of the text.
-    left = _in_other_component(shared, roots).join(texts.select("uid", "n_words", "sketches"), "uid")
-    parts = F.concat(F.array(F.lit(0).cast("bigint")), F.col("sketches"))
-    again = left.select("uid", "n_words", F.explode(F.transform(parts, lambda s: F.xxhash64("bucket", s))).alias("bucket"))
-    again = _in_other_component(_with_anchors(again, similarity), roots)
-    more = _links(docs, doc_id, text, texts, _pairs(again), similarity)
-    if not more.isEmpty():
-        roots = staged(components(links.unionByName(more)), "roots")
+    roots = components(_all_links(docs, doc_id, text, texts, similarity))
     return texts.join(roots, texts.uid == roots.node, "left").select("key", "rep", F.coalesce("root", "uid").alias("root"))
 
 

@@ -2,8 +2,11 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pytest
+
 from strandline.llm.components import components
-from strandline.llm.near import _packed, banded_distance, classes, keep_one, order_minhash, similar, sketches
+from strandline.llm.near import _packed, banded_distance, classes, keep_one, order_minhash, similar, sketches, told_apart
 
 
 def levenshtein(a, b):
@@ -105,9 +108,9 @@ def edited(rng, words, edits):
     words = list(words)
     for k, at in enumerate(sorted(rng.sample(range(len(words)), edits), reverse=True)):
         if k % 3 < 2 or len(words) < 10:
-            words[at] = f"x{rng.random()}"
+            words[at] = f"x{rng.getrandbits(60)}"
         elif k % 2:
-            words.insert(at, f"x{rng.random()}")
+            words.insert(at, f"x{rng.getrandbits(60)}")
         else:
             del words[at]
     return words
@@ -118,8 +121,44 @@ def test_candidates_are_found_down_to_the_least_similarity():
     for n, similarity in [(5, 0.8), (10, 0.9), (10, 0.8), (24, 0.8), (26, 0.8), (40, 0.85), (40, 0.8), (200, 0.85), (200, 0.8)]:
         found = 0
         for _ in range(400):
-            base = [f"w{rng.random()}" for _ in range(n)]
+            base = [f"w{rng.getrandbits(60)}" for _ in range(n)]
             pair = [" ".join(words).encode() for words in (base, edited(rng, base, int((1 - similarity) * n + 1e-9)))]
             found += bool(set(sketches(pair[0]).tolist()) & set(sketches(pair[1]).tolist()))
         print(n, similarity, found / 400)
         assert found >= 0.99 * 400, (n, similarity, found)
+
+
+def test_values_tell_texts_from_their_anchors():
+    kmers = lambda low, high: np.arange(low, high, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    values = lambda text, *anchors: told_apart(text, np.isin(text, np.concatenate(anchors)))
+    passage, anchor, second = kmers(0, 200), kmers(0, 180), kmers(100, 300)
+    one, other, far = (np.concatenate([passage, kmers(low, low + 100)]) for low in (1000, 1030, 2000))
+    alike = (values(one, anchor, second) == values(other, anchor, second)).sum()
+    assert alike > 8 and not (values(one, anchor, second) == values(far, anchor, second)).any()
+    # What one anchor lacks of the passage still joins unlike texts; a second anchor takes it away.
+    assert (values(one, anchor) == values(far, anchor)).any()
+    # Texts that lie in their anchors go on by their sketches.
+    assert set(values(kmers(1, 150), passage)) & set(values(kmers(3, 150), passage))
+    assert len(told_apart(kmers(1, 150), np.ones(149, bool), inside=True)) == 0 == len(values(kmers(0, 0), passage))
+
+
+PAIRS = 2000
+
+
+@pytest.mark.parametrize("passage", [90, 110])
+def test_pairs_in_buckets_of_a_common_passage_are_found(spark, passage):
+    """Pairs at the least similarity, all texts with the same passage; no other links are made."""
+    rng = random.Random(passage)
+    token = lambda: f"w{rng.getrandbits(60)}"
+    common, n_pairs = [token() for _ in range(passage)], PAIRS
+    rows = []
+    for k in range(n_pairs):
+        base = common + [token() for _ in range(150 - passage)]
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(edited(rng, base, 30)))]
+    rng.shuffle(rows)
+    text = dict(rows)
+    of = {r.doc_id: r.class_id for r in classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    planted = [k for k in range(n_pairs) if similar(_packed(text[2 * k].encode()), _packed(text[2 * k + 1].encode()), 0.8)]
+    found = sum(of[2 * k] == of[2 * k + 1] for k in planted)
+    print(passage, found / len(planted))
+    assert found >= 0.99 * len(planted) and len(planted) > 0.9 * n_pairs

@@ -6,11 +6,10 @@ are bit masks over the languages: looking an n-gram up in it ANDs a few slots an
 language that has the n-gram at once. A text is decided by the per-language counts of its n-grams,
 each corrected for the n-grams that the filter reports by mistake.
 
-The score below which a document is of no known language is calibrated on the learning texts. Each
-is scored in its own language without itself, and, as a text of a language not learned, in the best
-of the other languages. The threshold is as high as all but ``LOST`` of the own scores allow, for an
-unknown language may be nearer than the known ones are to each other, or, where own and other scores
-overlap, where it errs least; both evenly over languages.
+The score below which a document is of no known language is calibrated on the learning texts, for texts
+of like length apart: of few n-grams a score says less. Each text is scored in its own language without
+itself; the threshold of a length is as high as all but ``LOST`` of these scores allow, evenly over
+languages, so that clean documents stay. Lengths with too few texts to tell take the threshold of all.
 
 Nulls and edge cases: a null text, or one without a letter, is ``und`` with score 0; learning rows
 without a language or text teach nothing; without any learning row every text is ``und``. Ties go to
@@ -43,8 +42,10 @@ HASHES, SLOTS_PER_GRAM = 3, 16
 MIN_SCORE = 0.2
 #: Bins of the histogram of scores, from 0 to 1.
 BINS = 1000
-#: Share of the own texts that may fall below the threshold without need.
-LOST = 0.005
+#: Share of the own texts that may fall below the threshold, and of how many at least it is taken.
+LOST, ENOUGH = 0.004, 1000
+#: Lengths told apart: powers of two of the number of n-grams.
+LENGTHS = 24
 
 _SEED = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 _letters: list[np.ndarray] = []
@@ -177,11 +178,14 @@ def learn(examples: DataFrame, text: str = "text", lang: str = "lang", min_share
     return model
 
 
-def calibrate(examples: DataFrame, model: Filter, text: str = "text", lang: str = "lang") -> float:
-    """The score below which a text is of none of the languages of ``model``, which was learned from ``examples``.
+def length_of(gram: np.ndarray) -> int:
+    return min(LENGTHS - 1, len(gram).bit_length())
 
-    Texts that score low without themselves lower it, down to ``MIN_SCORE`` where too few are alike.
-    One count per language, kind and bin is collected.
+
+def calibrate(examples: DataFrame, model: Filter, text: str = "text", lang: str = "lang") -> np.ndarray:
+    """By length, the score below which a text is of none of the languages of ``model``, learned from ``examples``.
+
+    It is ``MIN_SCORE`` at least. One count per language, length and bin is collected.
     """
     place = {name: k for k, name in enumerate(model.languages)}
     shared = examples.sparkSession.sparkContext.broadcast(model)
@@ -192,21 +196,27 @@ def calibrate(examples: DataFrame, model: Filter, text: str = "text", lang: str
             for body, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if name in place and has_letter(body):
                     gram = grams(body)
-                    own, best = shared.value.others.shares(gram)[place[name]], np.delete(shared.value.shares(gram), place[name])
-                    found += [(place[name], k, int(x * BINS)) for k, x in enumerate([own, best.max()] if len(best) else [own])]
+                    own = shared.value.others.shares(gram)[place[name]]
+                    found.append((place[name], length_of(gram), int(own * BINS)))
             rows = np.array(found, np.int64).reshape(-1, 3)
-            yield pa.record_batch([pa.array(np.ascontiguousarray(rows[:, k])) for k in range(3)], names=["lang", "foreign", "bin"])
+            yield pa.record_batch([pa.array(np.ascontiguousarray(rows[:, k])) for k in range(3)], names=["lang", "length", "bin"])
+
+    tally = np.zeros((len(place), LENGTHS, BINS + 1))
+    scored = batched(_known(examples, text, lang), count, "lang bigint, length bigint, bin bigint")
+    for row in scored.groupBy("lang", "length", "bin").count().collect():
+        tally[row["lang"], row["length"], row["bin"]] = row["count"]
 
-    tally = np.zeros((len(place), 2, BINS + 1))
-    for row in batched(_known(examples, text, lang), count, "lang bigint, foreign bigint, bin bigint").groupBy("lang", "foreign", "bin").count().collect():
-        tally[row["lang"], row["foreign"], row["bin"]] = row["count"]
-    tally = tally[tally[:, 0].sum(axis=1) > 0]
-    if not len(tally):
-        return MIN_SCORE
-    own, foreign = (tally / np.maximum(tally.sum(axis=2, keepdims=True), 1)).mean(axis=0)
-    lost = np.concatenate([[0], np.cumsum(own)[:-1]])  # below bin k
-    errors = lost + np.cumsum(foreign[::-1])[::-1]
-    return max(MIN_SCORE, max(int(np.flatnonzero(lost <= LOST)[-1]), int(errors.argmin())) / BINS)
+    def threshold(texts: np.ndarray) -> float:
+        """texts: by language a histogram of scores."""
+        texts = texts[texts.sum(axis=1) > 0]
+        own = (texts / texts.sum(axis=1, keepdims=True)).mean(axis=0)
+        lost = np.concatenate([[0], np.cumsum(own)[:-1]])  # below bin k
+        return max(MIN_SCORE, int(np.flatnonzero(lost <= LOST)[-1]) / BINS)
+
+    if not tally.any():
+        return np.full(LENGTHS, MIN_SCORE)
+    of_all = threshold(tally.sum(axis=1))
+    return np.array([threshold(tally[:, k]) if tally[:, k].sum() >= ENOUGH else of_all for k in range(LENGTHS)])
 
 
 def identify(docs: DataFrame, model: Filter, text: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:
@@ -231,15 +241,24 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def keep_known(docs: DataFrame, model: Filter, text: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of ``docs`` whose text is of a known language, with their own columns alone."""
+def keep_known(docs: DataFrame, model: Filter, text: str = "text", min_score: np.ndarray | float = MIN_SCORE) -> DataFrame:
+    """The rows of ``docs`` whose text is of a known language, with their own columns alone.
+
+    min_score: one threshold, or one by length as ``calibrate`` finds them.
+    """
     at = docs.columns.index(text)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model, np.broadcast_to(np.asarray(min_score, float), LENGTHS)))
+
+    def known(body: str | None) -> bool:
+        model, least = shared.value
+        if not model.languages or not has_letter(body):
+            return False
+        gram = grams(body)
+        return bool(model.shares(gram).max() >= least[length_of(gram)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            told = [shared.value.predict(body) for body in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array([t[0] != UNKNOWN and t[1] >= min_score for t in told], pa.bool_()))
+            yield batch.filter(pa.array([known(body) for body in batch.column(at).to_pylist()], pa.bool_()))
 
     return batched(docs, run, docs.schema)
 

@@ -13,7 +13,8 @@ Large groups: equal texts are collapsed first (one row per distinct text, partia
 within a bucket of equal sketch values every text is compared with the bucket's smallest text only, its
 anchor, never all with all. Texts whose numbers of words rule a link with the anchor out are dealt out
 again with those of like numbers of words. A text that is unlike an anchor goes on by what tells it from
-all the anchors that it was compared with: ``OWN`` minima over the k-mers that none of them has. What
+all the anchors that it was compared with, ``OWN`` minima over the k-mers that none of them has, among the
+texts that had one of these anchors too. What
 thousands of texts have in common, a passage, is so out of the way after a round or two, and texts that
 are like each other meet again. Texts of which the anchors have nearly all go on by their sketch values
 among themselves, once. Rounds go on, each with new anchors, until no pair is left that was not
@@ -325,7 +326,10 @@ def _all_links(docs: DataFrame, doc_id: str, text: str, texts: DataFrame, simila
             before = left.select("uid", "covered", "inside").join(covered.select("uid").distinct(), "uid", "left_semi")
             covered = covered.unionByName(before)
         left = staged(_left(covered, bodies), "left")
-        rows = left.select("uid", "n_words", F.explode("values").alias("bucket"))
+        # Texts that are like each other shared a bucket, and so its anchor.
+        unlike = compared.where("NOT linked").select("a", F.col("b").alias("uid"))
+        told = unlike.join(left.select("uid", "n_words", "values"), "uid").select("a", "uid", "n_words", F.explode("values").alias("value"))
+        rows = told.select("uid", "n_words", F.xxhash64("a", "value").alias("bucket"))
         pairs = _with_anchors(rows, similarity).select("a", "b").distinct()
         pairs = staged(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty():

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from strandline.operators.lookup import lookup
 
 
+# Names, order and types of the columns of the Gold tables, in this module.
+
+
 def dim_customers(customers: DataFrame) -> DataFrame:
     return customers.select(
         "CustomerKey",

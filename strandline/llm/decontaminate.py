@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.frames import batched, raw_text, table
+from strandline.llm.frames import batched, raw_text, raw_texts, table
 from strandline.llm.words import SHINGLE, WORD, window_hashes, word_hashes
 
 #: Share of an item's distinct shingles that a document must have.
@@ -171,8 +171,8 @@ def drop_contaminated(
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                bodies = batch.column(at).to_pylist()
-                clean = [not shared.value.contained((b or "").encode(), containment) for b in bodies]
+                bodies = raw_texts(batch.column(at))
+                clean = [not shared.value.contained(b or b"", containment) for b in bodies]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
         docs = batched(docs, run, docs.schema)

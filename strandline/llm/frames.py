@@ -56,6 +56,16 @@ def raw_text(column: str = "text") -> F.Column:
     return F.coalesce(F.col(column).cast("string").cast("binary"), F.lit(b""))
 
 
+def raw_texts(column: pa.Array) -> list[bytes | None]:
+    """The bytes of a string column of a batch, whether they are UTF-8 or not."""
+    return column.cast(pa.large_binary()).to_pylist()
+
+
+def decoded(column: pa.Array) -> list[str | None]:
+    """The texts of a string column of a batch; bytes that are no UTF-8 become U+FFFD."""
+    return [None if raw is None else raw.decode("utf-8", "replace") for raw in raw_texts(column)]
+
+
 def fresh(frame: DataFrame, *wanted: str) -> list[str]:
     """Names like ``wanted`` that no column of ``frame`` has, in any letter case."""
     taken = {name.lower() for name in frame.columns}

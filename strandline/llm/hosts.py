@@ -1,10 +1,13 @@
 """Quality rules judged by host: documents fail rules, hosts have failure rates, verdicts go back.
 
-Every document is tested by the base rules. Failures are added up by host (the document's source),
-and a host's rate is shrunk towards the corpus: rates follow a beta distribution fitted to all hosts
-by their mean and variance (an empirical prior), so that a host of few documents is judged by what is
-usual and one of many by what it showed. A host is rejected, and with it its documents, when its
-shrunk rate is above ``MAX_RATE`` by more than ``CERTAIN`` standard deviations of what is known of it.
+Every document is tested by the base rules, and for its host by three more: too many symbols, too many
+repeated lines, words too short or too long on average. Failures are added up by host (the document's
+source), and a host's rate is shrunk towards the corpus: rates follow a beta distribution fitted to all
+hosts by their mean and variance (an empirical prior), so that a host of few documents is judged by what
+is usual and one of many by what it showed. A host is rejected, and with it the documents that pass the
+base rules, when it is surely out of line: its shrunk rate, less ``CERTAIN`` standard deviations of what
+is known of it, lies above the prior's mean by as many of the prior's and is ``LIFT`` times the mean or
+more. Where most documents of the corpus fail, no host is out of line.
 
 Host sums are combined before they are shuffled, so a host with a third of the rows is one row per
 task. Verdicts are joined back to the measured rows, which carry numbers only; the rows of hosts that
@@ -29,8 +32,10 @@ from strandline.operators.lookup import hot_keys, lookup
 
 #: Words in a window; a document fails with fewer words, or more repeated words in a hundred.
 WINDOW, MIN_WORDS, MAX_REPEATED = 3, 50, 50
-#: Shrunk failure rate above which a host is rejected, and by how many standard deviations at least.
-MAX_RATE, CERTAIN = 0.5, 1.645
+#: For hosts only: symbols in a hundred words, repeated lines in a hundred lines, letters a word at least and at most.
+MAX_SYMBOLS, MAX_DUP_LINES, WORD_LENGTH = 10, 30, (3, 10)
+#: Standard deviations for "surely" (one side, 95 %), and how far above the usual rate a rejected host is.
+CERTAIN, LIFT = 1.645, 2
 #: Documents' worth of the prior: never less than one, and never more than a million.
 PRIOR_RANGE = (1.0, 1e6)
 
@@ -46,7 +51,7 @@ _IN_WORD[[0x20, *range(0x09, 0x0E)]] = False
 #: Bytes of a text that are looked at together.
 PIECE = 1 << 20
 
-MEASURES = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
+MEASURES = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, n_lines bigint"
 
 
 def _repeated(words: list[bytes]) -> int:
@@ -67,8 +72,8 @@ def _repeated(words: list[bytes]) -> int:
     return int((np.cumsum(edges)[:-1] > 0).sum())
 
 
-def measures(raw: bytes) -> tuple[int, int, int, int, int]:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of a UTF-8 text."""
+def measures(raw: bytes) -> tuple[int, int, int, int, int, int]:
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines (with a word) of a UTF-8 text."""
     chars = symbols = 0
     for at in range(0, len(raw), PIECE):
         data = np.frombuffer(raw, np.uint8, min(PIECE, len(raw) - at), at)
@@ -76,11 +81,11 @@ def measures(raw: bytes) -> tuple[int, int, int, int, int]:
         symbols += int(_IS_SYMBOL[data].sum())
     words = raw.split()
     lines = [line for line in raw.split(b"\n") if line and not line.isspace()]
-    return len(words), chars, symbols, len(lines) - len(set(lines)), _repeated(words)
+    return len(words), chars, symbols, len(lines) - len(set(lines)), _repeated(words), len(lines)
 
 
 def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """(doc_id, host, the measures, base_failed) of every row of ``docs``."""
+    """(doc_id, host, the measures, base_failed, rule_failed) of every row of ``docs``."""
     source = docs.select(
         F.col(doc_id).cast("bigint").alias("doc_id"), F.col(host).cast("string").alias("host"), raw_text(text).alias("text")
     )
@@ -93,7 +98,15 @@ def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: s
             yield pa.record_batch([batch.column(0), batch.column(1), *columns], names=["doc_id", "host", *names])
 
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
-    return batched(source, run, f"doc_id bigint, host string, {MEASURES}").withColumn("base_failed", failed)
+    shortest, longest = WORD_LENGTH
+    for_host = (
+        F.col("base_failed")
+        | (100 * F.col("n_symbols") > MAX_SYMBOLS * F.col("n_words"))
+        | (100 * F.col("n_dup_lines") > MAX_DUP_LINES * F.col("n_lines"))
+        | ~F.col("word_chars").between(shortest * F.col("n_words"), longest * F.col("n_words"))
+    )
+    measured = batched(source, run, f"doc_id bigint, host string, {MEASURES}")
+    return measured.withColumn("base_failed", failed).withColumn("rule_failed", for_host)
 
 
 def host_rates(measured: DataFrame) -> DataFrame:
@@ -103,7 +116,7 @@ def host_rates(measured: DataFrame) -> DataFrame:
     taken together.
     """
     hosts = measured.where("host IS NOT NULL").groupBy("host").agg(
-        F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("base_failed").cast("bigint")).alias("n_failed")
+        F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("rule_failed").cast("bigint")).alias("n_failed")
     )
     raw = F.col("n_failed") / F.col("n_docs")
     prior = hosts.agg(
@@ -116,9 +129,10 @@ def host_rates(measured: DataFrame) -> DataFrame:
     weight = F.when(between > 0, level / between - 1).otherwise(PRIOR_RANGE[1])
     prior = prior.select("mean", F.greatest(F.lit(PRIOR_RANGE[0]), F.least(F.lit(PRIOR_RANGE[1]), weight)).alias("weight"))
     mean, weight = (prior.select(name).scalar() for name in ("mean", "weight"))
+    usual = mean + CERTAIN * F.sqrt(mean * (1 - mean) / (weight + 1))
     rate = (F.col("n_failed") + mean * weight) / (F.col("n_docs") + weight)
     spread = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("n_docs") + weight + 1))
-    return hosts.withColumn("rate", rate).withColumn("rejected", F.col("rate") - CERTAIN * spread > MAX_RATE)
+    return hosts.withColumn("rate", rate).withColumn("rejected", F.col("rate") - CERTAIN * spread > F.greatest(usual, LIFT * mean))
 
 
 def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
@@ -143,6 +157,7 @@ WITH d AS (
 ), m AS (
     SELECT doc_id, source, len(words) AS n_words,
         len(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+        len(list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]'))) AS n_lines,
         len(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
         len(list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')))
             - len(list_distinct(list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')))) AS n_dup_lines,
@@ -157,21 +172,25 @@ WITH d AS (
     SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY r
 ), j AS (
     SELECT m.*, coalesce(covered.n, 0) AS n_repeat_words,
-        n_words < 50 OR 100 * coalesce(covered.n, 0) > 50 * n_words AS base_failed
+        n_words < 50 OR 100 * coalesce(covered.n, 0) > 50 * n_words AS base_failed,
+        n_words < 50 OR 100 * coalesce(covered.n, 0) > 50 * n_words OR 10 * n_symbols > n_words
+            OR 10 * n_dup_lines > 3 * n_lines OR word_chars < 3 * n_words OR word_chars > 10 * n_words AS rule_failed
     FROM m LEFT JOIN covered USING (r)
 ), h AS (
-    SELECT source, count(*) AS n_docs, sum(base_failed::INT) AS n_failed FROM j WHERE source IS NOT NULL GROUP BY source
+    SELECT source, count(*) AS n_docs, sum(rule_failed::INT) AS n_failed FROM j WHERE source IS NOT NULL GROUP BY source
 ), p AS (
     SELECT avg(n_failed / n_docs) AS mean, coalesce(var_samp(n_failed / n_docs), 0) AS variance, avg(1 / n_docs) AS per_doc FROM h
 ), q AS (
-    SELECT mean, greatest(1, least(1e6, CASE WHEN variance > mean * (1 - mean) * per_doc
+    SELECT mean, sqrt(mean * (1 - mean)) AS one, greatest(1, least(1e6, CASE WHEN variance > mean * (1 - mean) * per_doc
         THEN mean * (1 - mean) / (variance - mean * (1 - mean) * per_doc) - 1 ELSE 1e6 END)) AS weight FROM p
 ), v AS (
-    SELECT source, n_docs + weight + 1 AS known, (n_failed + mean * weight) / (n_docs + weight) AS rate FROM h, q
+    SELECT source, n_docs + weight + 1 AS known, (n_failed + mean * weight) / (n_docs + weight) AS rate,
+        greatest(mean + 1.645 * one / sqrt(weight + 1), 2 * mean) AS usual
+    FROM h, q
 )
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
-    n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
-    round(rate, 9) AS host_rate, 
-    NOT base_failed AND coalesce(rate - 1.645 * sqrt(rate * (1 - rate) / known) <= 0.5, true) AS kept
+    n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, n_lines::BIGINT AS n_lines, base_failed,
+    rule_failed, round(rate, 9) AS host_rate,
+    NOT base_failed AND coalesce(rate - 1.645 * sqrt(rate * (1 - rate) / known) <= usual, true) AS kept
 FROM j LEFT JOIN v ON j.source = v.source
 """

@@ -11,7 +11,8 @@ of like length apart: of few n-grams a score says less. Each text is scored in i
 itself; the threshold of a length is as high as all but ``LOST`` of these scores allow, evenly over
 languages, so that clean documents stay. Lengths with too few texts to tell take the threshold of all.
 
-Nulls and edge cases: a null text, or one without a letter, is ``und`` with score 0; learning rows
+Nulls and edge cases: a null text, or one without a letter, is ``und`` with score 0; bytes that are no
+UTF-8 are read as U+FFFD, which is no letter; learning rows
 without a language or text teach nothing; without any learning row every text is ``und``. Ties go to
 the language first by code point. Repeated rows count as often as they come.
 """
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from strandline.llm.frames import batched, fresh, table
+from strandline.llm.frames import batched, decoded, fresh, table
 
 UNKNOWN = "und"
 #: Longer texts are read in pieces of this many characters.
@@ -65,15 +66,16 @@ def grams(text: str) -> np.ndarray:
 
     Letters are lower-cased; what stands between them counts as one blank, as do both ends.
     """
-    found = []
+    found, before, text = [], _BLANK, text.lower()
     for at in range(0, len(text), PIECE):
-        points = _letter()[np.frombuffer(text[at : at + PIECE].lower().encode("utf-32-le", "surrogatepass"), np.uint32)]
-        points = np.concatenate([_BLANK, points, _BLANK])
+        points = _letter()[np.frombuffer(text[at : at + PIECE].encode("utf-32-le", "surrogatepass"), np.uint32)]
+        points = np.concatenate([before, points, _BLANK[: at + PIECE >= len(text)]])
         kept = points != 0
         kept[1:] |= kept[:-1]
         kept[0] = True
         points = points[kept]
         found.append((points[:-2] << _HIGH) | (points[1:-1] << _LOW) | points[2:])
+        before = points[-2:]
     return np.concatenate(found) if found else np.empty(0, np.uint64)
 
 
@@ -149,7 +151,7 @@ def learn(examples: DataFrame, text: str = "text", lang: str = "lang", min_share
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held: dict[str, list[np.ndarray]] = {}
-            for body, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for body, name in zip(decoded(batch.column(0)), decoded(batch.column(1)), strict=True):
                 held.setdefault(name, []).append(np.unique(grams(body)))
             for name, found in held.items():
                 gram, texts = np.unique(np.concatenate(found), return_counts=True)
@@ -193,7 +195,7 @@ def calibrate(examples: DataFrame, model: Filter, text: str = "text", lang: str
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for body, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for body, name in zip(decoded(batch.column(0)), decoded(batch.column(1)), strict=True):
                 if name in place and has_letter(body):
                     gram = grams(body)
                     own = shared.value.others.shares(gram)[place[name]]
@@ -227,7 +229,7 @@ def identify(docs: DataFrame, model: Filter, text: str = "text", pred: str = "la
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            told = [shared.value.predict(body) for body in batch.column(at).to_pylist()]
+            told = [shared.value.predict(body) for body in decoded(batch.column(at))]
             yield pa.record_batch(
                 [*batch.columns, pa.array([t[0] for t in told], pa.string()), pa.array([t[1] for t in told], pa.float64())],
                 names=[*batch.schema.names, pred, score],
@@ -258,7 +260,7 @@ def keep_known(docs: DataFrame, model: Filter, text: str = "text", min_score: np
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array([known(body) for body in batch.column(at).to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array([known(body) for body in decoded(batch.column(at))], pa.bool_()))
 
     return batched(docs, run, docs.schema)
 

@@ -200,7 +200,7 @@ class Scanner:
                 self._collect(pieces, count, state, run, next_state)
             state, run = next_state, next_run
             count += 1
-            if run > 1 and endings[state]:
+            if endings[state]:
                 phrases += [(count - size, phrase) for size, phrase in endings[state] if size <= run]
         if run >= self.shortest:
             self._collect(pieces, count, state, run, 0)

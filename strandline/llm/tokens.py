@@ -15,7 +15,8 @@ first; the split of files is pinned, and a partition that counts differently sto
 A record: doc_id (int64; the smallest value for null), chunk (int32, the place in its document), n
 (int32), then ``seq_len`` ids (uint16, zeros after n), then two zero bytes; all little-endian.
 
-Nulls and edge cases: a null or empty text has one sequence, without tokens, so no document is lost.
+Nulls and edge cases: a null or empty text has one sequence, without tokens, so no document is lost;
+bytes that are no UTF-8 are written as U+FFFD.
 Repeated rows are sequences of their own. An empty table gives no shard.
 """
 
@@ -36,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.frames import batched, staged, table
+from strandline.llm.frames import batched, decoded, staged, table
 from strandline.session import run_folder
 
 #: The vocabulary file (ranks of byte-pair merges), read where tasks run. Installed on every node.
@@ -118,7 +119,7 @@ def _records(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = 0
         for batch in batches:
-            found += sum(n_chunks(body, seq_len, vocabulary) for body in batch.column(1).to_pylist())
+            found += sum(n_chunks(body, seq_len, vocabulary) for body in decoded(batch.column(1)))
         part = TaskContext.get().partitionId()
         yield pa.record_batch([pa.array([part], pa.int32()), pa.array([found], pa.int64())], names=["part", "n"])
 
@@ -136,7 +137,7 @@ def _records(
         part, seen = TaskContext.get().partitionId(), 0
         for batch in batches:
             rows = []
-            for number, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for number, body in zip(batch.column(0).to_pylist(), decoded(batch.column(1)), strict=True):
                 rows += [(number, k, ids) for k, ids in enumerate(chunks(body, seq_len, vocabulary))]
             if part >= len(expected) or seen + len(rows) > expected[part]:
                 raise RuntimeError("the input's partitions changed between counting and writing")

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from strandline.llm.frames import batched, staged, table
+from strandline.llm.frames import batched, raw_texts, staged, table
 from strandline.llm.words import mix
 
 # The rules, as host and beginning of the path, and their verdicts.
@@ -183,8 +183,8 @@ def _scored(rows: DataFrame, model: Model | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            urls = batch.column(at).to_pylist()
-            scores = [0.0 if shared.value is None or not u else shared.value.score(u.encode()) for u in urls]
+            urls = raw_texts(batch.column(at))
+            scores = [0.0 if shared.value is None or not u else shared.value.score(u) for u in urls]
             yield pa.record_batch([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "score"])
 
     return batched(rows, run, StructType([*rows.schema, StructField("score", DoubleType())]))

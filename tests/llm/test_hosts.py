@@ -17,7 +17,8 @@ def brute(text):
         if re.search(r"[^\x20\x09-\x0D]", line):
             dup += line in seen
             seen.add(line)
-    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(repeated)
+    lines = sum(bool(re.search(r"[^\x20\x09-\x0D]", line)) for line in text.split("\n"))
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(repeated), lines
 
 
 def test_measures_equal_brute_force():
@@ -29,7 +30,7 @@ def test_measures_equal_brute_force():
 
 
 def test_host_rates_and_verdicts(spark):
-    good, bad = " ".join(f"w{k}" for k in range(60)), "too short"
+    good, bad = " ".join(f"word{k}" for k in range(60)), "too short"
     rows = []
     for h in range(12):  # usual hosts
         rows += [(None, bad if k % 10 == 0 else good, f"h{h}", 1) for k in range(40)]
@@ -45,5 +46,26 @@ def test_host_rates_and_verdicts(spark):
         assert r.kept == (not r.base_failed and r.host != "farm")
         assert (r.host_rate is None) == (r.host is None)
     assert judge(frame.limit(0)).count() == 0
-    alike = judge(spark.createDataFrame([(1, good, "only", 0)], frame.schema)).collect()
+
+
+def test_hosts_out_of_line_lose_documents_that_pass_the_base_rules(spark):
+    plain = [f"word{k}" for k in range(60)]
+    signs = " ".join([*plain, "$$$$ %%%%"])  # passes the base rules
+    lines = "\n".join([" ".join(plain), *["the same line"] * 2, *["another one"] * 2])
+    long = " ".join(f"{'x' * 12}{k}" for k in range(60))
+    rows, clean = [], " ".join(plain)
+    for h in range(10):
+        rows += [(k, signs if k % 10 == 0 else clean, f"h{h}") for k in range(100)]
+    for name, body in (("signs", signs), ("lines", lines), ("long", long)):
+        rows += [(k, clean if k % 10 == 0 else body, name) for k in range(100)]
+    found = judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert not any(r.base_failed for r in found)
+    assert {r.host for r in found if not r.kept} == {"signs", "lines", "long"}
+    assert all(r.kept == r.host.startswith("h") for r in found)
+
+
+def test_one_host_is_in_line(spark):
+    frame = spark.createDataFrame([], "doc_id long, text string, source string")
+    good = " ".join(f"word{k}" for k in range(60))
+    alike = judge(spark.createDataFrame([(1, good, "only")], frame.schema)).collect()
     assert alike[0].kept

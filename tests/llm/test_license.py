@@ -77,3 +77,8 @@ def test_rows_with_nulls_clashes_and_repeats(spark):
         (0, 2, ["mit"]), (1, 0, []), (2, 0, []), (3, 5002, ["cc-by"]), (3, 5002, ["cc-by"]),
     ]
     assert scan_licenses(docs.limit(0)).count() == 0
+
+
+def test_phrases_of_one_word():
+    found = Scanner({"wtfpl": "wtfpl", "the end": "end"}, {}).scan(b"the wtfpl licence, wtfpl: the end")
+    assert [at for at, _ in found.phrases] == [1, 3, 4]

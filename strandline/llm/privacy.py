@@ -1,21 +1,27 @@
 """Information-theoretic sanitisation of personal data, with DataFrame operations only.
 
 Protected entities are the e-mail addresses, IP addresses, card and telephone numbers found in the
-corpus, each with its place. What stands near an entity may still give it away when the entity
-itself is taken out. How strongly term t reveals entity c is estimated from the whole corpus by
-documents: the pointwise mutual information log(P(c, t) / (P(c) P(t))) as a share of the entity's
-information -log P(c). The share is 1 for a term found with that entity only. Terms of ``REMOVE`` or
-more are removed where they stand near the entity; those of ``GENERALISE`` or more are generalised.
-Pairs in fewer than ``SUPPORT`` documents are no evidence.
-
-Nothing is gathered by entity or term: pair counts, entity counts and the document counts of the
-terms in question are grouped sums, joined on their keys. Only spans move, never texts. A fixed-size
-bitmap of the terms in question keeps the other words of the corpus out of the count.
+corpus, and the pools they belong to: an address's domain, a network, an issuer, a number's first
+digits. A pool gives evidence where each of its members is rare. What else a document says may give an
+entity away when the entity itself is taken out. How strongly term t reveals entity c is estimated from
+the whole corpus by documents: the pointwise mutual information log(P(c | t) / P(c)) as a share of the
+entity's information -log P(c), where P(c | t) is smoothed by ``PRIOR`` documents that have c as often
+as the corpus has. The share comes close to 1 for a term found with that entity only, the more documents
+show it. Terms of ``REMOVE`` or more are removed from the documents that name the entity, wherever they
+stand; those of ``GENERALISE`` or more are generalised.
+
+Nothing is gathered by entity or term: pair counts, entity counts and the document counts of terms are
+grouped sums, combined before they are shuffled, and joined on their keys. A term in so many documents
+that no entity could be revealed by it, were it in all of the entity's documents, is left out of the
+pairs; this is exact. Terms are counted in all documents, told which by a bitmap of fixed size: it holds
+the terms of documents with entities, so only cost depends on how full it is. Places of terms are looked
+for in the documents that have a telling one; only spans move, and of such documents the text once.
 
 Nulls and edge cases: a null text is empty and has no span; spans count code points, from 0, end
 exclusive; overlapping finds of different kinds are all given. Documents are told apart by doc_id and
-text: a repeated row is one document for the estimates and gets the same spans each time. Very long
-texts are handled in time proportional to their length, matches in n ** 1.5 of their number.
+text: a repeated row is one document for the estimates and gets the same spans each time. An entity in
+every document has no information to reveal. Very long texts are handled in time proportional to their
+length, matches in n ** 1.34 of their number.
 """
 
 from __future__ import annotations
@@ -35,13 +41,14 @@ KINDS = {
     "card": (r"[0-9][\x20-]?[0-9]", r"[0-9](?:[\x20-]?[0-9])++"),
     "phone": (r"\+[0-9]", r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
-#: A term: at least four letters, with something else before and after, in no address.
-TERM = r"(?<=[\s\p{P}&&[^@._%+-]])\p{L}{4,}+(?=[\s\p{P}&&[^@_%+-]])(?!\S*@)"
-#: Characters on either side of an entity in which terms are near.
-NEAR = 80
-SUPPORT, GENERALISE, REMOVE = 3, 0.75, 0.9
+#: A term: a run of at least four letters.
+TERM = r"\p{L}{4,}+"
+#: What an entity's pool is, by kind: the part of its value that it shares.
+POOLS = {"email": "@.*", "ip": r"^[0-9]+\.[0-9]+\.", "card": "^[0-9]{6}", "phone": r"^\+[0-9]{4}"}
+#: Documents' worth of the smoothing; shares from which terms are generalised, and removed.
+PRIOR, GENERALISE, REMOVE = 2.0, 0.75, 0.9
 #: Cells of 64 bits in the bitmap of terms.
-CELLS = 1 << 14
+CELLS = 1 << 17
 
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 
@@ -51,60 +58,62 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _total(lengths: Column) -> Column:
-    return F.aggregate(lengths, F.lit(0), lambda a, b: a + b)
+def _folded(values: Column, fold: Callable[[Column, Column], Column]) -> Column:
+    return F.aggregate(values, F.lit(0), fold)
+
 
+def _running(values: Column, fold: Callable[[Column, Column], Column] = lambda a, b: a + b, root: int = 3) -> Column:
+    """For each number of an array the sum (or ``fold``) of those before it.
 
-def _running(lengths: Column) -> Column:
-    """For each number of an array the sum of those before it, by blocks of about the root of their count."""
+    Numbers are taken in blocks of about the cube root of their count, and blocks likewise.
+    """
 
     def with_block(block: Column) -> Column:
-        sums = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / block).cast("int")), lambda k: _total(F.slice(lengths, k * block + 1, block)))
+        starts = F.sequence(F.lit(1), F.size(values), block)
+        blocks = F.transform(starts, lambda start: _folded(F.slice(values, start, block), fold))
+        if root > 2:
+            before = _let(blocks, lambda found: _running(found, fold, root - 1))
+        else:
+            before = _let(blocks, lambda found: F.transform(found, lambda _, k: _folded(F.slice(found, F.lit(1), k), fold)))
         return _let(
-            sums,
-            lambda s: _let(
-                F.transform(s, lambda _, k: _total(F.slice(s, F.lit(1), k))),
-                lambda before: F.transform(
-                    lengths,
-                    lambda _, i: before[F.floor(i / block).cast("int")]
-                    + _total(F.slice(lengths, F.floor(i / block).cast("int") * block + 1, i % block)),
+            before,
+            lambda above: F.transform(
+                values,
+                lambda _, i: fold(
+                    above[F.floor(i / block).cast("int")],
+                    _folded(F.slice(values, F.floor(i / block).cast("int") * block + 1, i % block), fold),
                 ),
             ),
         )
 
-    return F.when(F.size(lengths) > 0, _let(F.ceil(F.sqrt(F.size(lengths))).cast("int"), with_block)).otherwise(
-        F.array().cast("array<int>")
-    )
+    size = F.ceil(F.pow(F.size(values), F.lit(1 / root))).cast("int")
+    return F.when(F.size(values) > 0, _let(size, with_block)).otherwise(F.array().cast("array<int>"))
 
 
-def _matches(text: Column, pattern: str, near: int = 0) -> Column:
-    """array<struct<start, end, value, left, right>>: leftmost matches, and what lies around them.
+def _cut(text: Column, pattern: str, body: Callable[[Column, Column, Column], Column]) -> Column:
+    """``body`` of the leftmost matches of ``pattern``, what lies between them, and where that starts.
 
     ``split`` and ``regexp_extract_all`` find the same matches; lengths give the places.
     """
 
-    def placed(found: Column, between: Column) -> Column:
-        steps = F.zip_with(F.slice(between, F.lit(1), F.size(found)), found, lambda a, b: F.length(a) + F.length(b))
-        return F.zip_with(
-            found,
-            _running(steps),
-            lambda value, start: F.struct(value.alias("value"), start.alias("start")),
-        )
+    def located(found: Column, between: Column) -> Column:
+        steps = F.zip_with(between, F.concat(found, F.array(F.lit(""))), lambda a, b: F.length(a) + F.length(b))
+        return _let(_running(steps), lambda starts: body(found, between, starts))
 
-    def around(found: Column, between: Column) -> Column:
-        return F.transform(
-            placed(found, between),
-            lambda m, i: F.struct(
-                (m["start"] + F.length(between[i])).alias("start"),
-                (m["start"] + F.length(between[i]) + F.length(m["value"])).alias("end"),
-                m["value"].alias("value"),
-                F.right(between[i], F.lit(near)).alias("left"),
-                F.left(between[i + 1], F.lit(near)).alias("right"),
-            ),
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return _let(found, lambda f: _let(F.split(text, pattern, -1), lambda b: located(f, b)))
+
+
+def _matches(text: Column, pattern: str) -> Column:
+    """array<struct<start, end, value>>: the leftmost matches."""
+
+    def placed(found: Column, between: Column, starts: Column) -> Column:
+        ends = F.transform(found, lambda value, i: starts[i] + F.length(between[i]) + F.length(value))
+        return F.zip_with(
+            found, ends, lambda value, end: F.struct((end - F.length(value)).alias("start"), end.alias("end"), value.alias("value"))
         )
 
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    return _let(found, lambda f: _let(F.split(text, pattern, -1), lambda b: around(f, b)))
+    return _cut(text, pattern, placed)
 
 
 def _valid(kind: str, value: Column) -> Column:
@@ -131,40 +140,78 @@ def _valid(kind: str, value: Column) -> Column:
 
 
 def _spans(text: Column) -> Column:
-    """array<struct<start, rank, end, kind, value, near array<struct<term, start, end>>>>, in order."""
-
-    def terms(window: Column, base: Column) -> Column:
-        return F.transform(
-            _matches(window, TERM),
-            lambda t: F.struct(F.lower(t["value"]).alias("term"), (t["start"] + base).alias("start"), (t["end"] + base).alias("end")),
-        )
+    """array<struct<start, rank, end, kind, value>>, in order."""
 
     def of_kind(rank: int, kind: str, mark: str, pattern: str) -> Column:
-        found = F.filter(_matches(text, pattern, NEAR), lambda m: _valid(kind, m["value"]))
+        found = F.filter(_matches(text, pattern), lambda m: _valid(kind, m["value"]))
         full = F.transform(
             found,
             lambda m: F.struct(
-                m["start"].alias("start"), F.lit(rank).alias("rank"), m["end"].alias("end"), F.lit(kind).alias("kind"),
-                m["value"].alias("value"),
-                F.concat(terms(m["left"], m["start"] - F.length(m["left"])), terms(m["right"], m["end"])).alias("near"),
+                m["start"].alias("start"), F.lit(rank).alias("rank"), m["end"].alias("end"), F.lit(kind).alias("kind"), m["value"].alias("value")
             ),
         )
         return F.when(text.rlike(mark), full)
 
     parts = [of_kind(rank, kind, *patterns) for rank, (kind, patterns) in enumerate(KINDS.items())]
-    empty = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,value:string,near:array<struct<term:string,start:int,end:int>>>>")
+    empty = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,value:string>>")
     return F.array_sort(F.concat(*(F.coalesce(p, empty) for p in parts)))
 
 
+def _places(text: Column) -> Column:
+    """array<struct<term, start, end>>: the terms of a text outside its addresses, by place."""
+
+    def outside(_: Column, between: Column, starts: Column) -> Column:
+        return F.flatten(
+            F.transform(
+                between,
+                lambda piece, i: F.transform(
+                    _matches(piece, TERM),
+                    lambda t: F.struct(F.lower(t["value"]).alias("term"), (t["start"] + starts[i]).alias("start"), (t["end"] + starts[i]).alias("end")),
+                ),
+            )
+        )
+
+    return _cut(text, KINDS["email"][1], outside)
+
+
+def _terms(text: Column) -> Column:
+    """array<string>: the different terms of a text outside its addresses; an empty string if there are none."""
+    mark, address = KINDS["email"]
+    outside = F.when(F.contains(text, F.lit(mark)), F.regexp_replace(text, address, "\n")).otherwise(text)
+    found = F.regexp_extract_all(outside, F.lit(TERM), F.lit(0))
+    return F.array_distinct(F.split(F.lower(F.array_join(found, " ")), " "))
+
+
+def _entities(spans: Column) -> Column:
+    """array<string>: the different protected entities of a text, and the pools they belong to."""
+
+    def plain(s: Column) -> Column:
+        return F.when(s["kind"].isin("card", "phone"), F.regexp_replace(s["value"], "[^0-9+]", "")).otherwise(F.lower(s["value"]))
+
+    def pool(s: Column) -> Column:
+        shared = F.lit("")
+        for kind, pattern in POOLS.items():
+            shared = F.when(s["kind"] == kind, F.regexp_extract(plain(s), pattern, 0)).otherwise(shared)
+        return shared
+
+    exact = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], plain(s)))
+    pools = F.transform(F.filter(spans, lambda s: pool(s) != ""), lambda s: F.concat_ws("~", s["kind"], pool(s)))
+    return F.array_distinct(F.concat(exact, pools))
+
+
 def _text(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
 def find_entities(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, key, spans) of every row of ``docs``; key stands for the text."""
-    return docs.select(
-        F.col(doc_id).cast("bigint").alias("doc_id"), F.md5(_text(text).cast("binary")).alias("key"), _spans(_text(text)).alias("spans")
-    )
+    """(doc_id, key, spans, body) of every row of ``docs``; key stands for id and text, body is the text if there are spans."""
+    number, body = F.col(doc_id).cast("bigint"), _text(text)
+    found = docs.select(number.alias("doc_id"), _key(number, body).alias("key"), _spans(body).alias("spans"), body.alias("body"))
+    return found.withColumn("body", F.when(F.size("spans") > 0, F.col("body")))
+
+
+def _key(number: Column, body: Column) -> Column:
+    return F.md5(F.concat(F.coalesce(number.cast("string"), F.lit("-")), F.lit(":"), body).cast("binary"))
 
 
 def _term_bit(term: str = "term") -> Column:
@@ -178,38 +225,38 @@ def _texts_with(terms: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     dense = docs.sparkSession.range(CELLS).join(cells, "id", "left")
     bitmap = dense.agg(F.sort_array(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits")))).alias("b"))
     bitmap = bitmap.select(F.col("b.bits").alias("bits")).scalar()
-    words = docs.select(F.array_distinct(F.regexp_extract_all(F.lower(_text(text)), F.lit(r"\p{L}{4,}+"), F.lit(0))).alias("words"))
+    words = docs.select(_terms(_text(text)).alias("words"))
     words = words.select(F.explode("words").alias("term")).withColumn("bit", _term_bit())
     cell = F.get(bitmap, F.expr("CAST(bit DIV 64 AS INT)"))
     likely = words.where(F.call_function("getbit", cell, F.expr("CAST(bit % 64 AS INT)")) == 1)
     return likely.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).join(terms, "term")
 
 
-def disclosures(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
-    """(entity, term, share) of the pairs where the term's information reveals ``GENERALISE`` of the entity or more.
+def mentions(found: DataFrame, docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """A row (key, term, n_term, entities) per document with entities and term that may reveal one; (entity, n_entity).
 
-    A term is counted with an entity in the documents where it stands near it.
+    A term in n documents reveals GENERALISE of an entity in n_entity of all N documents only if n + PRIOR is
+    at most n_entity ** GENERALISE * N ** (1 - GENERALISE) * (1 + PRIOR / N).
     """
-    mentions = _mentions(found)
-    entities = mentions.select("doc_id", "key", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    pairs = mentions.select("doc_id", "key", "entity", "term").distinct().groupBy("entity", "term")
-    pairs = staged(pairs.agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= SUPPORT), "pairs")
-    counts = _texts_with(pairs.select("term").distinct(), docs, text)
-    everything = found.count()
-    information = F.log(F.lit(float(max(1, everything))) / F.col("n_entity"))
-    shares = pairs.join(counts, "term").join(entities, "entity").withColumn(
-        "share", F.when(information > 0, 1 + F.log(F.least(F.lit(1.0), F.col("n_both") / F.col("n_term"))) / information).otherwise(0.0)
-    )
-    return shares.where(F.col("share") >= GENERALISE).select("entity", "term", "share")
-
-
-def _mentions(found: DataFrame) -> DataFrame:
-    """A row per document, entity and term near it."""
-    spans = found.select("doc_id", "key", F.explode("spans").alias("s"))
-    entity = F.concat_ws(":", F.col("s.kind"), F.lower(F.col("s.value")))
-    return spans.select("doc_id", "key", entity.alias("entity"), F.explode("s.near").alias("t")).select(
-        "doc_id", "key", "entity", "t.term", "t.start", "t.end"
-    )
+    named = found.where(F.size("spans") > 0).select("key", "body", _entities(F.col("spans")).alias("entities"))
+    entities = named.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    said = named.select("key", "entities", F.explode(_terms(F.col("body"))).alias("term")).where("term <> ''")
+    counts = _texts_with(said.select("term").distinct(), docs, text)
+    everything = float(max(1, found.count()))
+    most = entities.agg(F.max("n_entity").alias("most")).scalar()
+    bound = F.pow(most, F.lit(GENERALISE)) * everything ** (1 - GENERALISE) * (1 + PRIOR / everything) - PRIOR
+    rare = counts.where(F.col("n_term") <= bound * (1 + 1e-9))
+    return said.join(rare, "term"), entities
+
+
+def disclosures(said: DataFrame, entities: DataFrame, everything: int) -> DataFrame:
+    """(entity, term, share) of the pairs where the term reveals ``GENERALISE`` of the entity's information or more."""
+    pairs = said.select(F.explode("entities").alias("entity"), "term", "n_term")
+    pairs = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"), F.max("n_term").alias("n_term"))
+    usual = F.col("n_entity") / F.lit(float(max(1, everything)))
+    smoothed = (F.col("n_both") + PRIOR * usual) / (F.col("n_term") + PRIOR)
+    share = F.when(usual < 1, F.log(smoothed / usual) / -F.log(usual)).otherwise(0.0)
+    return pairs.join(entities, "entity").withColumn("share", share).where(F.col("share") >= GENERALISE).select("entity", "term", "share")
 
 
 def private_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -219,13 +266,16 @@ def private_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     action ``remove`` or ``generalise``.
     """
     found = staged(find_entities(docs, doc_id, text), "entities")
-    telling = disclosures(found, docs, text)
+    said, entities = mentions(found, docs, text)
+    said = staged(said, "mentions")
+    telling = disclosures(said, entities, found.count())
+    told = said.select("key", "term", F.explode("entities").alias("entity")).join(telling, ["entity", "term"])
     action = F.when(F.max("share") >= REMOVE, "remove").otherwise("generalise")
-    terms = _mentions(found).join(telling, ["entity", "term"]).groupBy("doc_id", "key", "start", "end").agg(action.alias("action"))
-    terms = terms.groupBy("doc_id", "key").agg(F.sort_array(F.collect_list(F.struct("start", "end", "action"))).alias("terms"))
-    terms = terms.select(F.col("doc_id").alias("term_doc"), F.col("key").alias("term_key"), "terms")
-    same = found["doc_id"].eqNullSafe(terms["term_doc"]) & (found["key"] == terms["term_key"])
-    rows = found.join(terms, same, "left")
+    told = told.groupBy("key", "term").agg(action.alias("action"))
+    places = found.where("body IS NOT NULL").select("key", F.explode(_places(F.col("body"))).alias("p")).select("key", "p.*")
+    terms = places.join(told, ["key", "term"]).groupBy("key")
+    terms = terms.agg(F.sort_array(F.collect_set(F.struct("start", "end", "action"))).alias("terms"))
+    rows = found.drop("body").join(terms, "key", "left")
     plain = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
     return rows.select(
         "doc_id", "key", plain.alias("entities"),
@@ -243,15 +293,15 @@ def sanitise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         F.transform("entities", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.concat(F.lit("<"), s["kind"], F.lit(">")).alias("to"))),
         F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(s["action"] == "remove", "<term>").alias("to"))),
     )
-    id_name, key, told = fresh(docs, "doc_key", "text_key", "told")
+    key, told = fresh(docs, "text_key", "told")
     marked = spans.where((F.size("entities") > 0) | (F.size("terms") > 0)).select(
-        F.col("doc_id").alias(id_name), F.col("key").alias(key), F.array_sort(marks).alias(told)
+        F.col("key").alias(key), F.array_sort(marks).alias(told)
     ).distinct()
     letters = F.split(_text(text), "")
 
     def rebuilt(chars: Column) -> Column:
-        """What lies before each mark, then the mark; marks that begin within an earlier one are skipped."""
-        ends = F.transform(F.col(told), lambda _, i: F.coalesce(F.array_max(F.transform(F.slice(F.col(told), F.greatest(i - 7, F.lit(0)) + 1, F.least(i, F.lit(7))), lambda m: m["end"])), F.lit(0)))
+        """What lies before each mark, then the mark; marks that begin within an earlier one add to it."""
+        ends = _running(F.transform(F.col(told), lambda m: m["end"]), lambda a, b: F.greatest(a, b))
         parts = F.zip_with(
             F.col(told), ends,
             lambda m, before: F.when(m["start"] < before, F.lit("")).otherwise(
@@ -264,7 +314,7 @@ def sanitise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         last = F.array_max(F.transform(F.col(told), lambda m: m["end"]))
         return F.concat(F.array_join(parts, ""), F.array_join(F.slice(chars, last + 1, F.greatest(F.size(chars) - last, F.lit(0))), ""))
 
-    same = F.col(doc_id).cast("bigint").eqNullSafe(F.col(id_name)) & (F.md5(_text(text).cast("binary")) == F.col(key))
+    same = _key(F.col(doc_id).cast("bigint"), _text(text)) == F.col(key)
     clean = F.when(F.col(told).isNotNull(), _let(letters, rebuilt)).otherwise(F.col(text))
     return docs.join(marked, same, "left").withColumn(text, clean).select(*docs.columns)
 

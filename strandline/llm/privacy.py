@@ -19,7 +19,7 @@ for in the documents that have a telling one; only spans move, and of such docum
 
 Nulls and edge cases: a null text is empty and has no span; spans count code points, from 0, end
 exclusive; overlapping finds of different kinds are all given. Documents are told apart by doc_id and
-text: a repeated row is one document for the estimates and gets the same spans each time. An entity in
+text: a repeated row counts as often as it comes and gets the same spans each time. An entity in
 every document has no information to reveal. Very long texts are handled in time proportional to their
 length, matches in n ** 1.34 of their number.
 """
@@ -68,7 +68,7 @@ def _running(values: Column, fold: Callable[[Column, Column], Column] = lambda a
     Numbers are taken in blocks of about the cube root of their count, and blocks likewise.
     """
 
-    def with_block(block: Column) -> Column:
+    def with_block(values: Column, block: Column) -> Column:
         starts = F.sequence(F.lit(1), F.size(values), block)
         blocks = F.transform(starts, lambda start: _folded(F.slice(values, start, block), fold))
         if root > 2:
@@ -86,8 +86,11 @@ def _running(values: Column, fold: Callable[[Column, Column], Column] = lambda a
             ),
         )
 
-    size = F.ceil(F.pow(F.size(values), F.lit(1 / root))).cast("int")
-    return F.when(F.size(values) > 0, _let(size, with_block)).otherwise(F.array().cast("array<int>"))
+    def with_values(values: Column) -> Column:
+        size = F.ceil(F.pow(F.size(values), F.lit(1 / root))).cast("int")
+        return F.when(F.size(values) > 0, _let(size, lambda block: with_block(values, block))).otherwise(F.array().cast("array<int>"))
+
+    return _let(values, with_values)
 
 
 def _cut(text: Column, pattern: str, body: Callable[[Column, Column, Column], Column]) -> Column:
@@ -211,7 +214,7 @@ def find_entities(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
 
 def _key(number: Column, body: Column) -> Column:
-    return F.md5(F.concat(F.coalesce(number.cast("string"), F.lit("-")), F.lit(":"), body).cast("binary"))
+    return F.unhex(F.md5(F.concat(F.coalesce(number.cast("string"), F.lit("-")), F.lit(":"), body).cast("binary")))
 
 
 def _term_bit(term: str = "term") -> Column:
@@ -232,31 +235,42 @@ def _texts_with(terms: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     return likely.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).join(terms, "term")
 
 
-def mentions(found: DataFrame, docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """A row (key, term, n_term, entities) per document with entities and term that may reveal one; (entity, n_entity).
+def mentions(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
+    """(key, entity, n_entity, term, n_term) per document, its entities and those of its terms that may reveal them.
 
     A term in n documents reveals GENERALISE of an entity in n_entity of all N documents only if n + PRIOR is
-    at most n_entity ** GENERALISE * N ** (1 - GENERALISE) * (1 + PRIOR / N).
+    at most n_entity ** GENERALISE * N ** (1 - GENERALISE) * (1 + PRIOR / N). Terms of a document are first held
+    against the largest bound of its entities, without a row per pair.
     """
-    named = found.where(F.size("spans") > 0).select("key", "body", _entities(F.col("spans")).alias("entities"))
-    entities = named.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    said = named.select("key", "entities", F.explode(_terms(F.col("body"))).alias("term")).where("term <> ''")
-    counts = _texts_with(said.select("term").distinct(), docs, text)
     everything = float(max(1, found.count()))
-    most = entities.agg(F.max("n_entity").alias("most")).scalar()
-    bound = F.pow(most, F.lit(GENERALISE)) * everything ** (1 - GENERALISE) * (1 + PRIOR / everything) - PRIOR
-    rare = counts.where(F.col("n_term") <= bound * (1 + 1e-9))
-    return said.join(rare, "term"), entities
-
-
-def disclosures(said: DataFrame, entities: DataFrame, everything: int) -> DataFrame:
+    named = found.where(F.size("spans") > 0).select("key", "body", _entities(F.col("spans")).alias("entities")).dropDuplicates(["key"])
+    # A repeated row counts as often as it comes.
+    times = found.where(F.size("spans") > 0).groupBy("key").agg(F.count(F.lit(1)).alias("times"))
+    owned = named.join(times, "key").select("key", "times", F.explode("entities").alias("entity"))
+    owned = staged(owned, "owned")
+    sizes = owned.groupBy("entity").agg(F.sum("times").alias("n_entity"))
+    bound = F.pow("n_entity", F.lit(GENERALISE)) * everything ** (1 - GENERALISE) * (1 + PRIOR / everything) - PRIOR
+    owned = staged(owned.join(sizes, "entity").withColumn("most", bound * (1 + 1e-9)), "bounds")
+    limits = owned.groupBy("key").agg(F.max("most").alias("limit"))
+    said = named.select("key", F.explode(_terms(F.col("body"))).alias("term")).where("term <> ''")
+    counts = staged(_texts_with(said.select("term").distinct(), docs, text), "counts")
+    most = limits.agg(F.max("limit")).scalar()
+    limited = named.select("key", "body").join(limits, "key")
+    said = limited.select("key", "limit", F.explode(_terms(F.col("body"))).alias("term")).where("term <> ''")
+    rare = said.join(counts.where(F.col("n_term") <= most), "term").where(F.col("n_term") <= F.col("limit"))
+    pairs = rare.select("key", "term", "n_term").join(owned, "key").where(F.col("n_term") <= F.col("most"))
+    return pairs.select("key", "times", "entity", "n_entity", "term", "n_term")
+
+
+def disclosures(said: DataFrame, everything: int) -> DataFrame:
     """(entity, term, share) of the pairs where the term reveals ``GENERALISE`` of the entity's information or more."""
-    pairs = said.select(F.explode("entities").alias("entity"), "term", "n_term")
-    pairs = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"), F.max("n_term").alias("n_term"))
+    pairs = said.groupBy("entity", "term").agg(
+        F.sum("times").alias("n_both"), F.max("n_term").alias("n_term"), F.max("n_entity").alias("n_entity")
+    )
     usual = F.col("n_entity") / F.lit(float(max(1, everything)))
     smoothed = (F.col("n_both") + PRIOR * usual) / (F.col("n_term") + PRIOR)
     share = F.when(usual < 1, F.log(smoothed / usual) / -F.log(usual)).otherwise(0.0)
-    return pairs.join(entities, "entity").withColumn("share", share).where(F.col("share") >= GENERALISE).select("entity", "term", "share")
+    return pairs.withColumn("share", share).where(F.col("share") >= GENERALISE).select("entity", "term", "share")
 
 
 def private_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -266,10 +280,9 @@ def private_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     action ``remove`` or ``generalise``.
     """
     found = staged(find_entities(docs, doc_id, text), "entities")
-    said, entities = mentions(found, docs, text)
-    said = staged(said, "mentions")
-    telling = disclosures(said, entities, found.count())
-    told = said.select("key", "term", F.explode("entities").alias("entity")).join(telling, ["entity", "term"])
+    said = staged(mentions(found, docs, text), "mentions")
+    telling = disclosures(said, found.count())
+    told = said.select("key", "term", "entity").join(telling, ["entity", "term"])
     action = F.when(F.max("share") >= REMOVE, "remove").otherwise("generalise")
     told = told.groupBy("key", "term").agg(action.alias("action"))
     places = found.where("body IS NOT NULL").select("key", F.explode(_places(F.col("body"))).alias("p")).select("key", "p.*")

@@ -6,15 +6,20 @@ and one of those they block. A model's chance of a character mixes the orders 0
 order's estimate is smoothed by the one below with the weight of the distinct characters seen there
 (Witten-Bell), down to a uniform chance. The score is the difference of the two log-likelihoods per
 character; the threshold is the one that errs least, evenly over both kinds, on the labelled URLs.
-
-Counts cover every labelled URL. Contexts are hashed to a fixed number of cells, and so are characters
-after contexts, twice: the lesser of the two counts is nearly always the true one. So the models have
-a fixed size however many URLs there are, and are what tasks hold. The threshold comes from a
-histogram of fixed size.
-
-Nulls and edge cases: a null URL, or one without ``://``, has an empty host and path and no rule; an
-empty text has score 0 and is allowed if the threshold is not above 0. If either kind has no labelled
-URL, nothing can be learned and the method allows. Repeated rows count and are judged each time.
+Each of them is scored for this by models of the other half of the labelled URLs, halves dealt by the
+URL's checksum, so that no URL vouches for itself; if a half lacks a kind, by the models of all.
+
+Counts are exact and cover every labelled URL: a table of grams (``ORDER`` characters and the one after
+them, 48 bits) that grows with the URLs. What a gram adds to a score depends on the gram alone, so the
+chances are worked out once per gram, order by order, with windows over contexts (at most ``ALPHABET``
+rows each) and a join with the order below. Tasks that score hold the ``held`` commonest grams and add
+up what they hold; other grams of a URL leave as rows, are joined with the table and added up by URL.
+Amounts are whole multiples of 2 ** -``UNIT``, so the sum is the same either way and in any order.
+
+Nulls and edge cases: a null URL, or one without ``://``, has an empty host and path and no rule; a
+null or empty text has score 0 and is allowed if the threshold is not above 0. If either kind has no
+labelled URL, nothing can be learned and the method allows. Repeated rows count and are judged each
+time. Result columns get free names if kept columns have theirs.
 """
 
 from __future__ import annotations
@@ -24,12 +29,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from strandline.llm.frames import batched, raw_texts, staged, table
-from strandline.llm.words import mix
+from strandline.llm.frames import batched, fresh, raw_texts, staged, table
 
 # The rules, as host and beginning of the path, and their verdicts.
 RULES = {
@@ -40,12 +44,18 @@ RULES = {
     "net/fr/": "block",
 }
 
-#: Longest context in characters, cells of each order's table, and characters told apart (by their byte).
-ORDER, CELLS, ALPHABET = 5, 1 << 17, 256
+#: Longest context in characters, and characters told apart (bytes; 0 marks both ends).
+ORDER, ALPHABET = 5, 256
+#: Grams that a scoring task holds, 32 bytes each.
+HELD = 1 << 18
+#: Amounts are rounded to this many binary places.
+UNIT = 30
 #: Bounds and bins of the histogram of scores.
 SCORE_RANGE, BINS = 8.0, 4000
 
-_SEED = np.arange(ORDER + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+#: The labelled URLs are counted by half and kind; models are of the other half than 0, than 1, and of all.
+PARTS = tuple((half, kind) for half in (0, 1) for kind in ("allow", "block"))
+MODELS = {"other0": (1,), "other1": (0,), "all": (0, 1)}
 
 
 def host_of(url: Column) -> Column:
@@ -69,7 +79,13 @@ def rule_of(host: Column, path: Column, rules: dict[str, str]) -> Column:
 
 def decided(pages: DataFrame, url: str = "url", rules: dict[str, str] = RULES, keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """The ``keep`` columns, then url, host, path, rule and the rule's verdict (null without one)."""
-    rows = pages.select(*keep, F.col(url).cast("string").alias("url"))
+    return _unpacked(_decided(pages, url, rules, keep), keep, "url", "host", "path", "rule", "verdict")
+
+
+def _decided(pages: DataFrame, url: str, rules: dict[str, str], keep: tuple[str, ...]) -> DataFrame:
+    """The kept columns as a struct ``kept``, then url, host, path, rule and the rule's verdict."""
+    kept = F.struct(*(F.col(f"`{c}`") for c in keep), F.lit(0).alias("_"))
+    rows = pages.select(kept.alias("kept"), F.col(f"`{url}`").cast("string").alias("url"))
     rows = rows.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
     rows = rows.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
     verdict = F.lit(None).cast("string")
@@ -78,93 +94,156 @@ def decided(pages: DataFrame, url: str = "url", rules: dict[str, str] = RULES, k
     return rows.withColumn("verdict", verdict)
 
 
-def contexts(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """For every character of a URL and its end: the character, and by order the cell of what precedes it.
+def _unpacked(rows: DataFrame, keep: tuple[str, ...], *results: str) -> DataFrame:
+    own = rows.select(*(F.col(f"kept.`{c}`").alias(c) for c in keep))
+    return rows.select(*(F.col(f"kept.`{c}`").alias(c) for c in keep), *(F.col(r).alias(n) for r, n in zip(results, fresh(own, *results), strict=True)))
 
-    The second array has one row per order. Characters are bytes; 0 marks both ends.
-    """
-    data = np.concatenate([np.zeros(ORDER, np.uint64), np.frombuffer(raw, np.uint8).astype(np.uint64), np.zeros(1, np.uint64)])
-    size = len(raw) + 1
-    cells = np.zeros((ORDER + 1, size), np.int64)
-    context = np.zeros(size, np.uint64)
-    for order in range(1, ORDER + 1):
-        context = context * np.uint64(257) + data[ORDER - order : ORDER - order + size] + np.uint64(1)
-        cells[order] = (mix(context + _SEED[order]) % np.uint64(CELLS)).astype(np.int64)
-    return data[ORDER:].astype(np.int64), cells
 
+def grams(raw: bytes) -> np.ndarray:
+    """For every character of a URL and its end: the ``ORDER`` characters before it and itself, a byte each."""
+    data = np.frombuffer(b"\0" * ORDER + raw + b"\0", np.uint8).astype(np.int64)
+    found = np.zeros(len(raw) + 1, np.int64)
+    for k in range(ORDER + 1):
+        found = (found << 8) | data[k : k + len(found)]
+    return found
 
-def _slots(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Places in the two tables of character counts and in that of context counts, a row per order."""
-    chars, cells = contexts(raw)
-    base = (np.arange(ORDER + 1, dtype=np.int64) * CELLS)[:, None]
-    joint = mix((cells * ALPHABET + chars).astype(np.uint64))
-    both = np.stack([joint % np.uint64(CELLS), (joint >> np.uint64(32)) % np.uint64(CELLS)])
-    return both.astype(np.int64) + base, cells + base
 
+def _half(url: str = "url") -> Column:
+    return (F.crc32(F.col(url).cast("binary")) % 2).cast("int")
 
-@dataclass
-class Model:
-    """By kind (0 allowed, 1 blocked): counts of characters after contexts, of contexts, and of distinct followers."""
 
-    after: np.ndarray  # by kind and table
-    seen: np.ndarray
-    kinds: np.ndarray
-    threshold: float = 0.0
+def _part() -> Column:
+    """Which of ``PARTS`` a URL is counted in; -1 for those without a verdict, which only tell what is asked for."""
+    return F.when(F.col("verdict").isNull(), -1).otherwise(_half() * 2 + (F.col("verdict") == "block").cast("int")).cast("int")
 
-    def score(self, raw: bytes) -> float:
-        """Log-likelihood of the allowed model less that of the blocked one, per character."""
-        joint, cells = _slots(raw)
-        total = 0.0
-        for kind, sign in ((0, 1.0), (1, -1.0)):
-            chance = np.full(cells.shape[1], 1.0 / ALPHABET)
-            for order in range(ORDER + 1):
-                kinds = self.kinds[kind][cells[order]]
-                seen = self.seen[kind][cells[order]] + kinds
-                after = np.minimum(self.after[kind][0][joint[0][order]], self.after[kind][1][joint[1][order]])
-                mixed = (after + kinds * chance) / np.maximum(seen, 1)
-                chance = np.where(seen > 0, np.minimum(mixed, 1.0), chance)
-            total += sign * float(np.log(chance).sum())
-        return total / cells.shape[1]
-
-
-def learn(labelled: DataFrame) -> Model | None:
-    """The models of all rows (url, verdict) with a verdict; None when either verdict is missing.
-
-    What reaches the driver is one number per cell at most, and one per bin of the histogram.
-    """
-    rows = labelled.where("verdict IS NOT NULL AND url IS NOT NULL").select((F.col("verdict") == "block").alias("blocked"), F.col("url").cast("binary"))
-    size = (ORDER + 1) * CELLS
+
+def count_grams(rows: DataFrame) -> DataFrame:
+    """(gram, n, n0 .. n3): every gram of the column url, how often it stands in all URLs and in each of ``PARTS``."""
+    names = [f"n{k}" for k in range(len(PARTS))]
+    told = rows.where("url IS NOT NULL").select(_part().alias("part"), F.col("url").cast("binary"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held: tuple[list, list] = ([], [])
-            for blocked, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                joint, cells = _slots(raw)
-                held[blocked].append(np.stack([joint[0].ravel(), joint[1].ravel(), cells.ravel()]))
-            for kind, found in enumerate(held):
-                if found:
-                    pairs, n = np.unique(np.concatenate(found, axis=1), axis=1, return_counts=True)
-                    yield pa.record_batch(
-                        [pa.array(np.full(len(n), kind, np.int32)), *map(pa.array, pairs), pa.array(n.astype(np.int64))],
-                        names=["kind", "joint0", "joint1", "cell", "n"],
-                    )
-
-    counts = batched(rows, count, "kind int, joint0 bigint, joint1 bigint, cell bigint, n bigint")
-    pairs = staged(counts.groupBy("kind", "joint0", "joint1", "cell").agg(F.sum("n").alias("n")), "url-counts")
-    model = Model(np.zeros((2, 2, size), np.float32), *(np.zeros((2, size), np.float32) for _ in range(2)))
-    # Grouped by cell before they leave the cluster: at most 2 * size rows each time.
-    for column in ("joint0", "joint1", "cell"):
-        found = pairs.groupBy("kind", column).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).toArrow()
-        kind, at, n, kinds = (found.column(name).to_numpy() for name in ("kind", column, "n", "kinds"))
-        if column == "cell":
-            model.seen[kind, at], model.kinds[kind, at] = n, kinds
+            if not batch.num_rows:
+                continue
+            found = [grams(raw) for raw in batch.column(1).to_pylist()]
+            part = np.repeat(batch.column(0).to_numpy() + 1, [len(f) for f in found])
+            different, at = np.unique(np.concatenate(found), return_inverse=True)
+            n = np.bincount(part * len(different) + at, minlength=(len(PARTS) + 1) * len(different)).reshape(len(PARTS) + 1, -1)
+            yield pa.record_batch([pa.array(c) for c in (different, n.sum(axis=0), *n[1:])], names=["gram", "n", *names])
+
+    counts = batched(told, count, ", ".join(f"{c} bigint" for c in ("gram", "n", *names)))
+    return counts.groupBy("gram").agg(*(F.sum(c).alias(c) for c in ("n", *names)))
+
+
+def gram_values(counts: DataFrame) -> DataFrame:
+    """(gram, n, other0, other1, all): what a gram adds to a URL's score by each of ``MODELS``, times 2 ** UNIT.
+
+    ``counts`` is read once per order, and should be staged.
+    """
+    cells = [(model, kind) for model in MODELS for kind in ("allow", "block")]
+    below = None
+    for order in range(ORDER + 1):
+        gram = F.col("gram").bitwiseAND(F.lit((1 << (8 * (order + 1))) - 1))
+        sums = counts.groupBy(gram.alias("gram")).agg(*(F.sum(c).alias(c) for c in counts.columns if c != "gram"))
+        after = {
+            (model, kind): sum((F.col(f"n{PARTS.index((half, kind))}") for half in halves), F.lit(0))
+            for model, halves in MODELS.items()
+            for kind in ("allow", "block")
+        }
+        sums = sums.select("gram", "n", *(after[c].alias("_".join(c)) for c in cells))
+        context = Window.partitionBy(F.shiftright("gram", 8))
+        for model, kind in cells:
+            name = f"{model}_{kind}"
+            sums = sums.withColumn(f"seen_{name}", F.sum(name).over(context))
+            sums = sums.withColumn(f"kinds_{name}", F.sum(F.when(F.col(name) > 0, 1).otherwise(0)).over(context))
+        if below is None:
+            joined = sums.select("*", *(F.lit(1.0 / ALPHABET).alias(f"below_{'_'.join(c)}") for c in cells))
         else:
-            model.after[kind, int(column[-1]), at] = n
-    if not model.seen[0].any() or not model.seen[1].any():
+            rest = F.col("gram").bitwiseAND(F.lit((1 << (8 * order)) - 1))
+            joined = sums.withColumn("shorter", rest).join(below, "shorter")
+        chances = []
+        for model, kind in cells:
+            name = f"{model}_{kind}"
+            seen, kinds, lower = F.col(f"seen_{name}"), F.col(f"kinds_{name}"), F.col(f"below_{name}")
+            chances.append(F.when(seen > 0, (F.col(name) + kinds * lower) / (seen + kinds)).otherwise(lower).alias(f"below_{name}"))
+        last = joined.select("gram", "n", *chances)
+        below = last.drop("n").withColumnRenamed("gram", "shorter")
+    unit = F.lit(float(1 << UNIT))
+    amounts = (F.round((F.log(f"below_{m}_allow") - F.log(f"below_{m}_block")) * unit).cast("bigint").alias(m) for m in MODELS)
+    return last.select("gram", "n", *amounts)
+
+
+@dataclass
+class Model:
+    """What every gram of the URLs adds, which of ``MODELS`` has all it needs, and the threshold."""
+
+    values: DataFrame
+    halves: bool
+    threshold: float = 0.0
+
+
+def learn(rows: DataFrame) -> Model | None:
+    """The models of the rows (url, verdict) that have a verdict, for the grams of all; None when either verdict is missing."""
+    counts = staged(count_grams(rows), "url-grams")
+    totals = counts.agg(*(F.coalesce(F.sum(f"n{k}"), F.lit(0)).alias(f"n{k}") for k in range(len(PARTS)))).first()
+    if not all(sum(totals[k] for k, part in enumerate(PARTS) if part[1] == kind) for kind in ("allow", "block")):
         return None
-    scored = _scored(labelled.where("verdict IS NOT NULL AND url IS NOT NULL").select("verdict", "url"), model)
+    return Model(staged(gram_values(counts), "url-values"), all(totals))
+
+
+def scored(rows: DataFrame, model: Model, held: int = HELD) -> DataFrame:
+    """``rows`` (with a column url) and, staged, each URL's ``total`` by all labelled URLs, ``other`` by the other half, and ``size``."""
+    at = rows.columns.index("url")
+    common = model.values.orderBy(F.col("n").desc(), "gram").limit(held).orderBy("gram").toArrow()
+    keys = common.column("gram").to_numpy()
+    amounts = np.stack([common.column(m).to_numpy() for m in MODELS])
+    shared = rows.sparkSession.sparkContext.broadcast((keys, amounts))
+    rows = rows.withColumn("half", F.coalesce(_half(), F.lit(0)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, amounts = shared.value
+        for batch in batches:
+            sums, sizes, lacking = np.zeros((2, batch.num_rows), np.int64), [], []
+            for row, (raw, half) in enumerate(zip(raw_texts(batch.column(at)), batch.column(batch.num_columns - 1).to_pylist(), strict=True)):
+                found = grams(raw) if raw else np.zeros(0, np.int64)
+                place = np.searchsorted(keys, found)
+                place[place == len(keys)] = 0
+                here = keys[place] == found
+                sums[0, row], sums[1, row] = amounts[2][place[here]].sum(), amounts[half][place[here]].sum()
+                sizes.append(len(found))
+                lacking.append(found[~here].tolist())
+            columns = [*batch.columns, *map(pa.array, sums), pa.array(sizes, pa.int64()), pa.array(lacking, pa.list_(pa.int64()))]
+            yield pa.record_batch(columns, names=[*batch.schema.names, "total", "other", "size", "lacking"])
+
+    more = [StructField(c, LongType()) for c in ("total", "other", "size")]
+    schema = StructType([*rows.schema, *more, StructField("lacking", ArrayType(LongType()))])
+    found = staged(batched(rows, run, schema), "url-scores")
+    if model.values.count() <= held:
+        return found.drop("lacking")
+    # One row per URL that lacks grams, so that copies are not repeated; its bytes tell it.
+    key = F.unhex(F.md5(F.col("url").cast("binary")))
+    urls = found.where(F.size("lacking") > 0).select(key.alias("key"), "half", "lacking").dropDuplicates(["key"])
+    asked = urls.select("key", "half", F.explode("lacking").alias("gram")).groupBy("key", "half", "gram").agg(F.count(F.lit(1)).alias("times"))
+    own = F.when(F.col("half") == 0, F.col("other0")).otherwise(F.col("other1"))
+    rest = asked.join(model.values, "gram").groupBy("key").agg(
+        F.sum(F.col("times") * F.col("all")).alias("rest"), F.sum(F.col("times") * own).alias("other_rest")
+    )
+    whole = found.join(rest, key == F.col("key"), "left")
+    return whole.withColumn("total", F.col("total") + F.coalesce("rest", F.lit(0))).withColumn(
+        "other", F.col("other") + F.coalesce("other_rest", F.lit(0))
+    ).drop("lacking", "key", "rest", "other_rest")
+
+
+def _score(total: str) -> Column:
+    """The score: a sum of amounts, per character."""
+    return F.when(F.col("size") > 0, F.col(total) / F.col("size") / float(1 << UNIT)).otherwise(0.0)
+
+
+def threshold_of(labelled: DataFrame) -> float:
+    """The threshold that errs least on the rows (verdict, score), from a histogram."""
     bin_of = F.floor((F.col("score") + SCORE_RANGE) * (BINS / (2 * SCORE_RANGE)))
-    bins = scored.groupBy((F.col("verdict") == "block").alias("blocked"), F.greatest(F.lit(0), F.least(F.lit(BINS - 1), bin_of)).alias("bin")).count()
+    bins = labelled.groupBy((F.col("verdict") == "block").alias("blocked"), F.greatest(F.lit(0), F.least(F.lit(BINS - 1), bin_of)).alias("bin")).count()
     tally = np.zeros((2, BINS))
     for row in bins.collect():
         tally[int(row["blocked"]), row["bin"]] = row["count"]
@@ -172,31 +251,23 @@ def learn(labelled: DataFrame) -> Model | None:
     # Errors when all from bin k on are allowed: the allowed below it, and the blocked from it on.
     errors = np.concatenate([[0], np.cumsum(tally[0])]) + np.concatenate([np.cumsum(tally[1][::-1])[::-1], [0]])
     best = np.flatnonzero(errors <= errors.min() + 1e-12)
-    model.threshold = float((best[0] + best[-1]) / 2 * (2 * SCORE_RANGE / BINS) - SCORE_RANGE)
-    return model
-
-
-def _scored(rows: DataFrame, model: Model | None) -> DataFrame:
-    """``rows`` (with a column url) and each URL's score."""
-    at = rows.columns.index("url")
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            urls = raw_texts(batch.column(at))
-            scores = [0.0 if shared.value is None or not u else shared.value.score(u) for u in urls]
-            yield pa.record_batch([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "score"])
-
-    return batched(rows, run, StructType([*rows.schema, StructField("score", DoubleType())]))
+    return float((best[0] + best[-1]) / 2 * (2 * SCORE_RANGE / BINS) - SCORE_RANGE)
 
 
-def filter_urls(pages: DataFrame, url: str = "url", rules: dict[str, str] = RULES, keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
+def filter_urls(
+    pages: DataFrame, url: str = "url", rules: dict[str, str] = RULES, keep: tuple[str, ...] = ("page_id",), held: int = HELD
+) -> DataFrame:
     """The ``keep`` columns, then url, host, path, rule, verdict and score of every row of ``pages``."""
-    rows = decided(pages, url, rules, keep)
+    rows = _decided(pages, url, rules, keep)
+    results = ("url", "host", "path", "rule", "verdict", "score")
     model = learn(rows.select("url", "verdict"))
-    allowed = F.lit(True) if model is None else F.col("score") >= model.threshold
-    method = F.when(allowed, "allow").otherwise("block")
-    return _scored(rows, model).withColumn("verdict", F.coalesce("verdict", method))
+    if model is None:
+        return _unpacked(rows.withColumn("score", F.lit(0.0)).withColumn("verdict", F.coalesce("verdict", F.lit("allow"))), keep, *results)
+    found = scored(rows, model, held)
+    own = "other" if model.halves else "total"
+    threshold = threshold_of(found.where("verdict IS NOT NULL AND url IS NOT NULL").select("verdict", _score(own).alias("score")))
+    method = F.when(F.col("score") >= threshold, "allow").otherwise("block")
+    return _unpacked(found.withColumn("score", _score("total")).withColumn("verdict", F.coalesce("verdict", method)), keep, *results)
 
 
 def op5_urls(spark: SparkSession, folder: str) -> DataFrame:

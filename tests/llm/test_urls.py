@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import random
 import re
+import zlib
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
 from strandline.llm import urls
-from strandline.llm.urls import ORDER, RULES, filter_urls, learn
+from strandline.llm.urls import ORDER, RULES, filter_urls
 
 
 def brute_rule(url):
@@ -64,13 +66,79 @@ def brute_score(text, examples):
     return total / (len(text.encode()) + 1)
 
 
-def test_scores_equal_dictionaries(spark):
+@pytest.fixture(scope="module")
+def judged(spark):
+    """URLs of two kinds by rule and some that no rule decides, as (url, verdict of its rule or None)."""
     rng = random.Random(4)
-    examples = [("http://" + "".join(rng.choice("abc/é") for _ in range(12)), "allow") for _ in range(30)]
-    examples += [("http://" + "".join(rng.choice("xyz./") for _ in range(12)), "block") for _ in range(30)]
-    model = learn(spark.createDataFrame(examples, "url string, verdict string"))
-    for text in ["", "http://abc", "zzz.yx", *(e for e, _ in examples[::7])]:
-        assert abs(model.score(text.encode()) - brute_score(text, examples)) < 0.05
-    right = [(model.score(e.encode()) >= model.threshold) == (k == "allow") for e, k in examples]
-    assert all(right)
-    assert urls.learn(spark.createDataFrame(examples[:30], "url string, verdict string")) is None
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(12))
+    rows = [(f"http://a.com/{word('abc/é')}", "allow") for _ in range(40)]
+    rows += [(f"http://a.net/es/{word('xyz./')}", "block") for _ in range(40)]
+    rows += [(f"http://{host}.org/{word(letters)}", None) for host, letters in (("a", "abc"), ("b", "xyz"), ("c", "qrs")) for _ in range(10)]
+    rows += [rows[0], rows[41], rows[85], ("q" * 3000, None)]
+    return rows, spark.createDataFrame([(k, u) for k, (u, _) in enumerate(rows)], "page_id long, url string").repartition(3)
+
+
+@pytest.mark.parametrize("held", [1 << 18, 200, 1])
+def test_scores_and_threshold_equal_dictionaries(judged, held):
+    """Whether the tasks hold all grams, some or one: the whole result is that of plain dictionaries."""
+    rows, frame = judged
+    labelled = [(u, v) for u, v in rows if v]
+    halves = [[x for x in labelled if zlib.crc32(x[0].encode()) % 2 == half] for half in (0, 1)]
+    own = [(brute_score(u, halves[1 - zlib.crc32(u.encode()) % 2]), v) for u, v in labelled]
+    allowed, blocked = sorted(s for s, v in own if v == "allow"), sorted(s for s, v in own if v == "block")
+    found = filter_urls(frame, held=held).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert abs(r.score - brute_score(r.url, labelled)) < 1e-6
+    undecided = [r for r in found if r.rule is None]
+    passed, stopped = (sorted(r.score for r in undecided if r.verdict == v) for v in ("allow", "block"))
+    assert passed and stopped and stopped[-1] < passed[0]
+
+    def errors(threshold):
+        return sum(s < threshold for s in allowed) / len(allowed) + sum(s >= threshold for s in blocked) / len(blocked)
+
+    between = [s for s in {*allowed, *blocked} if stopped[-1] < s <= passed[0]] + [passed[0]]
+    assert min(map(errors, between)) <= min(errors(s + d) for s, _ in own for d in (0, 0.005)) + 1e-9
+
+
+def test_urls_without_their_own_counts(spark):
+    """Random URLs look like their kind only to models that counted them; the threshold does not rest on that."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(12))
+    rows = [(f"http://x.org/{word()}", verdict) for verdict in ("allow", "block") for _ in range(60)]
+    frame = spark.createDataFrame(rows, "url string, verdict string")
+    model = urls.learn(frame)
+    assert model.halves
+    found = urls.scored(frame, model).select("verdict", urls._score("total").alias("flattered"), urls._score("other").alias("score")).collect()
+    flattered = sum((r.flattered > 0) == (r.verdict == "allow") for r in found) / len(found)
+    fair = sum((r.score > 0) == (r.verdict == "allow") for r in found) / len(found)
+    assert flattered > 0.95 and fair < 0.7
+
+
+def test_counts_are_exact_and_ties_and_halves_are_defined(spark):
+    rows = [("abc", "allow")] * 3 + [("abd", "block"), (None, "block"), ("", "allow"), ("zz", None)]
+    frame = spark.createDataFrame(rows, "url string, verdict string")
+    counts = {r.gram: r for r in urls.count_grams(frame).collect()}
+    brute = defaultdict(int)
+    for u, _ in rows:
+        for g in [] if u is None else urls.grams(u.encode()).tolist():
+            brute[g] += 1
+    assert {g: r.n for g, r in counts.items()} == brute
+    start = int.from_bytes(b"\0" * ORDER + b"a", "big")
+    assert sum(counts[start][f"n{k}"] for k in range(4)) == counts[start].n == 4
+    assert urls.learn(frame.where("verdict = 'allow'")) is None
+    # One blocked URL: a half lacks the kind, so all models are scored with all counts.
+    assert not urls.learn(frame).halves
+    # Scores equal to the threshold are allowed: equal URLs of both kinds tell nothing apart.
+    same = spark.createDataFrame([("u", "allow"), ("u", "block")], "url string, verdict string")
+    model = urls.learn(same)
+    assert {(r.total, r.size) for r in urls.scored(same, model).collect()} == {(0, 2)}
+
+
+def test_kept_columns_named_like_results(spark):
+    rows = [(1, "http://a.com/x", "mine", 7.5), (2, "http://a.net/es/y", "mine", 8.5), (3, "http://z.org", "mine", 9.5)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, verdict string, Score double")
+    for found in (urls.decided(frame, keep=("page_id", "verdict", "Score")), filter_urls(frame, keep=("page_id", "verdict", "Score"))):
+        assert len({c.lower() for c in found.columns}) == len(found.columns)
+        assert {(r.verdict, r.Score) for r in found.collect()} == {("mine", 7.5), ("mine", 8.5), ("mine", 9.5)}
+        assert {r.page_id: r._verdict for r in found.where("page_id < 3").collect()} == {1: "allow", 2: "block"}

@@ -6,15 +6,16 @@ and one of those they block. A model's chance of a character mixes the orders 0
 order's estimate is smoothed by the one below with the weight of the distinct characters seen there
 (Witten-Bell), down to a uniform chance. The score is the difference of the two log-likelihoods per
 character; the threshold is the one that errs least, evenly over both kinds, on the labelled URLs.
-Each of them is scored for this by models of the other half of the labelled URLs, halves dealt by the
-URL's checksum, so that no URL vouches for itself; if a half lacks a kind, by the models of all.
+One labelled URL in ``HELD_OUT``, told by its checksum, is not counted and serves to find the threshold,
+so that no URL vouches for itself; if these or the others lack a kind, all labelled URLs do both.
 
-Counts are exact and cover every labelled URL: a table of grams (``ORDER`` characters and the one after
-them, 48 bits) that grows with the URLs. What a gram adds to a score depends on the gram alone, so the
-chances are worked out once per gram, order by order, with windows over contexts (at most ``ALPHABET``
-rows each) and a join with the order below. Tasks that score hold the ``held`` commonest grams and add
-up what they hold; other grams of a URL leave as rows, are joined with the table and added up by URL.
-Amounts are whole multiples of 2 ** -``UNIT``, so the sum is the same either way and in any order.
+Counts are exact and cover every other labelled URL: a table of grams (``ORDER`` characters and the one
+after them, 48 bits) that grows with the URLs. What a gram adds to a score depends on the gram alone, so
+the chances are worked out once per gram, order by order: a context's rows of the order above, at most
+``ALPHABET`` ** 2, meet once to be added up and for the context's sums, and are joined with the order
+below. Tasks that score hold the ``held`` commonest grams and add up what they hold; other grams of a URL
+leave as rows, are joined with the table and added up by URL. Amounts are whole multiples of
+2 ** -``UNIT``, so the sum is the same either way and in any order.
 
 Nulls and edge cases: a null URL, or one without ``://``, has an empty host and path and no rule; a
 null or empty text has score 0 and is allowed if the threshold is not above 0. If either kind has no
@@ -25,7 +26,6 @@ time. Result columns get free names if kept columns have theirs.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -46,16 +46,16 @@ RULES = {
 
 #: Longest context in characters, and characters told apart (bytes; 0 marks both ends).
 ORDER, ALPHABET = 5, 256
-#: Grams that a scoring task holds, 32 bytes each.
+#: Grams that a scoring task holds, 16 bytes each.
 HELD = 1 << 18
+#: One labelled URL in so many is kept from the counts, for the threshold.
+HELD_OUT = 4
 #: Amounts are rounded to this many binary places.
 UNIT = 30
 #: Bounds and bins of the histogram of scores.
 SCORE_RANGE, BINS = 8.0, 4000
 
-#: The labelled URLs are counted by half and kind; models are of the other half than 0, than 1, and of all.
-PARTS = tuple((half, kind) for half in (0, 1) for kind in ("allow", "block"))
-MODELS = {"other0": (1,), "other1": (0,), "all": (0, 1)}
+_KINDS = ("allow", "block")
 
 
 def host_of(url: Column) -> Column:
@@ -108,136 +108,115 @@ def grams(raw: bytes) -> np.ndarray:
     return found
 
 
-def _half(url: str = "url") -> Column:
-    return (F.crc32(F.col(url).cast("binary")) % 2).cast("int")
-
-
-def _part() -> Column:
-    """Which of ``PARTS`` a URL is counted in; -1 for those without a verdict, which only tell what is asked for."""
-    return F.when(F.col("verdict").isNull(), -1).otherwise(_half() * 2 + (F.col("verdict") == "block").cast("int")).cast("int")
+def _held_out() -> Column:
+    return F.crc32(F.col("url").cast("binary")) % HELD_OUT == 0
 
 
 def count_grams(rows: DataFrame) -> DataFrame:
-    """(gram, n, n0 .. n3): every gram of the column url, how often it stands in all URLs and in each of ``PARTS``."""
-    names = [f"n{k}" for k in range(len(PARTS))]
-    told = rows.where("url IS NOT NULL").select(_part().alias("part"), F.col("url").cast("binary"))
+    """(gram, n, allow, block): every gram of the column url, how often it stands in all URLs, and in those ``counted`` of each kind.
+
+    rows: url, verdict and counted; what is not counted only tells what is asked for.
+    """
+    kind = F.when(F.col("counted") & F.col("verdict").isNotNull(), F.when(F.col("verdict") == "block", 2).otherwise(1)).otherwise(0)
+    told = rows.where("url IS NOT NULL").select(kind.alias("kind"), F.col("url").cast("binary"))
+    names = ("n", *_KINDS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             found = [grams(raw) for raw in batch.column(1).to_pylist()]
-            part = np.repeat(batch.column(0).to_numpy() + 1, [len(f) for f in found])
+            kind = np.repeat(batch.column(0).to_numpy(), [len(f) for f in found]).astype(np.int64)
             different, at = np.unique(np.concatenate(found), return_inverse=True)
-            n = np.bincount(part * len(different) + at, minlength=(len(PARTS) + 1) * len(different)).reshape(len(PARTS) + 1, -1)
-            yield pa.record_batch([pa.array(c) for c in (different, n.sum(axis=0), *n[1:])], names=["gram", "n", *names])
+            n = np.bincount(kind * len(different) + at, minlength=3 * len(different)).reshape(3, -1)
+            yield pa.record_batch([pa.array(c) for c in (different, n.sum(axis=0), n[1], n[2])], names=["gram", *names])
 
-    counts = batched(told, count, ", ".join(f"{c} bigint" for c in ("gram", "n", *names)))
-    return counts.groupBy("gram").agg(*(F.sum(c).alias(c) for c in ("n", *names)))
+    counts = batched(told, count, ", ".join(f"{c} bigint" for c in ("gram", *names)))
+    return counts.groupBy("gram").agg(*(F.sum(c).alias(c) for c in names))
 
 
 def gram_values(counts: DataFrame) -> DataFrame:
-    """(gram, n, other0, other1, all): what a gram adds to a URL's score by each of ``MODELS``, times 2 ** UNIT.
+    """(gram, n, amount): what a gram adds to a URL's score, times 2 ** UNIT.
 
     ``counts`` is read once per order, and should be staged.
     """
-    cells = [(model, kind) for model in MODELS for kind in ("allow", "block")]
+    context = F.shiftright("gram", 8)
+    sums = {}
+    for order in range(ORDER, -1, -1):
+        shorter = F.col("gram").bitwiseAND(F.lit((1 << (8 * (order + 1))) - 1))
+        rows = (counts if order == ORDER else sums[order + 1]).select(shorter.alias("gram"), "n", *_KINDS)
+        rows = rows.withColumn("context", context).repartition("context")
+        sums[order] = rows.groupBy("context", "gram").agg(*(F.sum(c).alias(c) for c in ("n", *_KINDS)))
     below = None
     for order in range(ORDER + 1):
-        gram = F.col("gram").bitwiseAND(F.lit((1 << (8 * (order + 1))) - 1))
-        sums = counts.groupBy(gram.alias("gram")).agg(*(F.sum(c).alias(c) for c in counts.columns if c != "gram"))
-        after = {
-            (model, kind): sum((F.col(f"n{PARTS.index((half, kind))}") for half in halves), F.lit(0))
-            for model, halves in MODELS.items()
-            for kind in ("allow", "block")
-        }
-        sums = sums.select("gram", "n", *(after[c].alias("_".join(c)) for c in cells))
-        context = Window.partitionBy(F.shiftright("gram", 8))
-        for model, kind in cells:
-            name = f"{model}_{kind}"
-            sums = sums.withColumn(f"seen_{name}", F.sum(name).over(context))
-            sums = sums.withColumn(f"kinds_{name}", F.sum(F.when(F.col(name) > 0, 1).otherwise(0)).over(context))
+        same = Window.partitionBy("context")
+        rows = sums[order].select(
+            "gram", "n", *_KINDS, *(F.sum(k).over(same).alias(f"{k}_seen") for k in _KINDS),
+            *(F.sum(F.when(F.col(k) > 0, 1).otherwise(0)).over(same).alias(f"{k}_kinds") for k in _KINDS),
+        )
         if below is None:
-            joined = sums.select("*", *(F.lit(1.0 / ALPHABET).alias(f"below_{'_'.join(c)}") for c in cells))
+            rows = rows.select("*", *(F.lit(1.0 / ALPHABET).alias(f"{k}_below") for k in _KINDS))
         else:
-            rest = F.col("gram").bitwiseAND(F.lit((1 << (8 * order)) - 1))
-            joined = sums.withColumn("shorter", rest).join(below, "shorter")
+            # The two lowest orders have at most ALPHABET + ALPHABET ** 2 rows of three numbers.
+            lower = F.broadcast(below) if order <= 2 else below
+            rows = rows.withColumn("shorter", F.col("gram").bitwiseAND(F.lit((1 << (8 * order)) - 1))).join(lower, "shorter")
         chances = []
-        for model, kind in cells:
-            name = f"{model}_{kind}"
-            seen, kinds, lower = F.col(f"seen_{name}"), F.col(f"kinds_{name}"), F.col(f"below_{name}")
-            chances.append(F.when(seen > 0, (F.col(name) + kinds * lower) / (seen + kinds)).otherwise(lower).alias(f"below_{name}"))
-        last = joined.select("gram", "n", *chances)
-        below = last.drop("n").withColumnRenamed("gram", "shorter")
-    unit = F.lit(float(1 << UNIT))
-    amounts = (F.round((F.log(f"below_{m}_allow") - F.log(f"below_{m}_block")) * unit).cast("bigint").alias(m) for m in MODELS)
-    return last.select("gram", "n", *amounts)
-
-
-@dataclass
-class Model:
-    """What every gram of the URLs adds, which of ``MODELS`` has all it needs, and the threshold."""
-
-    values: DataFrame
-    halves: bool
-    threshold: float = 0.0
-
-
-def learn(rows: DataFrame) -> Model | None:
-    """The models of the rows (url, verdict) that have a verdict, for the grams of all; None when either verdict is missing."""
-    counts = staged(count_grams(rows), "url-grams")
-    totals = counts.agg(*(F.coalesce(F.sum(f"n{k}"), F.lit(0)).alias(f"n{k}") for k in range(len(PARTS)))).first()
-    if not all(sum(totals[k] for k, part in enumerate(PARTS) if part[1] == kind) for kind in ("allow", "block")):
+        for k in _KINDS:
+            seen, kinds, lower = F.col(f"{k}_seen"), F.col(f"{k}_kinds"), F.col(f"{k}_below")
+            chances.append(F.when(seen > 0, (F.col(k) + kinds * lower) / (seen + kinds)).otherwise(lower).alias(f"{k}_below"))
+        rows = rows.select("gram", "n", *chances)
+        below = rows.select(F.col("gram").alias("shorter"), *(f"{k}_below" for k in _KINDS))
+    amount = F.round((F.log("allow_below") - F.log("block_below")) * F.lit(float(1 << UNIT))).cast("bigint")
+    return rows.select("gram", "n", amount.alias("amount"))
+
+
+def learn(rows: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """The table of ``gram_values`` for the grams of all ``rows`` (url, verdict), learned from those that have a verdict
+    and are not held out, and the rows (url, verdict) to find the threshold with; None when either verdict is missing."""
+    labelled = rows.where("verdict IS NOT NULL AND url IS NOT NULL")
+    found = {(r["verdict"], r["out"]) for r in labelled.select("verdict", _held_out().alias("out")).distinct().collect()}
+    if not all(any(verdict == kind for verdict, _ in found) for kind in _KINDS):
         return None
-    return Model(staged(gram_values(counts), "url-values"), all(totals))
+    halves = len(found) == 2 * len(_KINDS)
+    counted = ~_held_out() if halves else F.lit(True)
+    counts = staged(count_grams(rows.select("url", "verdict", counted.alias("counted"))), "url-grams")
+    return staged(gram_values(counts), "url-values"), labelled.where(_held_out()) if halves else labelled
 
 
-def scored(rows: DataFrame, model: Model, held: int = HELD) -> DataFrame:
-    """``rows`` (with a column url) and, staged, each URL's ``total`` by all labelled URLs, ``other`` by the other half, and ``size``."""
+def scored(rows: DataFrame, values: DataFrame, held: int = HELD) -> DataFrame:
+    """``rows`` (with a column url) and each URL's score; the rows are staged.
+
+    Every gram of the URLs must be in ``values``.
+    """
     at = rows.columns.index("url")
-    common = model.values.orderBy(F.col("n").desc(), "gram").limit(held).orderBy("gram").toArrow()
-    keys = common.column("gram").to_numpy()
-    amounts = np.stack([common.column(m).to_numpy() for m in MODELS])
-    shared = rows.sparkSession.sparkContext.broadcast((keys, amounts))
-    rows = rows.withColumn("half", F.coalesce(_half(), F.lit(0)))
+    common = values.orderBy(F.col("n").desc(), "gram").limit(held).select("gram", "amount").toArrow().sort_by("gram")
+    shared = rows.sparkSession.sparkContext.broadcast((common.column("gram").to_numpy(), common.column("amount").to_numpy()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, amounts = shared.value
         for batch in batches:
-            sums, sizes, lacking = np.zeros((2, batch.num_rows), np.int64), [], []
-            for row, (raw, half) in enumerate(zip(raw_texts(batch.column(at)), batch.column(batch.num_columns - 1).to_pylist(), strict=True)):
+            totals, sizes, lacking = [], [], []
+            for raw in raw_texts(batch.column(at)):
                 found = grams(raw) if raw else np.zeros(0, np.int64)
                 place = np.searchsorted(keys, found)
                 place[place == len(keys)] = 0
                 here = keys[place] == found
-                sums[0, row], sums[1, row] = amounts[2][place[here]].sum(), amounts[half][place[here]].sum()
+                totals.append(int(amounts[place[here]].sum()))
                 sizes.append(len(found))
                 lacking.append(found[~here].tolist())
-            columns = [*batch.columns, *map(pa.array, sums), pa.array(sizes, pa.int64()), pa.array(lacking, pa.list_(pa.int64()))]
-            yield pa.record_batch(columns, names=[*batch.schema.names, "total", "other", "size", "lacking"])
-
-    more = [StructField(c, LongType()) for c in ("total", "other", "size")]
-    schema = StructType([*rows.schema, *more, StructField("lacking", ArrayType(LongType()))])
-    found = staged(batched(rows, run, schema), "url-scores")
-    if model.values.count() <= held:
-        return found.drop("lacking")
-    # One row per URL that lacks grams, so that copies are not repeated; its bytes tell it.
-    key = F.unhex(F.md5(F.col("url").cast("binary")))
-    urls = found.where(F.size("lacking") > 0).select(key.alias("key"), "half", "lacking").dropDuplicates(["key"])
-    asked = urls.select("key", "half", F.explode("lacking").alias("gram")).groupBy("key", "half", "gram").agg(F.count(F.lit(1)).alias("times"))
-    own = F.when(F.col("half") == 0, F.col("other0")).otherwise(F.col("other1"))
-    rest = asked.join(model.values, "gram").groupBy("key").agg(
-        F.sum(F.col("times") * F.col("all")).alias("rest"), F.sum(F.col("times") * own).alias("other_rest")
-    )
-    whole = found.join(rest, key == F.col("key"), "left")
-    return whole.withColumn("total", F.col("total") + F.coalesce("rest", F.lit(0))).withColumn(
-        "other", F.col("other") + F.coalesce("other_rest", F.lit(0))
-    ).drop("lacking", "key", "rest", "other_rest")
-
-
-def _score(total: str) -> Column:
-    """The score: a sum of amounts, per character."""
-    return F.when(F.col("size") > 0, F.col(total) / F.col("size") / float(1 << UNIT)).otherwise(0.0)
+            columns = [*batch.columns, pa.array(totals, pa.int64()), pa.array(sizes, pa.int64()), pa.array(lacking, pa.list_(pa.int64()))]
+            yield pa.record_batch(columns, names=[*batch.schema.names, "total", "size", "lacking"])
+
+    more = [StructField("total", LongType()), StructField("size", LongType()), StructField("lacking", ArrayType(LongType()))]
+    found = staged(batched(rows, run, StructType([*rows.schema, *more])), "url-scores")
+    if values.count() > held:
+        # One row per URL that lacks grams, so that copies are not repeated; its bytes tell it.
+        key = F.unhex(F.md5(F.col("url").cast("binary")))
+        urls = found.where(F.size("lacking") > 0).select(key.alias("key"), "lacking").dropDuplicates(["key"])
+        rest = urls.select("key", F.explode("lacking").alias("gram")).join(values, "gram").groupBy("key").agg(F.sum("amount").alias("rest"))
+        found = found.join(rest, key == F.col("key"), "left").withColumn("total", F.col("total") + F.coalesce("rest", F.lit(0)))
+    score = F.when(F.col("size") > 0, F.col("total") / F.col("size") / float(1 << UNIT)).otherwise(0.0)
+    return found.select(*rows.columns, score.alias("score"))
 
 
 def threshold_of(labelled: DataFrame) -> float:
@@ -263,11 +242,10 @@ def filter_urls(
     model = learn(rows.select("url", "verdict"))
     if model is None:
         return _unpacked(rows.withColumn("score", F.lit(0.0)).withColumn("verdict", F.coalesce("verdict", F.lit("allow"))), keep, *results)
-    found = scored(rows, model, held)
-    own = "other" if model.halves else "total"
-    threshold = threshold_of(found.where("verdict IS NOT NULL AND url IS NOT NULL").select("verdict", _score(own).alias("score")))
+    values, calibration = model
+    threshold = threshold_of(scored(calibration, values, held))
     method = F.when(F.col("score") >= threshold, "allow").otherwise("block")
-    return _unpacked(found.withColumn("score", _score("total")).withColumn("verdict", F.coalesce("verdict", method)), keep, *results)
+    return _unpacked(scored(rows, values, held).withColumn("verdict", F.coalesce("verdict", method)), keep, *results)
 
 
 def op5_urls(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from strandline.llm import urls
-from strandline.llm.urls import ORDER, RULES, filter_urls
+from strandline.llm.urls import HELD_OUT, ORDER, RULES, filter_urls
 
 
 def brute_rule(url):
@@ -83,13 +83,14 @@ def test_scores_and_threshold_equal_dictionaries(judged, held):
     """Whether the tasks hold all grams, some or one: the whole result is that of plain dictionaries."""
     rows, frame = judged
     labelled = [(u, v) for u, v in rows if v]
-    halves = [[x for x in labelled if zlib.crc32(x[0].encode()) % 2 == half] for half in (0, 1)]
-    own = [(brute_score(u, halves[1 - zlib.crc32(u.encode()) % 2]), v) for u, v in labelled]
+    out = lambda u: zlib.crc32(u.encode()) % HELD_OUT == 0
+    counted = [x for x in labelled if not out(x[0])]
+    own = [(brute_score(u, counted), v) for u, v in labelled if out(u)]
     allowed, blocked = sorted(s for s, v in own if v == "allow"), sorted(s for s, v in own if v == "block")
     found = filter_urls(frame, held=held).collect()
     assert len(found) == len(rows)
     for r in found:
-        assert abs(r.score - brute_score(r.url, labelled)) < 1e-6
+        assert abs(r.score - brute_score(r.url, counted)) < 1e-6
     undecided = [r for r in found if r.rule is None]
     passed, stopped = (sorted(r.score for r in undecided if r.verdict == v) for v in ("allow", "block"))
     assert passed and stopped and stopped[-1] < passed[0]
@@ -105,34 +106,35 @@ def test_urls_without_their_own_counts(spark):
     """Random URLs look like their kind only to models that counted them; the threshold does not rest on that."""
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(12))
-    rows = [(f"http://x.org/{word()}", verdict) for verdict in ("allow", "block") for _ in range(60)]
+    rows = [(f"http://x.org/{word()}", verdict) for verdict in ("allow", "block") for _ in range(100)]
     frame = spark.createDataFrame(rows, "url string, verdict string")
-    model = urls.learn(frame)
-    assert model.halves
-    found = urls.scored(frame, model).select("verdict", urls._score("total").alias("flattered"), urls._score("other").alias("score")).collect()
-    flattered = sum((r.flattered > 0) == (r.verdict == "allow") for r in found) / len(found)
-    fair = sum((r.score > 0) == (r.verdict == "allow") for r in found) / len(found)
-    assert flattered > 0.95 and fair < 0.7
+    values, calibration = urls.learn(frame)
+    fair = {r.url for r in calibration.collect()}
+    assert fair == {u for u, _ in rows if zlib.crc32(u.encode()) % HELD_OUT == 0}
+    right = {True: [], False: []}
+    for r in urls.scored(frame, values).collect():
+        right[r.url in fair].append((r.score > 0) == (r.verdict == "allow"))
+    assert sum(right[False]) > 0.95 * len(right[False]) and sum(right[True]) < 0.75 * len(right[True])
 
 
-def test_counts_are_exact_and_ties_and_halves_are_defined(spark):
+def test_counts_are_exact_and_ties_are_defined(spark):
     rows = [("abc", "allow")] * 3 + [("abd", "block"), (None, "block"), ("", "allow"), ("zz", None)]
     frame = spark.createDataFrame(rows, "url string, verdict string")
-    counts = {r.gram: r for r in urls.count_grams(frame).collect()}
+    counts = {r.gram: r for r in urls.count_grams(frame.selectExpr("*", "true AS counted")).collect()}
     brute = defaultdict(int)
     for u, _ in rows:
         for g in [] if u is None else urls.grams(u.encode()).tolist():
             brute[g] += 1
     assert {g: r.n for g, r in counts.items()} == brute
     start = int.from_bytes(b"\0" * ORDER + b"a", "big")
-    assert sum(counts[start][f"n{k}"] for k in range(4)) == counts[start].n == 4
+    assert (counts[start].n, counts[start].allow, counts[start].block) == (4, 3, 1)
     assert urls.learn(frame.where("verdict = 'allow'")) is None
-    # One blocked URL: a half lacks the kind, so all models are scored with all counts.
-    assert not urls.learn(frame).halves
+    # One blocked URL: it is counted and finds the threshold as well.
+    assert urls.learn(frame)[1].count() == 5
     # Scores equal to the threshold are allowed: equal URLs of both kinds tell nothing apart.
     same = spark.createDataFrame([("u", "allow"), ("u", "block")], "url string, verdict string")
-    model = urls.learn(same)
-    assert {(r.total, r.size) for r in urls.scored(same, model).collect()} == {(0, 2)}
+    values, calibration = urls.learn(same)
+    assert [r.score for r in urls.scored(calibration, values).collect()] == [0.0, 0.0]
 
 
 def test_kept_columns_named_like_results(spark):

@@ -8,9 +8,9 @@ the table of sources, one row each.
 
 A source's target is so many whole repetitions of all its documents, and of a seeded sample of them
 one more. Documents are sampled in the order of a seeded hash until the words reach what is missing.
-The order is cut into ``SLICES`` hash ranges per source: ranges before the point where the target is
-met are taken whole and those after it are not taken, by sums alone; only within the one range that
-holds that point are documents put in order. So no source is ever gathered in one task.
+The order is cut into ``SLICES`` hash slices per source: sums of slices give the words before each, and
+running sums within a slice the rest. So every row is shuffled and ordered once, within its slice, and
+no source is ever gathered in one task.
 
 Nulls and edge cases: a null text has no words; documents without a source form the source null, last
 in order; a source without words has target 0; documents without words are taken 0 words. Equal rows

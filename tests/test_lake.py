@@ -348,3 +348,17 @@ def test_shared_folder_is_the_one_the_cluster_names(spark):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(_session(spark_master="yarn"))
     assert shared_folder(spark) == shared_folder(spark)
+
+
+def test_lakes_share_a_landing_folder(spark, tmp_path):
+    """Each takes the files under its own checkpoint, by its own cut."""
+    landed = Lake(spark, str(tmp_path / "landed"), buckets=2)
+    for name, quantity in (("a.csv", 1), ("b.csv", 7)):
+        drop(landed, "sales", name, f"1/5/2016,1/1/2016,SO1,1,1,1,1,{quantity}", f"1/5/2016,1/1/2016,SO{name},1,1,1,1,1")
+        time.sleep(0.02)
+    for cut in (1, 1000):
+        lake = Lake(spark, str(tmp_path / f"cut{cut}"), buckets=2, files_per_batch=cut, incoming=f"{landed.root}/incoming")
+        ingest_sources(lake, "sales")
+        refine_sources(lake, "sales")
+        rows = {r.OrderNumber: r.OrderQuantity for r in lake.silver("sales").read().collect()}
+        assert rows == {"SO1": 7, "SOa.csv": 1, "SOb.csv": 1}

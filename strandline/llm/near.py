@@ -22,6 +22,10 @@ compared. No bucket is capped, and comparisons grow with a bucket's size, not wi
 overlooked if it agrees on no sketch value, or if a smaller text unlike it is in its way in every bucket
 of every round; the tests measure both, on texts with and without a passage in common.
 
+Disk: words are stored once, for the texts of pairs. A round shuffles only words that its pairs need, in slices of
+as many pairs as there are such texts; the shuffle files of a slice go before the next, and tables of a round
+when the next is done.
+
 Nulls and edge cases: a null text counts as empty; equal texts are one class whatever their length;
 texts without a word have no sketch and are linked by equality alone; a text of one word is one k-mer. A class whose documents all have a null id has a null class_id. Repeated rows are
 members like any others.
@@ -29,15 +33,17 @@ members like any others.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm.components import components
-from strandline.llm.frames import batched, fresh, raw_text, staged, table
+from strandline.llm.frames import batched, emptied, fresh, raw_text, staged, staged_parts, table
 from strandline.llm.words import label_occurrences, mix, window_hashes, word_hashes
 
 #: Least edit similarity of a link: 1 - word edit distance / words of the longer text.
@@ -208,80 +214,111 @@ def _profiles(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 #: Bits of the filter that keeps texts out of a join they cannot match: a fixed 2 MB, at any size.
 FILTER_BITS = 24
+#: Pairs are compared in slices, one after the other, of so many for each text with words stored: what lies in
+#: shuffle files at a time grows with these texts, however many the pairs.
+PAIRS_PER_TEXT = 1
+
+
+def _bit(*columns: str) -> F.Column:
+    return F.xxhash64(*columns).bitwiseAND(F.lit((1 << FILTER_BITS) - 1).cast("bigint"))
 
 
-def _key_bit() -> F.Column:
-    return F.expr(f"xxhash64(key) & {(1 << FILTER_BITS) - 1}")
+def _bitmap(wanted: DataFrame, *columns: str) -> Broadcast[np.ndarray]:
+    """The bits of the values in ``wanted``, for the tasks."""
+    cells = wanted.select(_bit(*columns).alias("bit")).groupBy(F.expr("bit div 63").alias("cell"))
+    cells = cells.agg(F.expr("bit_or(shiftleft(1L, CAST(bit % 63 AS INT)))").alias("bits")).toArrow()
+    bitmap = np.zeros((1 << FILTER_BITS) // 63 + 1, np.int64)
+    bitmap[cells.column("cell").to_numpy()] = cells.column("bits").to_numpy()
+    return wanted.sparkSession.sparkContext.broadcast(bitmap)
+
+
+def _passed(batch: pa.RecordBatch, bitmap: np.ndarray) -> pa.RecordBatch:
+    """The rows of a batch whose bit, the last column, is set."""
+    bit = batch.column(batch.num_columns - 1).to_numpy()
+    return batch.filter(pa.array((bitmap[bit // 63] >> (bit % 63)) & 1 == 1))
+
+
+def _slice(column: str, slices: int) -> F.Column:
+    return F.pmod(F.xxhash64(column), F.lit(slices))
 
 
 def _bodies(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame) -> DataFrame:
     """(uid, words) of the texts in ``wanted`` (uid, key, rep).
 
-    A bitmap over the wanted keys goes to the tasks, so that documents of no candidate pair are
+    A bitmap over the wanted documents goes to the tasks, so that documents of no candidate pair and copies are
     dropped where they are read; what passes by chance is dropped by the join.
     """
-    cells = wanted.select(_key_bit().alias("bit")).groupBy(F.expr("bit div 63").alias("cell"))
-    cells = cells.agg(F.expr("bit_or(shiftleft(1L, CAST(bit % 63 AS INT)))").alias("bits")).toArrow()
-    bitmap = np.zeros((1 << FILTER_BITS) // 63 + 1, np.int64)
-    bitmap[cells.column("cell").to_numpy()] = cells.column("bits").to_numpy()
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
-    source = docs.select(
-        F.col(doc_id).cast("bigint").alias("doc_id"), _text_key(text).alias("key"), raw_text(text).alias("text")
-    ).withColumn("bit", _key_bit())
+    shared = _bitmap(wanted, "key", "rep")
+    source = docs.select(_text_key(text).alias("key"), raw_text(text).alias("text"), F.col(doc_id).cast("bigint").alias("rep"))
+    source = source.select("key", "text", _bit("key", "rep").alias("bit"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bit = batch.column(3).to_numpy()
-            batch = batch.filter(pa.array((shared.value[bit // 63] >> (bit % 63)) & 1 == 1))
-            words = pa.array([_packed(raw) for raw in batch.column(2).to_pylist()], pa.binary())
-            yield pa.record_batch([batch.column(0), batch.column(1), words], names=["doc_id", "key", "words"])
+            batch = _passed(batch, shared.value)
+            words = pa.array([_packed(raw) for raw in batch.column(1).to_pylist()], pa.binary())
+            yield pa.record_batch([batch.column(0), words], names=["key", "words"])
 
-    found = batched(source, run, "doc_id bigint, key string, words binary")
-    same = (found.key == wanted.key) & found.doc_id.eqNullSafe(wanted.rep)
-    return found.join(wanted, same).groupBy("uid").agg(F.first("words").alias("words"))
+    found = batched(source, run, "key string, words binary").groupBy("key").agg(F.first("words").alias("words"))
+    return found.join(wanted, "key").select("uid", "words")
 
 
-def _compared(pairs: DataFrame, bodies: DataFrame, similarity: float) -> DataFrame:
-    """(a, b, linked, covered) of the pairs (a, b), a the anchor: whether their texts align, else which k-mers of b
-    the anchor has, a bit for each."""
-    left = bodies.select(F.col("uid").alias("a"), F.col("words").alias("left_words"))
-    right = bodies.select(F.col("uid").alias("b"), F.col("words").alias("right_words"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left_words", "right_words")
+def _among(bodies: DataFrame, shared: Broadcast[np.ndarray]) -> DataFrame:
+    """The bodies of the texts of a bitmap, and few others: only these are worth a shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked, covered = [], []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                linked.append(similar(x, y, similarity))
-                covered.append(None if linked[-1] else np.packbits(np.isin(_packed_kmers(y), _packed_kmers(x))).tobytes())
-            columns = [batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(covered, pa.binary())]
-            yield pa.record_batch(columns, names=["a", "b", "linked", "covered"])
+            batch = _passed(batch, shared.value)
+            yield pa.record_batch([batch.column(0), batch.column(1)], names=["uid", "words"])
+
+    return batched(bodies.select("uid", "words", _bit("uid").alias("bit")), run, "uid bigint, words binary")
+
 
-    return batched(joined, run, "a bigint, b bigint, linked boolean, covered binary")
+_COMPARED = "uid bigint, linked array<bigint>, unlike array<bigint>, covered binary, inside boolean, values array<bigint>"
 
 
-def _left(covered: DataFrame, bodies: DataFrame) -> DataFrame:
-    """(uid, covered, inside, n_words, values) of texts from (uid, covered, inside): what their anchors have together.
+def _compared(pairs: DataFrame, bodies: DataFrame, before: DataFrame | None, similarity: float, slices: int) -> DataFrame:
+    """A row for every text b of the pairs (a, b), a the anchor, as ``uid``: the anchors that it aligns with, those that
+    it does not, and if there are any of these, which of its k-mers these and those of ``before`` have together, a
+    bit for each, whether it lies inside them, and the values that tell it from them.
 
-    A text has a row in ``covered`` for each of its buckets at most, a bit for each of its words.
+    A text has an anchor for each of its buckets at most. One slice of the texts b after the other.
     """
-    sets = covered.groupBy("uid").agg(F.collect_list("covered").alias("covered"), F.bool_or("inside").alias("inside"))
+    wanted = _bitmap(pairs, "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for uid, parts, inside, words in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                kmers = _packed_kmers(words)
-                bits = np.bitwise_or.reduce([np.frombuffer(part, np.uint8) for part in parts])
-                had = np.unpackbits(bits, count=len(kmers)).astype(bool)
-                few = inside or len(kmers) - had.sum() <= INSIDE * len(kmers)
-                rows.append((uid, bits.tobytes(), bool(few), len(words) // 4, told_apart(kmers, had, inside)))
-            kinds = (pa.int64(), pa.binary(), pa.bool_(), pa.int64(), pa.list_(pa.int64()))
+            for uid, anchors, words, had, inside in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                linked = [similar(anchor["words"], words, similarity) for anchor in anchors]
+                unlike = [anchor for anchor, like in zip(anchors, linked, strict=True) if not like]
+                row = [uid, [anchor["a"] for anchor, like in zip(anchors, linked, strict=True) if like], [anchor["a"] for anchor in unlike]]
+                if unlike:
+                    kmers = _packed_kmers(words)
+                    covered = np.zeros(len(kmers), bool) if had is None else np.unpackbits(np.frombuffer(had, np.uint8), count=len(kmers)).astype(bool)
+                    for anchor in unlike:
+                        covered |= np.isin(kmers, _packed_kmers(anchor["words"]))
+                    few = bool(inside) or len(kmers) - covered.sum() <= INSIDE * len(kmers)
+                    row += [np.packbits(covered).tobytes(), bool(few), told_apart(kmers, covered, bool(inside))]
+                else:
+                    row += [had, inside, None]
+                rows.append(row)
+            longs = pa.list_(pa.int64())
+            kinds = (pa.int64(), longs, longs, pa.binary(), pa.bool_(), longs)
             columns = [pa.array([row[k] for row in rows], kind) for k, kind in enumerate(kinds)]
-            yield pa.record_batch(columns, names=["uid", "covered", "inside", "n_words", "values"])
+            yield pa.record_batch(columns, names=["uid", "linked", "unlike", "covered", "inside", "values"])
 
-    together = sets.join(bodies, "uid").select("uid", "covered", "inside", "words")
-    return batched(together, run, "uid bigint, covered binary, inside boolean, n_words bigint, values array<bigint>")
+    def part(k: int) -> DataFrame:
+        some = pairs.where(_slice("b", slices) == k)
+        left = _among(bodies, _bitmap(some, "a")).select(F.col("uid").alias("a"), F.col("words").alias("left_words"))
+        anchors = some.join(left, "a").groupBy(F.col("b").alias("uid")).agg(F.collect_list(F.struct("a", F.col("left_words").alias("words"))).alias("anchors"))
+        joined = anchors.join(_among(bodies.where(_slice("uid", slices) == k), wanted), "uid")
+        if before is None:
+            joined = joined.withColumns({"covered": F.lit(None).cast("binary"), "inside": F.lit(False)})
+        else:
+            joined = joined.join(before.where(_slice("uid", slices) == k), "uid", "left")
+        return batched(joined.select("uid", "anchors", "words", "covered", "inside"), run, _COMPARED)
+
+    return staged_parts(map(part, range(slices)), "compared")
 
 
 def _with_anchors(rows: DataFrame, similarity: float) -> DataFrame:
@@ -309,41 +346,54 @@ def _of_like_size(shared: DataFrame, similarity: float) -> DataFrame:
     return shared.select(F.col("b").alias("uid"), "n_words", classes.alias("bucket"))
 
 
-def _all_links(docs: DataFrame, doc_id: str, text: str, texts: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): enough links between distinct texts to join every class."""
-    rows = texts.select("uid", "n_words", F.explode("sketches").alias("bucket"))
-    shared = staged(_with_anchors(rows, similarity), "buckets")
+def _all_links(docs: DataFrame, doc_id: str, text: str, texts: DataFrame, shared: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): enough links between distinct texts to join every class. ``shared``: the texts of buckets with their anchors."""
     sized = _with_anchors(_of_like_size(shared.where("NOT near"), similarity), similarity)
     pairs = staged(shared.where("near").select("a", "b").unionByName(sized.select("a", "b")).distinct(), "pairs")
+    emptied(shared)
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
+    wanted = staged(nodes.join(texts.select("uid", "key", "rep"), "uid"), "nodes")
+    n_texts = wanted.count()
     # Later rounds compare texts of these pairs only, so documents are read once more, not once a round.
-    bodies = staged(_bodies(docs, doc_id, text, nodes.join(texts.select("uid", "key", "rep"), "uid")), "bodies")
-    compared = staged(_compared(pairs, bodies, similarity), "compared")
-    links, tried, left = compared.where("linked").select("a", "b"), pairs, None
+    bodies = staged(_bodies(docs, doc_id, text, wanted), "bodies")
+    links, tried, before, compared = None, None, None, None
     while True:
-        covered = compared.where("NOT linked").select(F.col("b").alias("uid"), "covered", F.lit(False).alias("inside"))
-        if left is not None:  # what the anchors of earlier rounds have
-            before = left.select("uid", "covered", "inside").join(covered.select("uid").distinct(), "uid", "left_semi")
-            covered = covered.unionByName(before)
-        left = staged(_left(covered, bodies), "left")
+        slices = max(1, math.ceil(pairs.count() / max(1, PAIRS_PER_TEXT * n_texts)))
+        earlier, compared = compared, _compared(pairs, bodies, before, similarity, slices)
+        if earlier is not None:
+            emptied(earlier)
+        found = staged(compared.select(F.explode("linked").alias("a"), F.col("uid").alias("b")), "found")
+        links, tried = (found, pairs) if links is None else (links.unionByName(found), tried.unionByName(pairs))
         # Texts that are like each other shared a bucket, and so its anchor.
-        unlike = compared.where("NOT linked").select("a", F.col("b").alias("uid"))
-        told = unlike.join(left.select("uid", "n_words", "values"), "uid").select("a", "uid", "n_words", F.explode("values").alias("value"))
-        rows = told.select("uid", "n_words", F.xxhash64("a", "value").alias("bucket"))
-        pairs = _with_anchors(rows, similarity).select("a", "b").distinct()
-        pairs = staged(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        told = compared.select("uid", F.explode("unlike").alias("a"), "values").select("uid", "a", F.explode("values").alias("value"))
+        met = staged_parts((_met(told, slices, k) for k in range(slices)), "met")
+        pairs = staged(met.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty():
+            emptied(bodies)
+            emptied(compared)
             return links
-        compared = staged(_compared(pairs, bodies, similarity), "compared")
-        links = links.unionByName(compared.where("linked").select("a", "b"))
-        tried = tried.unionByName(pairs)
+        # A text without new anchors is not compared again.
+        before = compared.where(F.size("unlike") > 0).select("uid", "covered", "inside")
+
+
+def _met(told: DataFrame, slices: int, k: int) -> DataFrame:
+    """(a, b): of a slice of the values by which texts (uid, a, value) go on, each text with the smallest of those that
+    had an anchor and a value in common with it."""
+    rows = told.select("uid", F.xxhash64("a", "value").alias("bucket")).where(_slice("bucket", slices) == k)
+    least = rows.groupBy("bucket").agg(F.min("uid").alias("a"), F.max("uid").alias("last")).where("a < last").select("bucket", "a")
+    both = rows.join(least.hint("rebalance"), "bucket").where("uid <> a")
+    return both.select("a", F.col("uid").alias("b")).distinct()
 
 
 def _texts_and_roots(docs: DataFrame, doc_id: str, text: str, similarity: float) -> DataFrame:
     """(key, rep, root) of every distinct text; texts of one class have one root."""
     distinct = _profiles(docs, doc_id, text).groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("sketches").alias("sketches"), F.first("n_words").alias("n_words"))
-    texts = staged(distinct.sortWithinPartitions("key").withColumn("uid", F.monotonically_increasing_id()), "texts")
-    roots = components(_all_links(docs, doc_id, text, texts, similarity))
+    profiles = staged(distinct.sortWithinPartitions("key").withColumn("uid", F.monotonically_increasing_id()), "profiles")
+    rows = profiles.select("uid", "n_words", F.explode("sketches").alias("bucket"))
+    shared = staged(_with_anchors(rows, similarity), "buckets")
+    texts = staged(profiles.select("key", "rep", "uid"), "texts")
+    emptied(profiles)
+    roots = components(_all_links(docs, doc_id, text, texts, shared, similarity))
     return texts.join(roots, texts.uid == roots.node, "left").select("key", "rep", F.coalesce("root", "uid").alias("root"))
 
 

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 
+from strandline.llm import frames, near
 from strandline.llm.components import components
 from strandline.llm.near import _packed, banded_distance, classes, keep_one, order_minhash, similar, sketches, told_apart
 
@@ -162,3 +163,49 @@ def test_pairs_in_buckets_of_a_common_passage_are_found(spark, passage):
     found = sum(of[2 * k] == of[2 * k + 1] for k in planted)
     print(passage, found / len(planted))
     assert found >= 0.99 * len(planted) and len(planted) > 0.9 * n_pairs
+
+
+def linked_and_unlike():
+    """Texts with a passage in common, copies of some with a word changed, and equal ones."""
+    rng = random.Random(21)
+    passage = [f"p{rng.randint(0, 200)}" for _ in range(30)]
+    texts = [passage + [f"w{rng.randint(0, 900)}" for _ in range(rng.randint(30, 60))] for _ in range(40)]
+    texts += [[*text[:-3], "changed", *text[-2:]] for text in texts[:10]] + texts[:4]
+    return [(k, " ".join(text)) for k, text in enumerate(texts)] + [(None, "alone here"), (90, None), (90, None)]
+
+
+def test_slices_of_pairs_change_no_class(spark, monkeypatch):
+    docs = spark.createDataFrame(linked_and_unlike(), "doc_id long, text string")
+    told = lambda: sorted(map(tuple, classes(docs).collect()), key=str)
+    monkeypatch.setattr(near, "PAIRS_PER_TEXT", 1000)
+    whole = told()
+    assert {(k, k - 40) for k in range(40, 50)} | {(k, k - 50) for k in range(50, 54)} <= set(whole)
+    monkeypatch.setattr(near, "PAIRS_PER_TEXT", 2)
+    assert told() == whole
+
+
+def test_words_are_off_the_disk_when_all_pairs_are_compared(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(frames, "run_folder", lambda session, label: f"{tmp_path}/{label}-{len(list(tmp_path.iterdir()))}")
+    docs = spark.createDataFrame(linked_and_unlike(), "doc_id long, text string")
+    classes(docs).collect()
+    bodies = [path for path in tmp_path.iterdir() if path.name.startswith("bodies")]
+    assert bodies and all(spark.read.parquet(str(path)).isEmpty() for path in bodies)
+
+
+def test_only_texts_of_pairs_are_shuffled(spark):
+    bodies = spark.createDataFrame([(k, bytes([k])) for k in range(100)], "uid long, words binary")
+    wanted = spark.createDataFrame([(3,), (70,), (70,)], "uid long")
+    assert {(r.uid, bytes(r.words)) for r in near._among(bodies, near._bitmap(wanted, "uid")).collect()} == {(3, b"\x03"), (70, b"F")}
+
+
+def test_staging_leaves_no_shuffle_files(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(frames, "run_folder", lambda session, label: f"{tmp_path}/{label}")
+    kept, set_so = spark.conf.get(frames.SHUFFLES_GO), []
+    parts = (set_so.append(spark.conf.get(frames.SHUFFLES_GO)) or spark.range(k, k + 1).toDF("n") for k in range(3))
+    found = frames.staged_parts(parts, "parts")
+    assert sorted(r.n for r in found.collect()) == [0, 1, 2]
+    assert set_so == [kept] * 3 and spark.conf.get(frames.SHUFFLES_GO) == kept
+    with frames.shuffles_removed(spark):
+        assert spark.conf.get(frames.SHUFFLES_GO) == "true"
+    frames.emptied(found)
+    assert spark.read.parquet(f"{tmp_path}/parts").isEmpty()
